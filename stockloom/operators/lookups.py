@@ -69,23 +69,36 @@ def search_products(
 
 def order_lookup(
     orders: DataFrame, order_items: DataFrame, customers: DataFrame, products: DataFrame,
-    order_id: int,
+    order_ids: DataFrame,
 ) -> DataFrame:
-    """Lines of one order, each with the order's header; one row without line columns if
-    the order has no lines.
+    """Lines of the asked orders, each with its order's header; one row without line
+    columns for an order that has no lines.
 
     Lines stay rows: an order of any size is never packed into one value.
     """
-    header = orders.filter(F.col("order_id") == order_id).join(
-        customers.select("customer_id", customer_name(customers.columns).alias("customer_name")),
-        "customer_id",
-    ).select("order_id", "customer_name", "status", "total_amount", "order_date")
-    lines = (
-        order_items.filter(F.col("order_id") == order_id)
-        .join(products.select("product_id", "sku", "product_name"), "product_id")
-        .select("order_id", "sku", "product_name", "quantity", "unit_price", "item_status")
+    asked = order_ids.select("order_id").distinct()
+    header = (
+        orders.select("order_id", "customer_id", "status", "total_amount", "order_date")
+        .join(asked, "order_id", "left_semi")
+        .join(
+            customers.select(
+                "customer_id", customer_name(customers.columns).alias("customer_name")
+            ),
+            "customer_id",
+        )
+        .drop("customer_id")
+    )
+    lines = order_items.select(
+        "order_id", "product_id", "quantity", "unit_price", "item_status"
+    ).join(asked, "order_id", "left_semi")
+    named = lookup_join(
+        lines, products.select("product_id", "sku", "product_name"), "product_id",
+        spread_on=["order_id"], hot_from=order_items,
+    )
+    return header.join(named.drop("product_id"), "order_id", "left").select(
+        "order_id", "customer_name", "status", "total_amount", "order_date", "sku",
+        "product_name", "quantity", "unit_price", "item_status",
     )
-    return header.join(lines, "order_id", "left")
 
 
 def low_stock(products: DataFrame, inventory: DataFrame, threshold: int = 15) -> DataFrame:

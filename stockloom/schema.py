@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "DECIMAL(3,2)": T.DecimalType(3, 2),
+    "DECIMAL(10,2)": T.DecimalType(10, 2),
+}
+
+
 def _schema(*fields: tuple[str, str]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # Column names and types of the data model.
