@@ -17,6 +17,12 @@ def pct(part, whole) -> Column:
     return F.round(ratio(part, whole) * 100, 2)
 
 
+def usage_pct() -> Column:
+    """Occupancy of one bin in percent, exact to 12 digits: a mean of it does not depend on
+    the order in which the bins are added up."""
+    return (ratio("current_capacity", "max_capacity") * 100).cast("decimal(20,12)")
+
+
 def or_zero(value) -> Column:
     return F.coalesce(_col(value), F.lit(0))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.functions.scalars import month_of, or_zero, ratio, seconds_between
+from stockloom.functions.scalars import month_of, or_zero, ratio, seconds_between, usage_pct
 from stockloom.plans.combine import one_row
 from stockloom.schema import NOTES
 
@@ -200,8 +200,8 @@ def k_most_active_supplier(
 
 def k_location_usage(locations: DataFrame) -> DataFrame:
     """Mean of the occupancy of each bin, not weighted by capacity."""
-    usage = ratio("current_capacity", "max_capacity") * 100
-    return locations.agg(F.avg(usage).alias("avg_location_usage_percentage"))
+    usage = F.avg(usage_pct()).cast("double")
+    return locations.agg(usage.alias("avg_location_usage_percentage"))
 
 
 def k_monthly_sales(orders: DataFrame) -> DataFrame:

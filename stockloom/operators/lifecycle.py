@@ -33,19 +33,20 @@ def op_complete_pick(
         .withColumn("reason", F.when(~F.col("accepted"), F.lit("empty pick list")))
         .drop("has_rows")
     )
-    pickers = orders.select("order_id", "picking_employee_id")
-    ledger = ledger_rows(
-        rows.join(pickers, "order_id", "left"), "PICKING", location=F.col("location_id"),
-        employee=F.col("picking_employee_id"), reference=order_reference(), notes=NOTES["pick"],
-    )
-    return Outcome(
-        decisions,
-        ledger,
-        {
+
+    def effects():
+        pickers = orders.select("order_id", "picking_employee_id")
+        ledger = ledger_rows(
+            rows.join(pickers, "order_id", "left"), "PICKING", location=F.col("location_id"),
+            employee=F.col("picking_employee_id"), reference=order_reference(),
+            notes=NOTES["pick"],
+        )
+        return ledger, {
             "orders": started.select("order_id", F.lit("Picking").alias("status")),
             "order_items": picked.withColumn("item_status", F.lit("Picked")),
-        },
-    )
+        }
+
+    return Outcome(decisions, effects)
 
 
 def _decide(requests: DataFrame, state: DataFrame, required: str) -> DataFrame:
@@ -79,16 +80,20 @@ def op_pack(requests: DataFrame, orders: DataFrame, order_items: DataFrame) -> O
     """Pack orders that are in Picking. requests: order_id, employee_id, seq."""
     decisions = _decide(requests, orders, "Picking")
     accepted = decisions.filter("accepted").select("order_id", "employee_id")
-    ledger = ledger_rows(
-        _lines_of(accepted, order_items), "PACKING", employee=F.col("employee_id"),
-        reference=order_reference(), notes=NOTES["pack"],
-    )
-    packed = accepted.select(
-        "order_id", F.lit("Packed").alias("status"),
-        F.col("employee_id").alias("packing_employee_id"),
-    )
-    items = accepted.select("order_id", F.lit("Packed").alias("item_status"))
-    return Outcome(decisions, ledger, {"orders": packed, "order_items": items})
+
+    def effects():
+        ledger = ledger_rows(
+            _lines_of(accepted, order_items), "PACKING", employee=F.col("employee_id"),
+            reference=order_reference(), notes=NOTES["pack"],
+        )
+        packed = accepted.select(
+            "order_id", F.lit("Packed").alias("status"),
+            F.col("employee_id").alias("packing_employee_id"),
+        )
+        items = accepted.select("order_id", F.lit("Packed").alias("item_status"))
+        return ledger, {"orders": packed, "order_items": items}
+
+    return Outcome(decisions, effects)
 
 
 def op_ship(
@@ -102,59 +107,60 @@ def op_ship(
     """
     decisions = _decide(requests, orders, "Packed")
     accepted = decisions.filter("accepted")
-    demand = (
-        _lines_of(accepted.select("order_id", "seq", "carrier", "tracking_number"), order_items)
-        .groupBy("order_id", "seq", "carrier", "tracking_number", "product_id")
-        .agg(F.sum("quantity").alias("quantity"))
-    )
-    taken = allocate(
-        laid_out(
-            inventory.select("product_id", "location_id", "quantity_reserved"),
-            ["product_id"], ["location_id"], "quantity_reserved",
-        ),
-        laid_out(demand, ["product_id"], ["seq"], "quantity"),
-        ["product_id"], ["location_id"], ["seq", "order_id", "carrier", "tracking_number"],
-    ).checkpoint()
-    note = F.concat(
-        F.lit("Dispatched via "), F.col("carrier"), F.lit(". Tracking: "),
-        F.col("tracking_number"),
-    )
-    out = F.sum(-F.col("quantity")).cast("int")
-    delta = taken.groupBy("product_id", "location_id").agg(
-        out.alias("quantity_on_hand"), out.alias("quantity_reserved")
-    )
-    shipments = accepted.select(
-        "order_id", "tracking_number", "carrier", "shipping_cost", "ship_date",
-        F.lit("In Transit").alias("status"),
-    )
-    return Outcome(
-        decisions,
-        ledger_rows(
+
+    def effects():
+        per_product = ["order_id", "seq", "carrier", "tracking_number", "product_id"]
+        shipped = accepted.select("order_id", "seq", "carrier", "tracking_number")
+        demand = (
+            _lines_of(shipped, order_items)
+            .groupBy(*per_product)
+            .agg(F.sum("quantity").alias("quantity"))
+        )
+        taken = allocate(
+            laid_out(
+                inventory.select("product_id", "location_id", "quantity_reserved"),
+                ["product_id"], ["location_id"], "quantity_reserved",
+            ),
+            laid_out(demand, ["product_id"], ["seq"], "quantity"),
+            ["product_id"], ["location_id"], ["seq", "order_id", "carrier", "tracking_number"],
+        ).checkpoint()
+        note = F.concat(
+            F.lit("Dispatched via "), F.col("carrier"), F.lit(". Tracking: "),
+            F.col("tracking_number"),
+        )
+        ledger = ledger_rows(
             taken, "SHIPPING", location=F.col("location_id"), reference=order_reference(),
             notes=note,
-        ),
-        {
-            "shipments": shipments,
-            "inventory_delta": delta,
+        )
+        out = F.sum(-F.col("quantity")).cast("int")
+        return ledger, {
+            "shipments": accepted.select(
+                "order_id", "tracking_number", "carrier", "shipping_cost", "ship_date",
+                F.lit("In Transit").alias("status"),
+            ),
+            "inventory_delta": taken.groupBy("product_id", "location_id").agg(
+                out.alias("quantity_on_hand"), out.alias("quantity_reserved")
+            ),
             "orders": accepted.select("order_id", F.lit("Shipped").alias("status")),
             "order_items": accepted.select("order_id", F.lit("Shipped").alias("item_status")),
-        },
-    )
+        }
+
+    return Outcome(decisions, effects)
 
 
 def op_deliver(requests: DataFrame, shipments: DataFrame, order_items: DataFrame) -> Outcome:
     """Deliver orders whose shipment is in transit. requests: order_id, delivery_date, seq."""
     decisions = _decide(requests, shipments, "In Transit")
     accepted = decisions.filter("accepted").select("order_id", "delivery_date")
-    ledger = ledger_rows(
-        _lines_of(accepted, order_items), "DELIVERY", reference=order_reference(),
-        notes=NOTES["deliver"],
-    )
-    return Outcome(
-        decisions,
-        ledger,
-        {
+
+    def effects():
+        ledger = ledger_rows(
+            _lines_of(accepted, order_items), "DELIVERY", reference=order_reference(),
+            notes=NOTES["deliver"],
+        )
+        return ledger, {
             "shipments": accepted.withColumn("status", F.lit("Delivered")),
             "orders": accepted.select("order_id", F.lit("Delivered").alias("status")),
-        },
-    )
+        }
+
+    return Outcome(decisions, effects)

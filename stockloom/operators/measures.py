@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.functions.scalars import (
-    customer_name, full_name, month_of, or_zero, pct, ratio, seconds_between,
+    customer_name, full_name, month_of, or_zero, pct, ratio, seconds_between, usage_pct,
 )
 from stockloom.operators.views import product_sales, staff_counts
 from stockloom.plans.combine import one_row
@@ -111,15 +111,15 @@ def m_inventory_cards(
         F.sum(F.col("on_hand") * F.col("cost_price")).alias("inventory_value_cost"),
         F.sum(F.col("on_hand") * F.col("sale_price")).alias("inventory_value_retail"),
     )
-    usage = ratio("current_capacity", "max_capacity") * 100
-    bins = locations.agg(F.avg(usage).alias("avg_location_occupancy_percentage"))
+    usage = F.avg(usage_pct()).cast("double")
+    bins = locations.agg(usage.alias("avg_location_occupancy_percentage"))
     return one_row(units, value, bins)
 
 
 def m_inventory_zone_usage(locations: DataFrame) -> DataFrame:
     """Mean bin occupancy per zone."""
-    usage = ratio("current_capacity", "max_capacity") * 100
-    return locations.groupBy("zone").agg(F.avg(usage).alias("avg_usage_percentage"))
+    usage = F.avg(usage_pct()).cast("double")
+    return locations.groupBy("zone").agg(usage.alias("avg_usage_percentage"))
 
 
 def m_inventory_drill(locations: DataFrame) -> DataFrame:

@@ -76,15 +76,18 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
         .drop("known")
         .checkpoint()
     )
-    moved = decisions.filter("accepted")
-    out = moved.select("product_id", source.alias("location_id"), (-qty).alias("q"))
-    into = moved.select("product_id", target.alias("location_id"), qty.alias("q"))
-    delta = out.unionByName(into).groupBy("product_id", "location_id").agg(
-        F.sum("q").cast("int").alias("quantity_on_hand")
-    )
-    ledger = ledger_rows(
-        moved, "STOCK_ADJUSTMENT", "qty", location=target, employee=F.col("employee_id"),
-        reference=F.lit(MOVE_REFERENCE),
-        notes=F.concat(F.lit(NOTES["moved_from"]), source.cast("string")),
-    )
-    return Outcome(decisions, ledger, {"inventory_delta": delta})
+    def effects():
+        moved = decisions.filter("accepted")
+        out = moved.select("product_id", source.alias("location_id"), (-qty).alias("q"))
+        into = moved.select("product_id", target.alias("location_id"), qty.alias("q"))
+        delta = out.unionByName(into).groupBy("product_id", "location_id").agg(
+            F.sum("q").cast("int").alias("quantity_on_hand")
+        )
+        ledger = ledger_rows(
+            moved, "STOCK_ADJUSTMENT", "qty", location=target, employee=F.col("employee_id"),
+            reference=F.lit(MOVE_REFERENCE),
+            notes=F.concat(F.lit(NOTES["moved_from"]), source.cast("string")),
+        )
+        return ledger, {"inventory_delta": delta}
+
+    return Outcome(decisions, effects)

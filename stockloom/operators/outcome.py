@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,14 +11,32 @@ from pyspark.sql import functions as F
 from stockloom.schema import LEDGER_COLUMNS
 
 
-@dataclass
 class Outcome:
     """decisions: the requests with ``accepted`` and, where rejected, ``reason``.
-    ledger: audit rows. changes: further frames by name (deltas, updates, new rows)."""
+    ledger: audit rows. changes: further frames by name (deltas, updates, new rows).
 
-    decisions: DataFrame
-    ledger: DataFrame
-    changes: dict[str, DataFrame] = field(default_factory=dict)
+    Ledger and changes are worked out when first asked for.
+    """
+
+    def __init__(
+        self,
+        decisions: DataFrame,
+        effects: Callable[[], tuple[DataFrame, dict[str, DataFrame]]],
+    ):
+        self.decisions = decisions
+        self._effects = effects
+
+    @cached_property
+    def _built(self) -> tuple[DataFrame, dict[str, DataFrame]]:
+        return self._effects()
+
+    @property
+    def ledger(self) -> DataFrame:
+        return self._built[0]
+
+    @property
+    def changes(self) -> dict[str, DataFrame]:
+        return self._built[1]
 
 
 def ledger_rows(

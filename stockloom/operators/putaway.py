@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,29 +39,30 @@ def op_put_away(receipts: DataFrame, locations: DataFrame) -> Outcome:
         .withColumn("reason", F.when(~F.col("accepted"), F.lit("no room")))
     )
 
-    stored = decisions.filter("accepted").select(
-        whole, "seq", "product_id", "qty", "employee_id", "reference_id"
-    )
-    placements = allocate(
-        laid_out(room.withColumn("resource", F.lit(0)), ["resource"], AISLE_ORDER, "free"),
-        laid_out(stored, ["resource"], ["seq"], "qty"),
-        ["resource"],
-        ["location_id"],
-        ["seq", "product_id", "employee_id", "reference_id"],
-    ).drop("resource").checkpoint()
-    return Outcome(
-        decisions,
-        ledger_rows(
-            placements, "PUT_AWAY", location=F.col("location_id"), employee=F.col("employee_id"),
-            reference=F.col("reference_id"), notes=NOTES["put_away"],
-        ),
-        {
+    def effects():
+        stored = decisions.filter("accepted").select(
+            whole, "seq", "product_id", "qty", "employee_id", "reference_id"
+        )
+        placements = allocate(
+            laid_out(room.withColumn("resource", F.lit(0)), ["resource"], AISLE_ORDER, "free"),
+            laid_out(stored, ["resource"], ["seq"], "qty"),
+            ["resource"],
+            ["location_id"],
+            ["seq", "product_id", "employee_id", "reference_id"],
+        ).drop("resource").checkpoint()
+        ledger = ledger_rows(
+            placements, "PUT_AWAY", location=F.col("location_id"),
+            employee=F.col("employee_id"), reference=F.col("reference_id"),
+            notes=NOTES["put_away"],
+        )
+        return ledger, {
             "placements": placements,
             "inventory_delta": placements.groupBy("product_id", "location_id").agg(
                 F.sum("quantity").cast("int").alias("quantity_on_hand")
             ),
-        },
-    )
+        }
+
+    return Outcome(decisions, effects)
 
 
 def op_receive(
@@ -103,23 +106,23 @@ def op_receive(
     )
     refused = stored.decisions.filter("NOT accepted")
     reference = F.col("reference_id")
-    ledger = (
-        ledger_rows(
-            failed, "QUALITY_FAIL", "qty", employee=F.col("inspector_id"), reference=reference,
-            notes=NOTES["qa_fail"],
-        )
-        .unionByName(
+
+    def effects():
+        parts = [
             ledger_rows(
-                passed, "RECEIVING", "qty", employee=F.col("receiver_id"), reference=reference,
-                notes=NOTES["qa_pass"],
-            )
-        )
-        .unionByName(stored.ledger)
-        .unionByName(
+                failed, "QUALITY_FAIL", "qty", employee=F.col("inspector_id"),
+                reference=reference, notes=NOTES["qa_fail"],
+            ),
+            ledger_rows(
+                passed, "RECEIVING", "qty", employee=F.col("receiver_id"),
+                reference=reference, notes=NOTES["qa_pass"],
+            ),
+            stored.ledger,
             ledger_rows(
                 refused, "STOCK_ADJUSTMENT", "qty", employee=F.col("employee_id"),
                 reference=reference, notes=NOTES["no_room"],
-            )
-        )
-    )
-    return Outcome(decisions, ledger, stored.changes)
+            ),
+        ]
+        return reduce(DataFrame.unionByName, parts), stored.changes
+
+    return Outcome(decisions, effects)

@@ -40,35 +40,33 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
         .withColumn("reason", F.when(~F.col("accepted"), F.lit("insufficient stock")))
     )
 
-    accepted = verdicts.filter("accepted").select("seq")
-    supply = laid_out(
-        inventory.select(
-            "product_id", "location_id", (-F.col("quantity_on_hand")).alias("rank"),
-            available().alias("free"),
-        ),
-        ["product_id"], ["rank", "location_id"], "free",
-    )
-    wanted = laid_out(
-        demand.join(accepted, "seq", "left_semi"), ["product_id"], ["seq"], "quantity"
-    )
-    allocations = allocate(
-        supply, wanted, ["product_id"], ["location_id"], ["seq", "order_id"]
-    ).checkpoint()
-
-    reserved = allocations.groupBy("product_id", "location_id").agg(
-        F.sum("quantity").cast("int").alias("quantity_reserved")
-    )
-    passed = decisions.filter("accepted").select("order_id")
-    return Outcome(
-        decisions,
-        ledger_rows(
+    def effects():
+        supply = laid_out(
+            inventory.select(
+                "product_id", "location_id", (-F.col("quantity_on_hand")).alias("rank"),
+                available().alias("free"),
+            ),
+            ["product_id"], ["rank", "location_id"], "free",
+        )
+        accepted = verdicts.filter("accepted").select("seq")
+        wanted = laid_out(
+            demand.join(accepted, "seq", "left_semi"), ["product_id"], ["seq"], "quantity"
+        )
+        allocations = allocate(
+            supply, wanted, ["product_id"], ["location_id"], ["seq", "order_id"]
+        ).checkpoint()
+        passed = decisions.filter("accepted").select("order_id")
+        ledger = ledger_rows(
             allocations, "RESERVATION", location=F.col("location_id"),
             reference=order_reference(), notes=NOTES["reserve"],
-        ),
-        {
+        )
+        return ledger, {
             "allocations": allocations,
-            "inventory_delta": reserved,
+            "inventory_delta": allocations.groupBy("product_id", "location_id").agg(
+                F.sum("quantity").cast("int").alias("quantity_reserved")
+            ),
             "orders": passed.withColumn("status", F.lit("Picking")),
             "order_items": passed.withColumn("item_status", F.lit("Reserved")),
-        },
-    )
+        }
+
+    return Outcome(decisions, effects)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,52 +60,46 @@ def op_return(
         F.when(~F.col("accepted"), F.coalesce("refusal", F.lit("order already returned"))),
     ).select(*asked.columns, "accepted", "reason_refused")
 
-    # Every product's lowest bin; bins are combined inside the map tasks.
-    bins = inventory.groupBy("product_id").agg(F.min("location_id").alias("location_id"))
-    scrapped = F.col("reason").isin(SCRAP_REASONS)
-    accepted = (
-        decided.filter("accepted")
-        .join(totals, "order_id", "left")
-        .join(bins, "product_id", "left")
-        .withColumn("refund_amount", F.round(F.col("qty") * F.col("line.unit_price"), 2))
-        .withColumn("fully_returned", F.col("qty") == F.col("order_units"))
-    )
-    restocked = accepted.filter(~scrapped & F.col("location_id").isNotNull())
-
-    inspected = F.concat(
-        F.lit("Return QA completed. Reason: "), F.col("reason"), F.lit(". Restockable: "),
-        F.when(scrapped, F.lit("False")).otherwise(F.lit("True")),
-    )
-    reference = order_reference()
-    ledger = (
-        ledger_rows(accepted, "RETURN_INSPECTED", "qty", reference=reference, notes=inspected)
-        .unionByName(
+    def effects():
+        # Every product's lowest bin; bins are combined inside the map tasks.
+        bins = inventory.groupBy("product_id").agg(F.min("location_id").alias("location_id"))
+        scrapped = F.col("reason").isin(SCRAP_REASONS)
+        accepted = (
+            decided.filter("accepted")
+            .join(totals, "order_id", "left")
+            .join(bins, "product_id", "left")
+            .withColumn("refund_amount", F.round(F.col("qty") * F.col("line.unit_price"), 2))
+            .withColumn("fully_returned", F.col("qty") == F.col("order_units"))
+        )
+        restocked = accepted.filter(~scrapped & F.col("location_id").isNotNull())
+        inspected = F.concat(
+            F.lit("Return QA completed. Reason: "), F.col("reason"), F.lit(". Restockable: "),
+            F.when(scrapped, F.lit("False")).otherwise(F.lit("True")),
+        )
+        reference = order_reference()
+        parts = [
+            ledger_rows(
+                accepted, "RETURN_INSPECTED", "qty", reference=reference, notes=inspected
+            ),
             ledger_rows(
                 restocked, "STOCK_ADJUSTMENT", "qty", location=F.col("location_id"),
                 reference=reference, notes=NOTES["restock"],
-            )
-        )
-        .unionByName(
+            ),
             ledger_rows(
                 accepted.filter(scrapped), "QUALITY_FAIL", "qty", reference=reference,
                 notes=NOTES["scrap"],
-            )
-        )
-    )
-    returns = accepted.select(
-        "order_id", "product_id", F.col("qty").alias("quantity"),
-        F.col("reason").alias("return_reason"), "return_date", "refund_amount",
-        F.lit("Approved").alias("status"), "fully_returned",
-    )
-    delta = restocked.groupBy("product_id", "location_id").agg(
-        F.sum("qty").cast("int").alias("quantity_on_hand")
-    )
-    return Outcome(
-        decisions,
-        ledger,
-        {
-            "returns": returns,
-            "inventory_delta": delta,
+            ),
+        ]
+        return reduce(DataFrame.unionByName, parts), {
+            "returns": accepted.select(
+                "order_id", "product_id", F.col("qty").alias("quantity"),
+                F.col("reason").alias("return_reason"), "return_date", "refund_amount",
+                F.lit("Approved").alias("status"), "fully_returned",
+            ),
+            "inventory_delta": restocked.groupBy("product_id", "location_id").agg(
+                F.sum("qty").cast("int").alias("quantity_on_hand")
+            ),
             "orders": accepted.select("order_id", F.lit("Returned").alias("status")),
-        },
-    )
+        }
+
+    return Outcome(decisions, effects)

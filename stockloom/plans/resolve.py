@@ -7,57 +7,75 @@ the worst and the best that open earlier requests can leave. A request whose nee
 the worst levels is accepted, one with a need that fails at the best level is rejected, the
 others wait for the next round. The first open request has no open request before it, so
 every round decides at least one and the result equals the sequential one.
+
+Rounds shrink quickly, but a long chain of requests that each hang on the one before can
+leave a tail that decides few per round. Once at most ``TAIL_ROWS`` rows are open they are
+decided one after the other in a single task; with more rows the rounds go on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.plans.lookup import lookup_join
 from stockloom.plans.scan import BLOCK, running, with_blocks
 
+TAIL_ROWS_KEY = "stockloom.resolve.tailRows"
+TAIL_ROWS = 10_000
+
+BEFORE_ALL = -(2**63)  # sequence number of the starting levels
+
 
 def resolve(lines: DataFrame, levels: DataFrame) -> DataFrame:
     """Decisions (seq, accepted) for every ``seq`` in ``lines``.
 
     lines: seq, resource, need (NULL: no condition), delta; one row per (seq, resource).
-    levels: resource, level; a resource without a row has level 0.
+    levels: resource, level; a resource without a row has level 0. A starting level is
+    treated as an accepted change before all requests, so no join is needed for it.
     """
-    state = lookup_join(
-        lines.select(
-            "seq", "resource", F.col("need").cast("bigint").alias("need"),
-            F.col("delta").cast("bigint").alias("delta"),
-        ),
-        levels.select("resource", F.col("level").cast("bigint").alias("level")),
-        "resource",
-        "left",
-        spread_on=["seq"],
-    ).select(
-        "seq", "resource", "need", "delta", F.coalesce("level", F.lit(0)).alias("level"),
+    tail_rows = int(lines.sparkSession.conf.get(TAIL_ROWS_KEY, str(TAIL_ROWS)))
+    start = levels.select(
+        F.lit(BEFORE_ALL).alias("seq"), "resource", F.lit(None).cast("bigint").alias("need"),
+        F.col("level").cast("bigint").alias("delta"), F.lit(True).alias("taken"),
+    )
+    asked = lines.select(
+        F.col("seq").cast("bigint").alias("seq"), "resource",
+        F.col("need").cast("bigint").alias("need"), F.col("delta").cast("bigint").alias("delta"),
         F.lit(False).alias("taken"),
     )
+    state = asked.unionByName(start).withColumn("level", F.lit(0).cast("bigint"))
     state = with_blocks(state, ["resource", "seq"])
 
     decided: list[DataFrame] = []
     while True:
         judged = _round(state).checkpoint()
-        decided.append(judged.filter("accepted IS NOT NULL"))
-        waiting = judged.filter("accepted IS NULL")
-        if waiting.isEmpty():
+        decided.append(judged.filter("accepted IS NOT NULL").select("seq", "accepted"))
+        n_open = judged.filter("accepted IS NULL").limit(tail_rows + 1).count()
+        if n_open == 0:
             break
         state = judged.filter("accepted IS NULL OR accepted").select(
-            "seq", "resource", "need", "delta", "level",
-            F.col("accepted").isNotNull().alias("taken"), BLOCK,
+            "seq", "resource", "need", "delta", "level", BLOCK,
+            F.col("accepted").isNotNull().alias("taken"),
         )
+        if n_open <= tail_rows:
+            rest = _moved(state).select(
+                F.lit(0).alias("part"), "seq", "resource", "need", "delta", "level"
+            )
+            tail = rest.groupBy("part").applyInPandas(
+                _in_sequence(), "seq bigint, accepted boolean"
+            )
+            decided.append(tail.checkpoint())
+            break
     verdicts = reduce(DataFrame.unionByName, decided)
     return verdicts.groupBy("seq").agg(F.bool_and("accepted").alias("accepted"))
 
 
-def _round(state: DataFrame) -> DataFrame:
-    """Open rows with their level moved on and ``accepted`` (NULL: still open).
+def _moved(state: DataFrame) -> DataFrame:
+    """Open rows with their level moved on, and how far open earlier rows can move it.
 
     ``taken`` rows were accepted in the round before: they move the level of later rows
     once and are then dropped.
@@ -72,8 +90,13 @@ def _round(state: DataFrame) -> DataFrame:
             "fall": F.when(opened, F.least("delta", F.lit(0))).otherwise(F.lit(0)),
             "rise": F.when(opened, F.greatest("delta", F.lit(0))).otherwise(F.lit(0)),
         },
-    ).filter(opened)
-    scanned = scanned.withColumn("level", F.col("level") + F.col("moved"))
+    )
+    return scanned.filter(opened).withColumn("level", F.col("level") + F.col("moved"))
+
+
+def _round(state: DataFrame) -> DataFrame:
+    """Open rows with their new level and ``accepted`` (NULL: still open)."""
+    scanned = _moved(state)
     holds = F.col("need").isNull() | (F.col("level") + F.col("fall") >= F.col("need"))
     fails = F.col("need").isNotNull() & (F.col("level") + F.col("rise") < F.col("need"))
     verdict = scanned.groupBy("seq").agg(
@@ -86,3 +109,29 @@ def _round(state: DataFrame) -> DataFrame:
     return scanned.join(verdict, "seq").select(
         "seq", "resource", "need", "delta", "level", BLOCK, "accepted"
     )
+
+
+def _in_sequence() -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A function that decides a bounded number of open rows one request after the other.
+
+    Built here so that it is sent to the executors whole, without this package.
+    """
+
+    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        moved: dict = {}
+        decisions = []
+        for seq, request in rows.sort_values("seq", kind="stable").groupby("seq", sort=True):
+            asked = request[request["need"].notna()]
+            accepted = all(
+                level + moved.get(resource, 0) >= need
+                for resource, need, level in zip(
+                    asked["resource"], asked["need"], asked["level"], strict=True
+                )
+            )
+            if accepted:
+                for resource, delta in zip(request["resource"], request["delta"], strict=True):
+                    moved[resource] = moved.get(resource, 0) + delta
+            decisions.append((seq, accepted))
+        return pd.DataFrame(decisions, columns=["seq", "accepted"])
+
+    return decide

@@ -21,7 +21,7 @@ from stockloom.operators import (
 from stockloom.schema import ENUMS, SCHEMAS
 from stockloom.session import scratch_path, tune
 from stockloom.sources import sinks, tables
-from stockloom.sources.warehouse import Warehouse
+from stockloom.sources.warehouse import DRIVER_SCHEMAS, Warehouse
 from stockloom.streaming import occupancy as occupancy_stream
 
 # The end of the order dates in the driver's tables; "recent" is counted back from here.
@@ -33,7 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def comparable(df: DataFrame) -> DataFrame:
     """The result in types that read the same from any engine.
 
-    Integers as BIGINT, exact decimals and rounded doubles as DOUBLE, dates as text.
+    Integers as BIGINT, exact decimals and doubles as DOUBLE rounded to 6 digits, dates as
+    text. Doubles are rounded as decimals, so a tie has one answer.
     """
 
     def plain(field: T.StructField):
@@ -42,9 +43,9 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(kind, T.IntegerType):
             return column.cast("bigint")
         if isinstance(kind, T.DecimalType):
-            return F.round(column.cast("double"), 6)
+            return F.round(column, 6).cast("double")
         if isinstance(kind, T.DoubleType):
-            return F.round(column, 6)
+            return F.round(column.cast("decimal(38,9)"), 6).cast("double")
         if isinstance(kind, T.DateType):
             return column.cast("string")
         return column
@@ -52,16 +53,23 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f).alias(f.name) for f in df.schema])
 
 
-def base_tables(w: Warehouse) -> dict[str, DataFrame]:
+# Table of the data model -> name of its derivation.
+DERIVATIONS = {
+    "categories": "categories", "suppliers": "suppliers", "products": "products",
+    "customers": "customers", "employees": "employees",
+    "warehouse_locations": "warehouse_locations", "inventory": "inventory",
+    "orders": "wh_orders", "order_items": "order_items", "shipments": "shipments",
+    "returns": "returns_", "transactions": "transactions",
+}
+KPI_TABLES = [
+    "orders", "order_items", "products", "inventory", "warehouse_locations", "shipments",
+    "returns", "suppliers", "transactions",
+]
+
+
+def base_tables(w: Warehouse, names: list[str] | None = None) -> dict[str, DataFrame]:
     """The derived tables under the names of the data model."""
-    named = {
-        "categories": w.categories, "suppliers": w.suppliers, "products": w.products,
-        "customers": w.customers, "employees": w.employees,
-        "warehouse_locations": w.warehouse_locations, "inventory": w.inventory,
-        "orders": w.wh_orders, "order_items": w.order_items, "shipments": w.shipments,
-        "returns": w.returns_, "transactions": w.transactions,
-    }
-    return named
+    return {name: getattr(w, DERIVATIONS[name]) for name in names or DERIVATIONS}
 
 
 # ---- request tables -------------------------------------------------------------------
@@ -173,10 +181,8 @@ def change_rows(events: DataFrame) -> DataFrame:
 
 def stream_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event rows read as a stream, folded into totals per location."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    reader = spark.readStream.schema(DRIVER_SCHEMAS["events"])
+    events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     # Event times carry no zone; watermarks need a timestamp with one.
     rows = change_rows(events).withColumn("changed_at", F.col("changed_at").cast("timestamp"))
     return occupancy_stream.run_to_end(rows)
@@ -197,7 +203,7 @@ def _arrived(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def sink_base_csv(spark: SparkSession, w: Warehouse) -> DataFrame:
-    frames = base_tables(w)
+    frames = base_tables(w, sinks.BASE_EXTRACTS)
     tables.require_nonempty(orders=frames["orders"], products=frames["products"])
     paths = sinks.export_csv(frames, scratch_path(spark, "base"), sinks.BASE_EXTRACTS)
     return _arrived(
@@ -209,7 +215,7 @@ def sink_base_csv(spark: SparkSession, w: Warehouse) -> DataFrame:
 
 
 def sink_kpi_csv(spark: SparkSession, w: Warehouse) -> DataFrame:
-    frames = kpis.kpi_extracts(base_tables(w))
+    frames = kpis.kpi_extracts(base_tables(w, KPI_TABLES))
     paths = sinks.export_csv(frames, scratch_path(spark, "kpi"), sinks.KPI_EXTRACTS)
     return _arrived(
         {
@@ -420,7 +426,7 @@ def registry() -> dict[str, Query]:
         ),
         "k_location_usage": lambda w: kpis.k_location_usage(w.warehouse_locations),
         "k_monthly_sales": lambda w: kpis.k_monthly_sales(w.wh_orders),
-        "k_summary": lambda w: kpis.k_summary(base_tables(w)),
+        "k_summary": lambda w: kpis.k_summary(base_tables(w, KPI_TABLES)),
         # dashboard
         "m_fulfillment_rate": lambda w: measures.m_fulfillment_rate(w.wh_orders),
         "m_return_rate_ledger": lambda w: measures.m_return_rate_ledger(w.transactions),
@@ -463,7 +469,10 @@ def registry() -> dict[str, Query]:
         ),
         "active_staff": _staff,
         # integrity
-        "check_constraints": lambda w: constraints.violations(base_tables(w)),
+        "check_constraints": lambda w: constraints.violations(
+            base_tables(w.store("inventory", "warehouse_locations", "order_items", "returns_",
+                                "transactions"))
+        ),
         # stock rules
         "op_default_price": lambda w: orders.op_default_price(w.order_items, w.products),
         "op_order_total": lambda w: orders.op_order_total(w.wh_orders, w.order_items),

@@ -7,11 +7,28 @@ in another engine can start from the same rows. Names ending in ``_`` or startin
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-DRIVER_TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-]
+from stockloom.session import scratch_path
+
+# Schemas of the driver's tables, so that no file is read to learn them.
+DRIVER_SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+}
 
 # name -> (tables it reads, SQL)
 DERIVED: dict[str, tuple[list[str], str]] = {
@@ -176,17 +193,33 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def driver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            reader = self.spark.read.schema(DRIVER_SCHEMAS[name])
+            self._read[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in DERIVED:
             raise AttributeError(name)
-        order = needed([name])
-        sources = sorted({s for n in order for s in DERIVED[n][0]} - set(order))
-        frames = {s: self.driver(s) for s in sources}
-        raw = ", ".join(f"{s} AS (SELECT * FROM {{{s}}})" for s in sources)
-        table = self.spark.sql(f"WITH {raw},\n{ctes([name])}\nSELECT * FROM {name}", **frames)
+        # Tables that already exist here stand for their derivation.
+        reads = DERIVED[name][0]
+        frames = {s: getattr(self, s) if s in DERIVED else self.driver(s) for s in reads}
+        text = re.sub(rf"\b(FROM|JOIN) ({'|'.join(reads)})\b", r"\1 {\2}", DERIVED[name][1])
+        table = self.spark.sql(text, **frames)
         self.__dict__[name] = table
         return table
+
+    def store(self, *names: str) -> Warehouse:
+        """Write the named tables to the shared folder and read them from there on.
+
+        For queries that read most tables many times: the derivations run once.
+        """
+        for name in sorted(names, key=needed(list(names)).index):
+            table = getattr(self, name)
+            path = scratch_path(self.spark, name)
+            table.write.parquet(path)
+            self.__dict__[name] = self.spark.read.schema(table.schema).parquet(path)
+        return self
