@@ -95,7 +95,12 @@ def order_lookup(
         lines, products.select("product_id", "sku", "product_name"), "product_id",
         spread_on=["order_id"], hot_from=order_items,
     )
-    return header.join(named.drop("product_id"), "order_id", "left").select(
+    # An inner join can be split at run time on the side of the lines, an outer join that
+    # keeps the headers cannot; headers without lines are added on their own.
+    filled = header.join(named.drop("product_id"), "order_id")
+    with_lines = named.select("order_id").distinct()
+    empty = header.join(with_lines, "order_id", "left_anti")
+    return filled.unionByName(empty, allowMissingColumns=True).select(
         "order_id", "customer_name", "status", "total_amount", "order_date", "sku",
         "product_name", "quantity", "unit_price", "item_status",
     )

@@ -75,8 +75,5 @@ def running(
             (F.col(f"_in_{n}") + F.coalesce(F.col(f"_from_{n}"), F.lit(0))).alias(n)
             for n in sums
         ],
-        *[
-            F.coalesce(F.col(f"_in_{n}"), F.col(f"_from_{n}")).alias(n)
-            for n in latest
-        ],
+        *[F.greatest(f"_in_{n}", f"_from_{n}").alias(n) for n in latest],
     )
