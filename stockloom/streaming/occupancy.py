@@ -10,16 +10,21 @@ from stockloom.operators.occupancy import occupancy_delta
 from stockloom.session import scratch_path
 
 
-def running_occupancy(changes: DataFrame, lateness: str = "7 days") -> DataFrame:
+def running_occupancy(changes: DataFrame, lateness: str | None = None) -> DataFrame:
     """Streaming total of (new_total - old_total) per location.
 
     changes: change_id, changed_at, location_id, old_total, new_total. A change delivered
-    again within ``lateness`` counts once; state older than that is dropped. The totals are
-    one row per location.
+    again counts once. Without ``lateness`` every change id is kept (in a disk-backed state
+    store, spread by id) and the totals are exact. With it, ids older than that are dropped
+    to bound the state; give it only where no change arrives later than that, as such
+    changes are then left out.
     """
-    once = changes.withWatermark("changed_at", lateness).dropDuplicatesWithinWatermark(
-        ["change_id"]
-    )
+    if lateness is None:
+        once = changes.dropDuplicates(["change_id"])
+    else:
+        once = changes.withWatermark("changed_at", lateness).dropDuplicatesWithinWatermark(
+            ["change_id"]
+        )
     return occupancy_delta(once)
 
 
@@ -52,10 +57,11 @@ def latest_totals(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def run_to_end(changes: DataFrame) -> DataFrame:
+def run_to_end(changes: DataFrame, lateness: str | None = None) -> DataFrame:
     """Process everything the stream holds now and return the totals."""
     spark = changes.sparkSession
     path = scratch_path(spark, "occupancy")
     checkpoint = scratch_path(spark, "occupancy-checkpoint")
-    write_totals(running_occupancy(changes), path, checkpoint, available_now=True).awaitTermination()
+    totals = running_occupancy(changes, lateness)
+    write_totals(totals, path, checkpoint, available_now=True).awaitTermination()
     return latest_totals(spark, path)
