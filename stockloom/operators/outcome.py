@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -39,16 +40,20 @@ class Outcome:
         return self._built[1]
 
 
-def ledger_rows(
-    rows: DataFrame,
-    kind: str | Column,
-    quantity: str = "quantity",
-    location: Column | None = None,
-    employee: Column | None = None,
-    reference: Column | None = None,
-    notes: str | Column | None = None,
-) -> DataFrame:
-    """Audit rows with one schema for all events; unnamed columns are NULL."""
+@dataclass
+class Event:
+    """One kind of audit row; a row is written where ``when`` holds. The rest is NULL."""
+
+    kind: str
+    when: Column | None = None
+    location: Column | None = None
+    employee: Column | None = None
+    reference: Column | None = None
+    notes: str | Column | None = None
+
+
+def ledger_events(rows: DataFrame, events: list[Event], quantity: str = "quantity") -> DataFrame:
+    """Audit rows of several kinds from one pass over ``rows``, with one schema for all."""
 
     def text(value: str | Column | None) -> Column:
         return (F.lit(value) if value is None or isinstance(value, str) else value).cast("string")
@@ -56,11 +61,27 @@ def ledger_rows(
     def number(value: Column | None) -> Column:
         return (F.lit(None) if value is None else value).cast("bigint")
 
-    values = [
-        text(kind), F.col("product_id").cast("bigint"), number(location),
-        F.col(quantity).cast("int"), number(employee), text(reference), text(notes),
-    ]
-    return rows.select(*[v.alias(n) for v, n in zip(values, LEDGER_COLUMNS, strict=True)])
+    candidates = []
+    for event in events:
+        row = F.struct(
+            F.lit(event.kind).alias("transaction_type"),
+            F.col("product_id").cast("bigint").alias("product_id"),
+            number(event.location).alias("location_id"),
+            F.col(quantity).cast("int").alias("quantity"),
+            number(event.employee).alias("employee_id"),
+            text(event.reference).alias("reference_id"),
+            text(event.notes).alias("notes"),
+        )
+        candidates.append(row if event.when is None else F.when(event.when, row))
+    if len(candidates) == 1 and events[0].when is None:
+        return rows.select(candidates[0].alias("e")).select(*[f"e.{c}" for c in LEDGER_COLUMNS])
+    written = F.explode(F.array_compact(F.array(*candidates)))
+    return rows.select(written.alias("e")).select(*[f"e.{c}" for c in LEDGER_COLUMNS])
+
+
+def ledger_rows(rows: DataFrame, kind: str, quantity: str = "quantity", **values) -> DataFrame:
+    """One audit row per row."""
+    return ledger_events(rows, [Event(kind, **values)], quantity)
 
 
 def first_per_order(requests: DataFrame) -> DataFrame:

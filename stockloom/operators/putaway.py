@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.operators.outcome import Outcome, ledger_rows
+from stockloom.operators.outcome import Event, Outcome, ledger_events, ledger_rows
 from stockloom.plans.allocate import allocate, laid_out
 from stockloom.plans.resolve import resolve
 from stockloom.schema import NOTES
@@ -89,7 +89,6 @@ def op_receive(
         )
         .drop("has_supplier", "has_product")
     )
-    failed = checked.filter("refusal = 'failed inspection'")
     passed = checked.filter("refusal IS NULL")
     stored = op_put_away(
         passed.select(
@@ -108,21 +107,19 @@ def op_receive(
     reference = F.col("reference_id")
 
     def effects():
-        parts = [
-            ledger_rows(
-                failed, "QUALITY_FAIL", "qty", employee=F.col("inspector_id"),
-                reference=reference, notes=NOTES["qa_fail"],
-            ),
-            ledger_rows(
-                passed, "RECEIVING", "qty", employee=F.col("receiver_id"),
-                reference=reference, notes=NOTES["qa_pass"],
-            ),
-            stored.ledger,
-            ledger_rows(
-                refused, "STOCK_ADJUSTMENT", "qty", employee=F.col("employee_id"),
-                reference=reference, notes=NOTES["no_room"],
+        failed = F.col("refusal") == "failed inspection"
+        inspected = [
+            Event("QUALITY_FAIL", failed, None, F.col("inspector_id"), reference, NOTES["qa_fail"]),
+            Event(
+                "RECEIVING", F.col("refusal").isNull(), None, F.col("receiver_id"), reference,
+                NOTES["qa_pass"],
             ),
         ]
+        no_room = ledger_rows(
+            refused, "STOCK_ADJUSTMENT", "qty", employee=F.col("employee_id"),
+            reference=reference, notes=NOTES["no_room"],
+        )
+        parts = [ledger_events(checked, inspected, "qty"), stored.ledger, no_room]
         return reduce(DataFrame.unionByName, parts), stored.changes
 
     return Outcome(decisions, effects)

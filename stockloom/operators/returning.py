@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.functions.scalars import order_reference
-from stockloom.operators.outcome import Outcome, first_per_order, ledger_rows
+from stockloom.operators.outcome import Event, Outcome, first_per_order, ledger_events
 from stockloom.schema import NOTES, SCRAP_REASONS
 
 
@@ -32,10 +30,12 @@ def op_return(
         if "order_item_id" in order_items.columns
         else F.struct("quantity", "unit_price")
     )
-    bought = lines.groupBy("order_id", "product_id").agg(
-        F.min_by(F.struct("quantity", "unit_price"), line_order).alias("line")
+    per_product = lines.groupBy("order_id", "product_id").agg(
+        F.min_by(F.struct("quantity", "unit_price"), line_order).alias("line"),
+        F.sum("quantity").alias("units"),
     )
-    totals = lines.groupBy("order_id").agg(F.sum("quantity").alias("order_units"))
+    bought = per_product.drop("units")
+    totals = per_product.groupBy("order_id").agg(F.sum("units").alias("order_units"))
     checked = (
         asked.join(
             orders.select("order_id", F.col("status").alias("order_status")), "order_id", "left"
@@ -71,34 +71,27 @@ def op_return(
             .withColumn("refund_amount", F.round(F.col("qty") * F.col("line.unit_price"), 2))
             .withColumn("fully_returned", F.col("qty") == F.col("order_units"))
         )
-        restocked = accepted.filter(~scrapped & F.col("location_id").isNotNull())
+        goes_back = ~scrapped & F.col("location_id").isNotNull()
         inspected = F.concat(
             F.lit("Return QA completed. Reason: "), F.col("reason"), F.lit(". Restockable: "),
             F.when(scrapped, F.lit("False")).otherwise(F.lit("True")),
         )
         reference = order_reference()
-        parts = [
-            ledger_rows(
-                accepted, "RETURN_INSPECTED", "qty", reference=reference, notes=inspected
-            ),
-            ledger_rows(
-                restocked, "STOCK_ADJUSTMENT", "qty", location=F.col("location_id"),
-                reference=reference, notes=NOTES["restock"],
-            ),
-            ledger_rows(
-                accepted.filter(scrapped), "QUALITY_FAIL", "qty", reference=reference,
-                notes=NOTES["scrap"],
-            ),
+        location = F.col("location_id")
+        events = [
+            Event("RETURN_INSPECTED", reference=reference, notes=inspected),
+            Event("STOCK_ADJUSTMENT", goes_back, location, None, reference, NOTES["restock"]),
+            Event("QUALITY_FAIL", scrapped, None, None, reference, NOTES["scrap"]),
         ]
-        return reduce(DataFrame.unionByName, parts), {
+        return ledger_events(accepted, events, "qty"), {
             "returns": accepted.select(
                 "order_id", "product_id", F.col("qty").alias("quantity"),
                 F.col("reason").alias("return_reason"), "return_date", "refund_amount",
                 F.lit("Approved").alias("status"), "fully_returned",
             ),
-            "inventory_delta": restocked.groupBy("product_id", "location_id").agg(
-                F.sum("qty").cast("int").alias("quantity_on_hand")
-            ),
+            "inventory_delta": accepted.filter(goes_back)
+            .groupBy("product_id", "location_id")
+            .agg(F.sum("qty").cast("int").alias("quantity_on_hand")),
             "orders": accepted.select("order_id", F.lit("Returned").alias("status")),
         }
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -118,20 +120,21 @@ def _in_sequence() -> Callable[[pd.DataFrame], pd.DataFrame]:
     """
 
     def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("seq", kind="stable")
+        columns = [rows[c].tolist() for c in ("seq", "resource", "need", "delta", "level")]
         moved: dict = {}
-        decisions = []
-        for seq, request in rows.sort_values("seq", kind="stable").groupby("seq", sort=True):
-            asked = request[request["need"].notna()]
+        decisions: dict = {}
+        for seq, request in groupby(zip(*columns, strict=True), key=itemgetter(0)):
+            asked = list(request)
+            # A need that is NULL arrives as NaN, which is unequal to itself.
             accepted = all(
-                level + moved.get(resource, 0) >= need
-                for resource, need, level in zip(
-                    asked["resource"], asked["need"], asked["level"], strict=True
-                )
+                need != need or need is None or level + moved.get(resource, 0) >= need
+                for _, resource, need, _, level in asked
             )
             if accepted:
-                for resource, delta in zip(request["resource"], request["delta"], strict=True):
+                for _, resource, _, delta, _ in asked:
                     moved[resource] = moved.get(resource, 0) + delta
-            decisions.append((seq, accepted))
-        return pd.DataFrame(decisions, columns=["seq", "accepted"])
+            decisions[seq] = accepted
+        return pd.DataFrame({"seq": decisions.keys(), "accepted": decisions.values()})
 
     return decide
