@@ -16,7 +16,7 @@ TYPES = {
     "boolean": "BOOLEAN",
 }
 # Decided request by request, which SQL does too slowly; see test_rules.py.
-SEQUENTIAL = {"op_reserve", "op_reserve_ledger", "op_move_stock", "op_move_stock_delta"}
+SEQUENTIAL = {"op_move_stock", "op_move_stock_delta"}
 
 
 @pytest.fixture(scope="module")
