@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_ROWS_KEY = "stockloom.broadcast.maxRows"
-MAX_BYTES_KEY = "stockloom.broadcast.maxBytes"
+MAX_ROWS_KEY = "spark.stockloom.broadcast.maxRows"
+MAX_BYTES_KEY = "spark.stockloom.broadcast.maxBytes"
 MAX_ROWS = 500_000
 MAX_BYTES = 64 << 20
 

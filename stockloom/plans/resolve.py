@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stockloom.plans.scan import BLOCK, running, with_blocks
 
-TAIL_ROWS_KEY = "stockloom.resolve.tailRows"
+TAIL_ROWS_KEY = "spark.stockloom.resolve.tailRows"
 TAIL_ROWS = 10_000
 
 BEFORE_ALL = -(2**63)  # sequence number of the starting levels

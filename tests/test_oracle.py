@@ -15,7 +15,7 @@ TYPES = {
     "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
     "boolean": "BOOLEAN",
 }
-# Decided request by request, which SQL does too slowly; see test_rules.py.
+# Long chains of dependent requests, which SQL decides too slowly; see test_rules.py.
 SEQUENTIAL = {"op_move_stock", "op_move_stock_delta"}
 
 
