@@ -9,6 +9,7 @@ from stockloom.functions.scalars import order_reference
 from stockloom.operators.lookups import pick_rows
 from stockloom.operators.outcome import Outcome, first_per_order, ledger_rows
 from stockloom.plans.allocate import allocate, laid_out
+from stockloom.plans.scan import saved
 from stockloom.schema import NOTES
 
 
@@ -116,14 +117,17 @@ def op_ship(
             .groupBy(*per_product)
             .agg(F.sum("quantity").alias("quantity"))
         )
-        taken = allocate(
-            laid_out(
-                inventory.select("product_id", "location_id", "quantity_reserved"),
-                ["product_id"], ["location_id"], "quantity_reserved",
-            ),
-            laid_out(demand, ["product_id"], ["seq"], "quantity"),
-            ["product_id"], ["location_id"], ["seq", "order_id", "carrier", "tracking_number"],
-        ).checkpoint()
+        supply = laid_out(
+            inventory.select("product_id", "location_id", "quantity_reserved"),
+            ["product_id"], ["location_id"], "quantity_reserved",
+        )
+        wanted = laid_out(demand, ["product_id"], ["seq"], "quantity")
+        taken = saved(
+            allocate(
+                supply, wanted, ["product_id"], ["location_id"],
+                ["seq", "order_id", "carrier", "tracking_number"],
+            )
+        )
         note = F.concat(
             F.lit("Dispatched via "), F.col("carrier"), F.lit(". Tracking: "),
             F.col("tracking_number"),

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from stockloom.functions.scalars import available
 from stockloom.operators.outcome import Outcome, ledger_rows
+from stockloom.plans.lookup import lookup_join
 from stockloom.plans.resolve import resolve
+from stockloom.plans.scan import saved
 from stockloom.schema import MOVE_REFERENCE, NOTES
 
 
@@ -36,7 +38,9 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
     # Quantities are positive, so a source bin without a row (level 0) fails by itself; the
     # destination has to be looked up.
     known = locations.select(F.col("location_id").alias("to_location"), F.lit(True).alias("known"))
-    valid = asked.join(known, "to_location", "left")
+    valid = lookup_join(
+        asked, known, "to_location", "left", spread_on=["seq"], hot_from=requests
+    )
 
     qty = F.col("qty").cast("bigint")
     source, target = F.col("from_location"), F.col("to_location")
@@ -64,7 +68,7 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
             space_levels.select("resource", "level")
         ),
     )
-    decisions = (
+    decisions = saved(
         valid.join(verdicts, "seq", "left")
         .withColumn("accepted", F.coalesce("accepted", F.lit(False)))
         .withColumn(
@@ -74,7 +78,6 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
             .when(~F.col("accepted"), F.lit("no stock or no space")),
         )
         .drop("known")
-        .checkpoint()
     )
     def effects():
         moved = decisions.filter("accepted")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from stockloom.operators.outcome import Event, Outcome, ledger_events, ledger_rows
 from stockloom.plans.allocate import allocate, laid_out
+from stockloom.plans.lookup import lookup_join
 from stockloom.plans.resolve import resolve
+from stockloom.plans.scan import saved
 from stockloom.schema import NOTES
 
 AISLE_ORDER = ["zone", "aisle", "shelf", "bin", "location_id"]
@@ -49,7 +51,8 @@ def op_put_away(receipts: DataFrame, locations: DataFrame) -> Outcome:
             ["resource"],
             ["location_id"],
             ["seq", "product_id", "employee_id", "reference_id"],
-        ).drop("resource").checkpoint()
+        )
+        placements = saved(placements.drop("resource"))
         ledger = ledger_rows(
             placements, "PUT_AWAY", location=F.col("location_id"),
             employee=F.col("employee_id"), reference=F.col("reference_id"),
@@ -75,20 +78,21 @@ def op_receive(
     inspection leaves a QUALITY_FAIL row only; a pass leaves a RECEIVING row and, without
     room, a STOCK_ADJUSTMENT row that names no bin.
     """
-    known_supplier = suppliers.select("supplier_id", F.lit(True).alias("has_supplier"))
-    known_product = products.select("product_id", F.lit(True).alias("has_product"))
-    checked = (
-        receipts.withColumn("seq", F.col("seq").cast("bigint"))
-        .join(known_supplier, "supplier_id", "left")
-        .join(known_product, "product_id", "left")
-        .withColumn(
-            "refusal",
-            F.when(F.col("has_supplier").isNull(), F.lit("unknown supplier"))
-            .when(F.col("has_product").isNull(), F.lit("unknown product"))
-            .when(~F.col("qa_passed"), F.lit("failed inspection")),
-        )
-        .drop("has_supplier", "has_product")
+    asked = receipts.withColumn("seq", F.col("seq").cast("bigint"))
+    known = lookup_join(
+        asked, suppliers.select("supplier_id", F.lit(True).alias("has_supplier")),
+        "supplier_id", "left", spread_on=["seq"], hot_from=receipts,
+    )
+    known = lookup_join(
+        known, products.select("product_id", F.lit(True).alias("has_product")),
+        "product_id", "left", spread_on=["seq"], hot_from=receipts,
     )
+    checked = known.withColumn(
+        "refusal",
+        F.when(F.col("has_supplier").isNull(), F.lit("unknown supplier"))
+        .when(F.col("has_product").isNull(), F.lit("unknown product"))
+        .when(~F.col("qa_passed"), F.lit("failed inspection")),
+    ).drop("has_supplier", "has_product")
     passed = checked.filter("refusal IS NULL")
     stored = op_put_away(
         passed.select(

@@ -9,6 +9,7 @@ from stockloom.functions.scalars import available, order_reference
 from stockloom.operators.outcome import Outcome, ledger_rows
 from stockloom.plans.allocate import allocate, laid_out
 from stockloom.plans.resolve import resolve
+from stockloom.plans.scan import saved
 from stockloom.schema import NOTES
 
 
@@ -21,7 +22,8 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
     Several lines of one product in an order are reserved together.
     """
     asked = requests.select("order_id", F.col("seq").cast("bigint").alias("seq"))
-    demand = (
+    # Read by the decisions and by the allocation: joined and added up once.
+    demand = saved(
         asked.join(order_items.select("order_id", "product_id", "quantity"), "order_id")
         .groupBy("seq", "order_id", "product_id")
         .agg(F.sum("quantity").alias("quantity"))
@@ -52,9 +54,9 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
         wanted = laid_out(
             demand.join(accepted, "seq", "left_semi"), ["product_id"], ["seq"], "quantity"
         )
-        allocations = allocate(
-            supply, wanted, ["product_id"], ["location_id"], ["seq", "order_id"]
-        ).checkpoint()
+        allocations = saved(
+            allocate(supply, wanted, ["product_id"], ["location_id"], ["seq", "order_id"])
+        )
         passed = decisions.filter("accepted").select("order_id")
         ledger = ledger_rows(
             allocations, "RESERVATION", location=F.col("location_id"),

@@ -1,7 +1,6 @@
 """Joins of a large table to a table with one row per key, safe against hot keys.
 
-A lookup side that is proven small (rows and bytes are counted, up to the bound) is
-broadcast: the large side is then not shuffled at all, so a hot key cannot hurt. Beyond
+A lookup side that is proven small (its rows and bytes are counted first) is broadcast: the large side is then not shuffled at all, so a hot key cannot hurt. Beyond
 the bound both sides are shuffled, and the few keys that hold a large share of the rows
 are spread over all partitions: their rows get a salt, and only their lookup rows are
 repeated once per salt.
@@ -28,7 +27,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def fits_broadcast(dim: DataFrame) -> bool:
-    """True if the frame is within the row and byte bounds; reads at most bound + 1 rows."""
+    """True if the frame is within the row and byte bounds.
+
+    Rows and text lengths are added up inside the map tasks; no row is shuffled for it.
+    """
     spark = dim.sparkSession
     max_rows = int(spark.conf.get(MAX_ROWS_KEY, str(MAX_ROWS)))
     max_bytes = int(spark.conf.get(MAX_BYTES_KEY, str(MAX_BYTES)))
@@ -36,11 +38,9 @@ def fits_broadcast(dim: DataFrame) -> bool:
     for field in dim.schema:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-    size: Row = (
-        dim.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b"))
-        .first()
-    )
+    size: Row = dim.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")
+    ).first()
     return size.n <= max_rows and size.b <= max_bytes
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.plans.scan import BLOCK, running, with_blocks
+from stockloom.plans.scan import BLOCK, running, saved, with_blocks
 
 TAIL_ROWS_KEY = "spark.stockloom.resolve.tailRows"
 TAIL_ROWS = 10_000
@@ -54,9 +54,9 @@ def resolve(lines: DataFrame, levels: DataFrame) -> DataFrame:
 
     decided: list[DataFrame] = []
     while True:
-        judged = _round(state).checkpoint()
+        judged = saved(_round(state))
         decided.append(judged.filter("accepted IS NOT NULL").select("seq", "accepted"))
-        n_open = judged.filter("accepted IS NULL").limit(tail_rows + 1).count()
+        n_open = judged.filter("accepted IS NULL").count()
         if n_open == 0:
             break
         state = judged.filter("accepted IS NULL OR accepted").select(
@@ -70,7 +70,7 @@ def resolve(lines: DataFrame, levels: DataFrame) -> DataFrame:
             tail = rest.groupBy("part").applyInPandas(
                 _in_sequence(), "seq bigint, accepted boolean"
             )
-            decided.append(tail.checkpoint())
+            decided.append(saved(tail))
             break
     verdicts = reduce(DataFrame.unionByName, decided)
     return verdicts.groupBy("seq").agg(F.bool_and("accepted").alias("accepted"))

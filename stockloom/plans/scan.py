@@ -16,16 +16,20 @@ from stockloom.session import ensure_checkpoints
 BLOCK = "_block"
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """The rows of a frame, kept in the shared checkpoint folder."""
+    ensure_checkpoints(df.sparkSession)
+    return df.checkpoint()
+
+
 def with_blocks(df: DataFrame, order: list[str], blocks: int | None = None) -> DataFrame:
     """Add the number of the range each row falls into, ranges sorted by ``order``.
 
     The range bounds come from a sample, so the numbered rows are checkpointed: a second
     evaluation could choose other bounds.
     """
-    spark = df.sparkSession
-    ensure_checkpoints(spark)
-    n = blocks or shuffle_partitions(spark)
-    return df.repartitionByRange(n, *order).withColumn(BLOCK, F.spark_partition_id()).checkpoint()
+    n = blocks or shuffle_partitions(df.sparkSession)
+    return saved(df.repartitionByRange(n, *order).withColumn(BLOCK, F.spark_partition_id()))
 
 
 def running(

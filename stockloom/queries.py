@@ -280,6 +280,17 @@ def _stock_ids(w: Warehouse) -> DataFrame:
     return part.unionByName(part.select((-F.col("product_id") - 1).alias("product_id")))
 
 
+def _unledgered(w: Warehouse) -> DataFrame:
+    """The bins of products that are kept out of the stock, which no ledger row covers."""
+    lines = w.driver("lineitem").filter("l_partkey % 20 = 0")
+    return lines.groupBy(
+        F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("location_id")
+    ).agg(
+        F.sum("l_quantity").cast("int").alias("quantity_on_hand"),
+        F.lit(0).alias("quantity_reserved"), F.lit(0).alias("quantity_allocated"),
+    )
+
+
 def _staff(w: Warehouse) -> DataFrame:
     roles = ENUMS[("employees", "role")]
     out = lookups.active_staff(w.employees, roles[0])
@@ -413,6 +424,9 @@ def registry() -> dict[str, Query]:
         "k_inventory_accuracy_by_product": lambda w: kpis.inventory_accuracy_by_product(
             w.inventory, w.transactions
         ),
+        "k_inventory_mismatches": lambda w: kpis.inventory_mismatches(
+            w.inventory.unionByName(_unledgered(w)), w.transactions
+        ),
         "k_inventory_turnover": lambda w: kpis.k_inventory_turnover(
             w.order_items, w.products, w.inventory
         ),
@@ -466,7 +480,9 @@ def registry() -> dict[str, Query]:
             w.warehouse_locations,
         ),
         "active_staff": _staff,
+        "inventory_available": lambda w: lookups.with_available(w.inventory),
         # integrity
+        "src_empty_guard": lambda w: tables.row_presence(base_tables(w)),
         "check_constraints": lambda w: constraints.violations(
             base_tables(w.store("inventory", "warehouse_locations", "order_items", "returns_",
                                 "transactions"))
@@ -481,6 +497,9 @@ def registry() -> dict[str, Query]:
             w.wh_orders, w.order_items
         ),
         "op_occupancy": lambda w: occupancy.op_occupancy(w.inventory),
+        "op_occupancy_apply": lambda w: occupancy.apply_occupancy(
+            w.warehouse_locations, occupancy.occupancy_delta(change_rows(w.driver("events")))
+        ),
         "op_occupancy_delta": lambda w: occupancy.occupancy_delta(
             change_rows(w.driver("events"))
         ),

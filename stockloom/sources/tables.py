@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockloom.schema import SCHEMAS
 
@@ -50,6 +53,17 @@ def load_jdbc(
     return frames
 
 
+def row_presence(frames: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, has_rows) per table; reads at most one row of each partition."""
+    checks = [
+        df.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_rows")).select(
+            F.lit(name).alias("table_name"), "has_rows"
+        )
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, checks)
+
+
 def require_nonempty(**frames: DataFrame) -> None:
     """Refuse to report on empty tables; reads at most one row of each."""
     empty = [name for name, df in frames.items() if df.limit(1).isEmpty()]
