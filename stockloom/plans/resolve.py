@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from stockloom.plans.scan import BLOCK, running, saved, with_blocks
 
 TAIL_ROWS_KEY = "spark.stockloom.resolve.tailRows"
-TAIL_ROWS = 10_000
+TAIL_ROWS = 50_000
 
 BEFORE_ALL = -(2**63)  # sequence number of the starting levels
 

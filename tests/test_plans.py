@@ -116,7 +116,7 @@ def sequential(lines, levels):
     return decisions
 
 
-@pytest.mark.parametrize("tail", [0, 40, 10_000])
+@pytest.mark.parametrize("tail", [0, 40, 50_000])
 @pytest.mark.parametrize("seed", range(2))
 def test_decisions_equal_sequential(spark, frame, setting, seed, tail):
     setting(resolve.TAIL_ROWS_KEY, tail)
