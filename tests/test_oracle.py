@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+import oracle_queries
 from conftest import SF_DIR
+from stockloom.queries import registry
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = registry()
+ORACLE = oracle_queries.oracle_sql()
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 TYPES = {
     "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
