@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stockloom.llm import license_scan
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Sets of five-word shingles, links at three quarters, components by spreading the least id.
@@ -38,7 +40,78 @@ LEFT JOIN classes ON k = list_sort(s.shingles)
 """
 
 
+# All pairs by cosine in double precision, components by spreading the least id.
+EMBED_DUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST(embedding AS VARCHAR) AS same
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(node, start) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT links.b, reach.start FROM reach JOIN links ON links.a = reach.node
+), least_id AS (SELECT node, min(start) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+copies AS (SELECT vec_id, count(*) OVER (PARTITION BY same) AS n FROM v)
+SELECT vec_id, coalesce(degree.n, 0) AS n_links, component_id, coalesce(copies.n, 1) AS n_same,
+       vec_id = component_id AS kept
+FROM embeddings JOIN least_id ON node = vec_id LEFT JOIN degree ON degree.a = vec_id
+LEFT JOIN copies USING (vec_id)
+"""
+
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in r) + ")" for r in rows)
+
+
+# Every phrase at every word; every line against every template by counting shared words.
+LICENSES = rf"""
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+), w AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM d
+), phrases(phrase, label) AS (VALUES {_values(license_scan.PHRASES.items())}),
+p AS (SELECT string_split(phrase, ' ') AS pw, label FROM phrases),
+places AS (
+  SELECT doc_id, label, i - 1 AS start
+  FROM (SELECT doc_id, words, pw, label, unnest(range(1, len(words) + 1)) AS i FROM w, p)
+  WHERE words[i] = pw[1] AND words[i:i + len(pw) - 1] = pw
+), base AS (
+  SELECT doc_id, count(*) AS n, min(start) AS a, max(start) AS b FROM places GROUP BY doc_id
+), templates(label, t) AS (VALUES {_values((a, b) for a, b in license_scan.TEMPLATES)}),
+tw AS (
+  SELECT row_number() OVER () AS k, label, list_distinct(regexp_extract_all(lower(t), '[0-9a-z]+')) AS ws
+  FROM templates
+), lines AS (
+  SELECT doc_id, i, list_distinct(regexp_extract_all(l[i], '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS ws
+  FROM (SELECT doc_id, string_split(t, chr(10)) AS l, unnest(range(1, len(l) + 1)) AS i FROM d)
+), lw AS (SELECT doc_id, i, unnest(ws) AS word FROM lines),
+tt AS (SELECT k, label, len(ws) AS size, unnest(ws) AS word FROM tw),
+met AS (
+  SELECT doc_id, label, count(*) / size AS share FROM lw JOIN tt USING (word)
+  GROUP BY doc_id, i, k, label, size HAVING count(*) >= ceil(0.9 * size - 1e-9)
+), best AS (SELECT doc_id, max(share) AS share FROM met GROUP BY doc_id),
+base_names AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS x FROM places GROUP BY doc_id),
+names AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS x
+  FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM met) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
+       coalesce(base_names.x, '') AS base_labels, coalesce(names.x, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)
+LEFT JOIN base_names USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": NEAR_DUP,
+        "op2_subspace_near_dedup": EMBED_DUP,
+        "op3_license_scan": LICENSES,
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.llm import near_dup
+from stockloom.llm import embed_dup, license_scan, near_dup
 from stockloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_subspace_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
 def registry() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
             op1_minhash_near_dedup,
+            op2_subspace_near_dedup,
+            op3_license_scan,
         )
     }
