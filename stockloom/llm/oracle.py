@@ -109,9 +109,28 @@ LEFT JOIN base_names USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
 
+# SHA-1 of the payload in base32, 20 bits at a time; the largest page of a payload holds it.
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT page_id, strlen(t) AS n, sha1(t) AS hex FROM p),
+d AS (
+  SELECT page_id, n, array_to_string(flatten([
+    ['ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || hex[5 * g + 1:5 * g + 5])::BIGINT
+                                              >> (15 - 5 * k)) & 31)] FOR k IN range(4)]
+    FOR g IN range(8)]), '') AS digest
+  FROM h
+), m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS holder FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": NEAR_DUP,
         "op2_subspace_near_dedup": EMBED_DUP,
         "op3_license_scan": LICENSES,
+        "op10_warc_round_trip": WARC,
     }

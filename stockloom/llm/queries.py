@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.llm import embed_dup, license_scan, near_dup
+from stockloom.llm import embed_dup, license_scan, near_dup, sharding, warc
 from stockloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op4_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"), payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def registry() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -31,5 +40,7 @@ def registry() -> dict[str, Query]:
             op1_minhash_near_dedup,
             op2_subspace_near_dedup,
             op3_license_scan,
+            op4_virtual_slot_shards,
+            op10_warc_round_trip,
         )
     }
