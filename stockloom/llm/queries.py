@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.llm import embed_dup, license_scan, near_dup, sharding, warc
+from stockloom.llm import decontaminate, embed_dup, language_id, license_scan, near_dup, sharding, warc
 from stockloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,15 @@ def op4_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op6_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(table(spark, sf_dir, "documents"))
+
+
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -41,6 +50,8 @@ def registry() -> dict[str, Query]:
             op2_subspace_near_dedup,
             op3_license_scan,
             op4_virtual_slot_shards,
+            op6_language_bitmasks,
+            op7_template_decontamination,
             op10_warc_round_trip,
         )
     }
