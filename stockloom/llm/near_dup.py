@@ -2,9 +2,10 @@
 shingle sets to confirm.
 
 1. Every text becomes a set of 64-bit hashes of its five-word shingles, MinHash samples of
-   that set, band keys over the samples, and an odd sketch: each (sample number, sample) flips
-   one bit of a parity bitmap, so the bits in which two bitmaps differ tell how many samples
-   differ, most precisely where nearly all agree.
+   that set, band keys over the samples, and an odd sketch. The sketch folds one-permutation
+   samples (the least hash in each of ``bins`` ranges) into a parity bitmap: each sample flips
+   one bit, so the bits in which two bitmaps differ tell how many samples differ, most
+   precisely where nearly all agree. Sets smaller than the bins are folded almost whole.
 2. Texts with the same set are one class; its smallest id stands for it.
 3. Band buckets give candidates. First every member is compared with the smallest of its
    bucket. Then, in buckets whose members still lie in several components, every member
@@ -12,19 +13,18 @@ shingle sets to confirm.
    inside a component need no comparison, so a group of thousands of copies costs about one
    comparison per copy and band, not one per pair; no pair that could join two components is
    left out.
-4. Candidates whose sketches differ too much for the threshold are dropped; the margin is
-   more than four standard errors. The rest are confirmed on the full sets.
+4. Candidates whose sketches differ by ``sigmas`` standard errors more than at the threshold
+   are dropped, inside the join that makes them. The rest are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,19 +46,31 @@ class Params:
     percent: int = 75
     bands: int = 60
     rows: int = 6
-    sketch_bits: int = 512
-    margin: float = 0.20
+    sketch_bits: int = 4096
+    bins: int = 2048
+    sigmas: float = 4.5
 
     @property
     def samples(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def most_bits(self) -> int:
-        """Differing sketch bits expected at ``margin`` below the threshold."""
-        differ = 2 * self.samples * (1 - self.percent / 100 + self.margin)
-        n = self.sketch_bits
-        return int(n / 2 * (1 - exp(-2 * differ / n))) + 1
+
+def most_bits(shingles: Column, used: Column, p: Params) -> Column:
+    """Sketch bits in which a pair at the threshold may differ.
+
+    ``shingles``: the sizes of both sets together; ``used``: the bins in use together. The
+    union spreads over the bins; a bin's least hash is shared with the chance of the
+    similarity, and what is not shared differs. The bound is ``sigmas`` standard errors wider:
+    of the samples, which vanish when the bins hold the whole sets, and of folding them.
+    """
+    j, n = p.percent / 100, p.sketch_bits
+    union = shingles / (1 + j)
+    filled = p.bins * (1 - F.exp(-union / p.bins))
+    sampling = filled * j * (1 - j) * F.greatest(1 - filled / union, F.lit(0.0))
+    differ = F.greatest(used - 2 * j * filled, F.lit(0.0))
+    fade = F.exp(-4 * differ / n)
+    folding = F.greatest(n / 4 * (1 - fade) - differ * fade, F.lit(0.0))
+    return n / 2 * (1 - F.exp(-2 * differ / n)) + p.sigmas * F.sqrt(4 * sampling + folding) + 2
 
 
 def shingle_sets(words: WordHasher, column: pa.Array, width: int):
@@ -95,9 +107,25 @@ SIGNATURE = T.StructType([
     T.StructField("set_b", T.LongType()),
     T.StructField("bands", T.ArrayType(T.LongType())),
     T.StructField("sketch", T.ArrayType(T.LongType())),
+    T.StructField("used", T.LongType()),
 ])
 
 
+def odd_sketches(values: np.ndarray, owner: np.ndarray, n: int, p: Params):
+    """Parity bitmaps of n sets (64-bit words in a row) and the bins each set uses."""
+    hashed = mix(values + MIX)
+    order = np.lexsort((hashed, owner))
+    hashed, owner = hashed[order], owner[order]
+    bin_ = hashed >> np.uint64(64 - (p.bins - 1).bit_length())
+    least = np.ones(len(hashed), bool)
+    least[1:] = (bin_[1:] != bin_[:-1]) | (owner[1:] != owner[:-1])
+    hashed, owner = hashed[least], owner[least]
+    place = mix(hashed) >> np.uint64(64 - (p.sketch_bits - 1).bit_length())
+    flips = np.bincount(owner * p.sketch_bits + place.astype(np.int64), minlength=n * p.sketch_bits)
+    words = np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
+    return words, np.bincount(owner, minlength=n)
+
+
 def _signer(p: Params) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.Generator(np.random.PCG64(7))
@@ -105,7 +133,6 @@ def _signer(p: Params) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
         flip = rng.integers(0, 1 << 63, p.samples, dtype=np.uint64)
         weight = rng.integers(0, 1 << 63, p.rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         words = WordHasher()
-        shift = np.uint64(64 - (p.sketch_bits - 1).bit_length())
         for batch in steps(batches):
             values, first = shingle_sets(words, batch.column(1), p.width)
             sizes = np.diff(first)
@@ -122,11 +149,7 @@ def _signer(p: Params) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             numbers = np.arange(p.bands, dtype=np.uint64) * MIX
             keys = (sample.reshape(-1, p.bands, p.rows) * weight).sum(2, dtype=np.uint64)
             keys = mix(keys + numbers)
-            place = mix(sample + np.arange(p.samples, dtype=np.uint64) * MIX) >> shift
-            flat = (np.arange(len(full), dtype=np.int64)[:, None] * p.sketch_bits
-                    + place.astype(np.int64))
-            parity = np.bincount(flat.ravel(), minlength=len(full) * p.sketch_bits) & 1
-            sketch = np.packbits(parity.astype(np.uint8)).view(np.int64)
+            sketch, used = odd_sketches(values, np.repeat(np.arange(len(full)), sizes[full]), len(full), p)
 
             n = batch.num_rows
             mask = sizes == 0
@@ -144,7 +167,7 @@ def _signer(p: Params) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes.astype(np.int64)), spread(set_a), spread(set_b),
                  lists(keys.ravel().view(np.int64), p.bands),
-                 lists(sketch, p.sketch_bits // 64)],
+                 lists(sketch, p.sketch_bits // 64), spread(used)],
                 names=SIGNATURE.fieldNames())
 
     return sign
@@ -180,15 +203,16 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
         _signer(p), SIGNATURE)
 
 
-def _sifted(pairs: DataFrame, sketches: DataFrame, p: Params) -> DataFrame:
-    """Pairs (a, b) whose odd sketches allow the threshold."""
-    one = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa"))
-    two = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb"))
-    differ = sum(
-        (F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(p.sketch_bits // 64)),
-        F.lit(0),
-    )
-    return (pairs.join(one, "a").join(two, "b").filter(differ <= p.most_bits).select("a", "b"))
+def _alike(p: Params) -> Column:
+    """Whether the odd sketches of rows with columns sa, na, ua and sb, nb, ub allow a link."""
+    differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i]))
+                  for i in range(p.sketch_bits // 64)), F.lit(0))
+    return differ <= most_bits(F.col("na") + F.col("nb"), F.col("ua") + F.col("ub"), p)
+
+
+def _sketched(reps: DataFrame, side: str) -> DataFrame:
+    return reps.select(F.col("doc_id").alias(side), F.col("sketch").alias(f"s{side}"),
+                       F.col("n_shingles").alias(f"n{side}"), F.col("used").alias(f"u{side}"))
 
 
 def _confirmed(work: Work, name: str, pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
@@ -240,7 +264,7 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     reps = known.join(
         classes.select("set_a", "set_b", "n_shingles", F.col("rep").alias("doc_id")),
         ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi",
-    ).dropDuplicates(["set_a", "set_b", "n_shingles"]).select("doc_id", "bands", "sketch")
+    ).dropDuplicates(["set_a", "set_b", "n_shingles"]).select("doc_id", "n_shingles", "bands", "sketch", "used")
     reps = work.keep(reps, "reps")
     keyed = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(
@@ -249,10 +273,10 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     members = work.keep(keyed.join(buckets, "key").select("key", "pivot", "doc_id"), "members")
 
     # A repeated doc_id may have several sketches; any of them may link.
-    sketches = reps.select("doc_id", "sketch")
     stars = members.filter("doc_id > pivot").select(
         F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _confirmed(work, "stars", _sifted(stars, sketches, p).distinct(), docs, p)
+    near = stars.join(_sketched(reps, "a"), "a").join(_sketched(reps, "b"), "b").filter(_alike(p))
+    links = _confirmed(work, "stars", near.select("a", "b").distinct(), docs, p)
     found = work.keep(components(links), "found")
 
     placed = members.select("key", "doc_id").join(
@@ -266,17 +290,15 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     ).filter("parts > 1").select("key", F.col("top.component").alias("main"))
     still = work.keep(placed.join(mixed, "key"), "still")
     minor = still.filter("component <> main").select(
-        "key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
+        "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
+    minor = minor.join(_sketched(reps, "a"), "a")
+    other = still.withColumnRenamed("doc_id", "b").join(_sketched(reps, "b"), "b")
     # A pair of two outside members is taken once, by the smaller component.
-    rest = (
-        minor.join(still, "key")
-        .filter((F.col("component") == F.col("main")) | (F.col("cx") < F.col("component")))
-        .filter("cx <> component")
-        .select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b"))
-        .distinct()
-    )
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(work, "rest", _sifted(rest, sketches, p).distinct(), docs, p)
+    rest = minor.join(other, "key").filter(
+        ((F.col("component") == F.col("main")) | (F.col("ca") < F.col("component")))
+        & (F.col("ca") != F.col("component")) & _alike(p)
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = _confirmed(work, "rest", rest, docs, p)
     final = components(links.unionByName(more).unionByName(_same_document(known, classes)))
 
     named = classes.join(final, classes.rep == final.node, "left")
