@@ -47,7 +47,7 @@ class Params:
     bands: int = 60
     rows: int = 6
     sketch_bits: int = 4096
-    bins: int = 2048
+    bins: int = 8192
     sigmas: float = 4.5
 
     @property
@@ -66,11 +66,12 @@ def most_bits(shingles: Column, used: Column, p: Params) -> Column:
     j, n = p.percent / 100, p.sketch_bits
     union = shingles / (1 + j)
     filled = p.bins * (1 - F.exp(-union / p.bins))
-    sampling = filled * j * (1 - j) * F.greatest(1 - filled / union, F.lit(0.0))
+    lost = F.greatest(union - filled, F.lit(0.0))  # hashes hidden by a lesser one in their bin
+    sampling = filled * j * (1 - j) * lost / union + lost * F.exp(-2 * union / p.bins)
     differ = F.greatest(used - 2 * j * filled, F.lit(0.0))
     fade = F.exp(-4 * differ / n)
     folding = F.greatest(n / 4 * (1 - fade) - differ * fade, F.lit(0.0))
-    return n / 2 * (1 - F.exp(-2 * differ / n)) + p.sigmas * F.sqrt(4 * sampling + folding) + 2
+    return n / 2 * (1 - F.exp(-2 * differ / n)) + p.sigmas * F.sqrt(4 * sampling + folding) + 4
 
 
 def shingle_sets(words: WordHasher, column: pa.Array, width: int):
