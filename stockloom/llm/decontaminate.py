@@ -37,6 +37,10 @@ UNITS = (
 NUMBER, UNIT, NAME = 1, 2, 3
 
 
+# Findings up to this many are broadcast (16 bytes each); beyond it they are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Params:
     width: int = 8  # words of a window
@@ -230,3 +234,20 @@ def _own_widths(lengths: DataFrame, p: Params) -> DataFrame:
     return lengths.filter(F.col("words") >= p.least_item).select(
         F.col("item").alias("id"), F.least("words", F.lit(p.width)).cast("int").alias("width")
     ).distinct()
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, p: Params | None = None) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item was found.
+
+    Rows are told apart by doc_id and text, so a clean row stays also when it shares its id,
+    or the lack of one, with a contaminated row.
+    """
+    work = Work(docs.sparkSession, "cleaned")
+    found = contaminated(docs, benchmark, p).select(
+        F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key")).distinct()
+    found = work.keep(found, "found")
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_found_id")) & (
+        F.xxhash64(docs["text"]) == F.col("_found_key"))
+    return docs.join(found, same, "left_anti")

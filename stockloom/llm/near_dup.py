@@ -314,3 +314,26 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
         F.coalesce("n_class", F.lit(1)).cast("bigint").alias("n_class"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     return result.select("doc_id", "n_shingles", "component_id", "kept", "n_class")
+
+
+def deduplicated(docs: DataFrame, p: Params | None = None) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: one document of each group stays, the one
+    of the smallest doc_id. Rows with a null doc_id stay; of rows that repeat a doc_id one stays.
+    """
+    found = near_duplicates(docs, p)
+    work = Work(docs.sparkSession, "deduplicated")
+    gone = work.keep(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    rest = docs.join(_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    repeated = work.keep(
+        docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return rest
+    one = rest.join(_small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return rest.join(_small(repeated), "doc_id", "left_anti").select(*docs.columns).unionByName(
+        one.select(*docs.columns))
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """Marked for broadcast when there are few enough ids."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockloom.llm import decontaminate, embed_dup, language_id, license_scan, near_dup, sharding, warc
+from stockloom.llm import (
+    decontaminate, embed_dup, language_id, license_scan, near_dup, pieces, sharding, token_counts,
+    toxicity, warc,
+)
 from stockloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +32,13 @@ def op4_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op5_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after three edits derived from its own text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    edited = docs.withColumn("edits", token_counts.derived_edits(F.col("doc_id"), F.col("text")))
+    return token_counts.counted(edited, ["doc_id"]).drop("edited")
+
+
 def op6_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(table(spark, sf_dir, "documents"))
 
@@ -37,6 +48,15 @@ def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, ["doc_id"], pieces.load(), check=True)
+
+
+def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -50,8 +70,11 @@ def registry() -> dict[str, Query]:
             op2_subspace_near_dedup,
             op3_license_scan,
             op4_virtual_slot_shards,
+            op5_edit_token_counts,
             op6_language_bitmasks,
             op7_template_decontamination,
+            op8_sentencepiece,
+            op9_weak_toxicity,
             op10_warc_round_trip,
         )
     }
