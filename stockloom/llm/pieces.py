@@ -22,7 +22,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -373,10 +372,11 @@ class Encoder:
         """Ids of every text; null and empty texts have none."""
         units = [t.replace(BLANK, " ").split(" ") if t else [] for t in texts]
         counts = [len(u) for u in units]
-        flat = np.empty(sum(counts), object)
-        flat[:] = [w for u in units for w in u]
-        code, distinct = pd.factorize(flat)
-        ids, first = self.remembered(list(distinct))
+        number: dict[str, int] = {}
+        code = np.fromiter((number.setdefault(w, len(number)) for u in units for w in u),
+                           np.int64, sum(counts))
+        distinct = list(number)
+        ids, first = self.remembered(distinct)
         empty = {i for i, w in enumerate(distinct) if not w}
         blank = self.v.ids[BLANK]
         out, at = [], 0

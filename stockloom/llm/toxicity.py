@@ -1,15 +1,17 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: fixed lexicons of insults, words and word beginnings that labelled
-rows show to be toxic, and patterns built on them. Each says toxic or nothing. A generative
-model of the votes, with the label hidden, estimates how often each voter fires on toxic and on
-clean texts, from the votes on all documents; the correlations that it leaves unexplained
-between voters then lower the weight of those that repeat each other. Its posterior labels
-train a linear classifier, which scores every text.
+Many voters look at a text: fixed lexicons of insults, and words and word beginnings that
+labelled rows show to be toxic. Each says toxic or nothing. A generative model of the votes, with
+the label hidden, estimates from the votes on all documents how often each voter fires on toxic
+and on clean texts; correlations between voters that one hidden label does not explain lower the
+weight of those that repeat each other. Its posterior labels train a linear classifier, which
+scores every text.
 
 Votes are counted per pattern (one bit per voter), so the label model reads a table of at most
 2 ** voters rows. The word lists and the classifier come from bounded samples of labelled rows,
-``word_rows`` and ``train_rows`` texts expected, drawn by a hash of the id.
+``word_rows`` and ``train_rows`` texts expected, drawn by a hash of the id. A feature is a word
+or a word's beginning, or a mark of it occurring several times or densely: insults that are
+inflected differ in their endings.
 """
 
 from __future__ import annotations
@@ -36,17 +38,19 @@ LEXICONS = {
     "french": "idiot idiote stupide imbécile crétin débile ordure dégoûtant minable nul",
     "spanish": "idiota estúpido imbécil basura asqueroso inútil patético payaso escoria tonto",
 }
+GRADES = 5  # of a feature, see graded()
 LEARNED = 4  # voters of learned words, and as many of learned word beginnings
 
 
 @dataclass(frozen=True)
 class Params:
-    word_rows: int = 12_000  # labelled texts expected for the word lists
+    word_rows: int = 3_000  # toxic texts expected for the word lists, and twice as many clean
     train_rows: int = 6_000  # labelled texts expected for the classifier
     least_texts: int = 5  # toxic texts in which a learned word must occur
     least_ratio: float = 8.0  # times as frequent in toxic texts as in clean ones
     most_words: int = 6_000  # learned words and beginnings kept, the strongest first
-    prefix: int = 5  # bytes of a word beginning
+    most_tried: int = 200_000  # features of toxic texts looked up in clean ones
+    beginnings: tuple = (4, 5, 6, 7, 8)  # bytes of word beginnings
     rounds: int = 200
     seed: int = 29
 
@@ -54,7 +58,8 @@ class Params:
 @dataclass
 class Model:
     fixed: list[np.ndarray]  # word hashes per lexicon
-    keys: np.ndarray  # sorted features: learned words and beginnings
+    keys: np.ndarray  # sorted features: learned words and beginnings, graded
+    bases: np.ndarray  # the same before grading
     voter: np.ndarray  # the voter of each
     weights: np.ndarray  # per feature, then per voter
     bias: float
@@ -75,21 +80,42 @@ _PREFIX_MARK = np.uint64(0x5851F42D4C957F2D)
 
 
 class Features:
-    """Word hashes and hashes of word beginnings of many lower-case texts."""
+    """Hashes of words and of word beginnings of several lengths, of many lower-case texts."""
 
-    def __init__(self, prefix: int):
-        self.words, self.prefix = WordHasher(separator=~_LETTER), prefix
+    def __init__(self, p: Params):
+        self.words, self.lengths = WordHasher(separator=~_LETTER), p.beginnings
 
     def __call__(self, column: pa.Array):
-        """Hashes and owners of words, then of the beginnings of longer words."""
+        """Hashes, their texts, and the words of each text."""
         data, bounds = text_buffer(column)
         word, start, end, first = self.words(data, bounds)
         owner = np.repeat(np.arange(len(column)), np.diff(first))
-        long = np.flatnonzero(end - start > self.prefix)
-        begin = np.zeros(len(long), np.uint64)
-        for k in range(self.prefix):
-            begin = begin << np.uint64(8) | data[start[long] + k].astype(np.uint64)
-        return word, owner, mix(begin ^ _PREFIX_MARK), owner[long]
+        hashes, owners = [word], [owner]
+        begin = np.zeros(len(word), np.uint64)
+        at = 0
+        for length in self.lengths:
+            long = np.flatnonzero(end - start > length)
+            for k in range(at, length):
+                begin[long] = begin[long] << np.uint64(8) | data[start[long] + k].astype(np.uint64)
+            at = length
+            hashes.append(mix(begin[long] ^ (_PREFIX_MARK * np.uint64(length))))
+            owners.append(owner[long])
+        return np.concatenate(hashes), np.concatenate(owners), np.diff(first)
+
+
+def graded(hashes: np.ndarray, owner: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of texts: what occurs, and marks of it occurring often or densely."""
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(fresh)
+    n = np.diff(np.append(first, len(hashes)))
+    hashes, owner = hashes[first], owner[first]
+    share = n / np.maximum(words[owner], 1)
+    marks = [np.ones(len(n), bool), n >= 2, n >= 3, (n >= 2) & (share >= 0.004), (n >= 2) & (share >= 0.01)]
+    found = [(mix(hashes[m] + np.uint64(i)), owner[m]) for i, m in enumerate(marks)]
+    return np.concatenate([h for h, _ in found]), np.concatenate([o for _, o in found])
 
 
 def _hashes(words: str) -> np.ndarray:
@@ -97,33 +123,21 @@ def _hashes(words: str) -> np.ndarray:
     return np.unique(WordHasher(separator=~_LETTER)(data, bounds)[0])
 
 
-def _distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    fresh = np.ones(len(hashes), bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[fresh], owner[fresh]
-
-
 def _lowered(rows: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.lower(F.coalesce("text", F.lit(""))).alias("lowered"))
 
 
-def _word_counter(p: Params) -> Callable:
-    """(toxic, lowered) -> features with the toxic and clean texts that hold them."""
+def _word_counter(p: Params, only=None) -> Callable:
+    """Texts -> features with the texts that hold them; with ``only`` just those, sorted."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(p.prefix)
+        features = Features(p)
         for batch in steps(batches, "lowered"):
-            toxic = np.asarray(batch.column(0)).astype(np.int64)
-            word, word_owner, begin, begin_owner = features(batch.column(1))
-            hashes, owner = _distinct(np.concatenate([word, begin]), np.concatenate([word_owner, begin_owner]))
-            keys, back = np.unique(hashes, return_inverse=True)
-            bad = np.bincount(back, toxic[owner], len(keys)).astype(np.int64)
-            every = np.bincount(back, minlength=len(keys))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(bad), pa.array(every - bad)],
-                names=["feature", "toxic", "clean"])
+            hashes, _ = graded(*features(batch.column(0)))
+            if only is not None:
+                hashes = hashes[np.isin(hashes, only.value)]
+            keys, n = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["feature", "n"])
 
     return count
 
@@ -132,32 +146,47 @@ class Matcher:
     """Which features and voters a text has."""
 
     def __init__(self, model: Model, p: Params):
-        self.model, self.features = model, Features(p.prefix)
-        self.maybe = np.zeros(1 << 18, bool)  # a first look before the search
-        for keys in (model.keys, *model.fixed):
-            self.maybe[keys >> np.uint64(46)] = True
+        self.model, self.features = model, Features(p)
+        self.maybe = np.zeros(1 << 20, bool)  # a first look before sorting
+        for keys in (model.bases, *model.fixed):
+            self.maybe[keys >> np.uint64(44)] = True
 
     def __call__(self, column: pa.Array):
-        """Distinct (text, feature) pairs, and a matrix of votes."""
+        """(text, feature) pairs and a matrix of votes."""
         m, n = self.model, len(column)
-        word, word_owner, begin, begin_owner = self.features(column)
-        hashes = np.concatenate([word, begin])
-        owner = np.concatenate([word_owner, begin_owner])
-        look = self.maybe[hashes >> np.uint64(46)]
-        hashes, owner = _distinct(hashes[look], owner[look])
+        hashes, owner, words = self.features(column)
+        look = self.maybe[hashes >> np.uint64(44)]
+        hashes, owner = hashes[look], owner[look]
         votes = np.zeros((n, m.voters), bool)
         for v, keys in enumerate(m.fixed):
             votes[owner[np.isin(hashes, keys)], v] = True
-        if len(m.keys):
-            at = np.searchsorted(m.keys, hashes).clip(max=len(m.keys) - 1)
-            hit = m.keys[at] == hashes
-            text, feature = owner[hit], at[hit]
-            votes[text, m.voter[feature]] = True
-        else:
-            text, feature = owner[:0], owner[:0]
+        hashes, owner = graded(hashes, owner, words)
+        if not len(m.keys):
+            return owner[:0], owner[:0], votes
+        at = np.searchsorted(m.keys, hashes).clip(max=len(m.keys) - 1)
+        hit = m.keys[at] == hashes
+        text, feature = owner[hit], at[hit]
+        votes[text, m.voter[feature]] = True
         return text, feature, votes
 
 
+def _bases(rows: DataFrame, keys: np.ndarray, p: Params) -> np.ndarray:
+    """The words and beginnings, before grading, from which the features ``keys`` come."""
+    shared = rows.sparkSession.sparkContext.broadcast(keys)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(p)
+        for batch in steps(batches, "lowered"):
+            base = np.unique(features(batch.column(0))[0])
+            hit = np.zeros(len(base), bool)
+            for grade in range(GRADES):
+                hit |= np.isin(mix(base + np.uint64(grade)), shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(base[hit].view(np.int64))], names=["base"])
+
+    found = _lowered(rows, []).mapInArrow(find, "base bigint").distinct().collect()  # one per key
+    return np.sort(np.array([r.base for r in found], np.int64).view(np.uint64))
+
+
 def _voter(shared, p: Params) -> Callable:
     """Texts -> vote patterns with how many texts show each."""
 
@@ -172,39 +201,52 @@ def _voter(shared, p: Params) -> Callable:
     return vote
 
 
+def unexplained(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Correlations between voters that one hidden label does not explain.
+
+    With votes independent given the label, the covariance of two voters is a product of one
+    factor each, and the factor of a voter follows from any two others. The lower median over
+    all pairs of others is not moved by the pairs that depend on each other.
+    """
+    n, total = patterns.shape[1], max(counts.sum(), 1)
+    mean = counts @ patterns / total
+    cov = (patterns * counts[:, None]).T @ patterns / total - np.outer(mean, mean)
+    factor = np.zeros(n)
+    for i in range(n):
+        others = [k for k in range(n) if k != i]
+        found = sorted(cov[i, j] * cov[i, k] / cov[j, k] for a, j in enumerate(others)
+                       for k in others[:a] if cov[j, k] > 1e-9 and cov[i, j] > 0 and cov[i, k] > 0)
+        if found:
+            factor[i] = np.sqrt(found[(len(found) - 1) // 2])
+    spread = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+    extra = (cov - np.outer(factor, factor)) / np.outer(spread, spread)
+    np.fill_diagonal(extra, 0)
+    return extra.clip(0, 1)
+
+
 def label_model(patterns: np.ndarray, counts: np.ndarray, share: float, rounds: int):
     """Rates at which voters fire on toxic and clean texts, their trust, and the toxic share.
 
-    ``patterns``: rows of 0/1 votes; ``counts``: texts with each. Expectation maximisation
-    over the hidden label; afterwards the correlation between voters that the label does not
-    explain, summed per voter, lowers its trust, and the rates are estimated again with it.
+    ``patterns``: rows of 0/1 votes; ``counts``: texts with each. A voter's trust falls with the
+    correlations to others that the label does not explain; with it, expectation maximisation
+    over the hidden label gives the rates.
     """
     n, total = patterns.shape[1], max(counts.sum(), 1)
-    toxic, clean, trust = np.full(n, 0.3), np.full(n, 0.005), np.ones(n)
+    trust = 1 / (1 + unexplained(patterns, counts).sum(1))
+    toxic, clean = np.full(n, 0.3), np.full(n, 0.005)
     share = min(max(share, 1e-4), 0.5)
-    for _ in range(2):
-        for _ in range(rounds):
-            post = posterior(patterns, toxic, clean, trust, share)
-            bad, good = counts * post, counts * (1 - post)
-            new_toxic = (bad @ patterns + 0.3) / (bad.sum() + 1)
-            new_clean = (good @ patterns + 0.005) / (good.sum() + 1)
-            # A voter for toxic may not fire more often on clean texts.
-            new_toxic = np.maximum(new_toxic, new_clean)
-            new_share = min(max(bad.sum() / total, 1e-4), 0.5)
-            moved = np.abs(new_toxic - toxic).max(initial=0) + abs(new_share - share)
-            toxic, clean, share = new_toxic, new_clean, new_share
-            if moved < 1e-9:
-                break
-        # Correlation within the classes: observed joint rates against those of the model.
+    for _ in range(rounds):
         post = posterior(patterns, toxic, clean, trust, share)
-        extra = np.zeros((n, n))
-        for weight, rate in ((counts * post, toxic), (counts * (1 - post), clean)):
-            size = max(weight.sum(), 1e-9)
-            joint = (patterns * weight[:, None]).T @ patterns / size
-            spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-9))
-            extra += (size / total) * np.abs((joint - np.outer(rate, rate)) / np.outer(spread, spread))
-        np.fill_diagonal(extra, 0)
-        trust = 1 / (1 + extra.clip(0, 1).sum(1))
+        bad, good = counts * post, counts * (1 - post)
+        new_toxic = (bad @ patterns + 0.3) / (bad.sum() + 1)
+        new_clean = (good @ patterns + 0.005) / (good.sum() + 1)
+        # A voter for toxic may not fire more often on clean texts.
+        new_toxic = np.maximum(new_toxic, new_clean)
+        new_share = min(max(bad.sum() / total, 1e-4), 0.5)
+        moved = np.abs(new_toxic - toxic).max(initial=0) + abs(new_share - share)
+        toxic, clean, share = new_toxic, new_clean, new_share
+        if moved < 1e-9:
+            break
     return toxic, clean, trust, share
 
 
@@ -264,27 +306,39 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params | None = None) -> Model:
     p = p or Params()
     spark = prepare(docs.sparkSession)
     known = labels.select("doc_id", "toxic").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    size = known.count()
+    sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bad, good = (sum(n for t, n in sizes.items() if (t == 1) == want) for want in (True, False))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1 << 30)) / (1 << 30)
 
-    def sample(rows: int) -> DataFrame:
-        picked = known.filter(draw * size < rows)  # bounded, so it can be broadcast
+    def sample(toxic: int, clean: int) -> DataFrame:
+        """Texts with labels, about so many of each kind: bounded, so the ids are broadcast."""
+        kept = draw * F.when(F.col("toxic") == 1, bad / max(toxic, 1)).otherwise(good / max(clean, 1)) < 1
+        picked = known.filter(kept & (F.col("toxic") == 1 if not clean else F.lit(True)))
         return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
-    counts = _lowered(sample(p.word_rows), ["toxic"]).mapInArrow(
-        _word_counter(p), "feature bigint, toxic bigint, clean bigint"
-    ).groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    picked = sample(p.word_rows).agg(F.sum(F.col("toxic").cast("bigint")).alias("toxic"),
-                                     F.count(F.lit(1)).alias("n")).first()
-    bad, good = int(picked.toxic or 0), int(picked.n) - int(picked.toxic or 0)
-    ratio = ((F.col("toxic") + 0.5) / (bad + 1)) / ((F.col("clean") + 0.5) / (good + 1))
-    learned = counts.filter((F.col("toxic") >= p.least_texts) & (ratio >= p.least_ratio)).orderBy(
-        F.desc(F.col("toxic") * F.log(ratio)), "feature").limit(p.most_words).select("feature").collect()
-    keys = np.sort(np.array([r.feature for r in learned], np.int64).view(np.uint64))
+    def counted(rows: DataFrame, only=None) -> DataFrame:
+        return _lowered(rows, []).mapInArrow(_word_counter(p, only), "feature bigint, n bigint").groupBy(
+            "feature").agg(F.sum("n").alias("n"))
+
+    chosen = sample(p.word_rows, 2 * p.word_rows)
+    seen = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_bad, n_good = (sum(n for t, n in seen.items() if (t == 1) == want) for want in (True, False))
+    tried = {r.feature: r.n for r in counted(chosen.filter("toxic = 1")).filter(
+        F.col("n") >= p.least_texts).orderBy(F.desc("n"), "feature").limit(p.most_tried).collect()}
+    only = spark.sparkContext.broadcast(np.sort(np.array(list(tried), np.int64).view(np.uint64)))
+    clean = {r.feature: r.n for r in counted(chosen.filter("toxic <> 1"), only).collect()}
+
+    def strength(feature: int) -> float:
+        ratio = (tried[feature] + 0.5) / (n_bad + 1) / ((clean.get(feature, 0) + 0.5) / (n_good + 1))
+        return tried[feature] * np.log(ratio) if ratio >= p.least_ratio else 0.0
+
+    learned = sorted(((strength(f), f) for f in tried), reverse=True)[: p.most_words]
+    keys = np.sort(np.array([f for s, f in learned if s > 0], np.int64).view(np.uint64))
     fixed = [_hashes(words) for words in LEXICONS.values()]
+    bases = _bases(chosen.filter("toxic = 1"), keys, p)
     # Learned features are dealt to voters by a hash, so that voters are alike but distinct.
     voter = len(fixed) + (mix(keys) % np.uint64(2 * LEARNED)).astype(np.int64)
-    model = Model(fixed, keys, voter, np.zeros(len(keys) + len(fixed) + 2 * LEARNED), 0.0)
+    model = Model(fixed, keys, bases, voter, np.zeros(len(keys) + len(fixed) + 2 * LEARNED), 0.0)
 
     shared = spark.sparkContext.broadcast(model)  # bounded by most_words
     votes = _lowered(docs, []).mapInArrow(_voter(shared, p), "pattern bigint, n bigint").groupBy(
@@ -294,7 +348,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params | None = None) -> Model:
     model.fires_toxic, model.fires_clean, model.trust, model.share = label_model(
         patterns, np.array([r.n for r in votes], float), share, p.rounds)
 
-    train = _lowered(sample(p.train_rows), []).mapInArrow(
+    train = _lowered(sample(p.train_rows // 3, p.train_rows - p.train_rows // 3), []).mapInArrow(
         _pairs(shared, p), "pattern bigint, features array<int>").collect()
     seen = _bits(np.array([r.pattern for r in train], np.int64), model.voters)
     target = posterior(seen, model.fires_toxic, model.fires_clean, model.trust, model.share)
