@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.plans.lookup import shuffle_partitions
 from stockloom.session import ensure_checkpoints, scratch_path, tune
 
 BATCH_ROWS = 2000
@@ -48,6 +48,15 @@ class Work:
             fs.delete(path, True)
 
 
+def shared(spark: SparkSession, value) -> Broadcast:
+    """A dataclass instance as a broadcast of its plain fields.
+
+    Broadcasts name classes by their module, which executors may lack; tasks make the instance
+    anew with ``cls(**shared.value)``.
+    """
+    return spark.sparkContext.broadcast(dict(vars(value)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -57,10 +66,6 @@ def crc_mod(column: str, n: int):
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n)), F.lit(0))
 
 
-def split_hot(a: DataFrame) -> int:
-    return shuffle_partitions(a.sparkSession)
-
-
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and its n + 1 offsets; nulls are empty."""
     if column.null_count:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.common import crc_mod, prepare, steps, text_buffer
+from stockloom.llm.common import crc_mod, prepare, shared, steps, text_buffer
 
 UNKNOWN = "und"
 
@@ -129,9 +129,9 @@ def fit(docs: DataFrame, p: Params | None = None) -> Model:
     return Model(languages, filters, fill**p.hashes, fallback)
 
 
-def _identifier(shared, p: Params) -> Callable:
+def _identifier(sent, p: Params) -> Callable:
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(**sent.value)
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in steps(batches, "padded"):
             n = batch.num_rows
@@ -178,9 +178,9 @@ def identify(docs: DataFrame, model: Model, keep: list[str], p: Params | None =
     rows = docs.select(
         *keep, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"),
         padded(F.col("text")).alias("padded"))
-    shared = spark.sparkContext.broadcast(model)  # a fixed number of filter positions
+    sent = shared(spark, model)  # a fixed number of filter positions
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return rows.mapInArrow(_identifier(shared, p), f"{kinds}, lang_pred string, score double")
+    return rows.mapInArrow(_identifier(sent, p), f"{kinds}, lang_pred string, score double")
 
 
 def train_rows(docs: DataFrame) -> DataFrame:

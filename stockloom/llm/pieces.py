@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.common import prepare, steps
+from stockloom.llm.common import prepare, shared, steps
 from stockloom.llm.textwords import powers
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -428,9 +428,9 @@ class Encoder:
         return self._bytes
 
 
-def _encoding(shared, check: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encoding(sent, check: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**sent.value))
         for batch in steps(batches):
             at = batch.schema.get_field_index("text")
             texts = batch.column(at).to_pylist()
@@ -453,9 +453,9 @@ def _encoding(shared, check: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return encode
 
 
-def _decoding(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _decoding(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**sent.value))
         for batch in batches:
             at = batch.schema.get_field_index("pieces")
             texts = [None if x is None else encoder.decode(x) for x in batch.column(at).to_pylist()]
@@ -477,12 +477,12 @@ def encode(docs: DataFrame, keep: list[str], vocabulary: Vocabulary, check: bool
     A null text has null pieces and 0 of them, an empty one none. Names in ``keep`` may not be
     text, n_pieces, pieces or round_trip. Rows are independent; an empty table gives no rows.
     """
-    shared = prepare(docs.sparkSession).sparkContext.broadcast(vocabulary)
+    sent = shared(prepare(docs.sparkSession), vocabulary)
     kinds = f"{_kinds(docs, keep)}n_pieces bigint, pieces array<int>" + ", round_trip boolean" * check
-    return docs.select(*keep, "text").mapInArrow(_encoding(shared, check), kinds)
+    return docs.select(*keep, "text").mapInArrow(_encoding(sent, check), kinds)
 
 
 def decode(rows: DataFrame, keep: list[str], vocabulary: Vocabulary) -> DataFrame:
     """The columns ``keep`` of ``rows`` with text, decoded from ``pieces``; null stays null."""
-    shared = prepare(rows.sparkSession).sparkContext.broadcast(vocabulary)
-    return rows.select(*keep, "pieces").mapInArrow(_decoding(shared), f"{_kinds(rows, keep)}text string")
+    sent = shared(prepare(rows.sparkSession), vocabulary)
+    return rows.select(*keep, "pieces").mapInArrow(_decoding(sent), f"{_kinds(rows, keep)}text string")

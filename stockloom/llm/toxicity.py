@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.llm.common import crc_mod, prepare, steps, text_buffer
+from stockloom.llm.common import crc_mod, prepare, shared, steps, text_buffer
 from stockloom.llm.textwords import WordHasher, mix
 
 # Common insults, by what they deny a person.
@@ -38,8 +38,9 @@ LEXICONS = {
     "french": "idiot idiote stupide imbécile crétin débile ordure dégoûtant minable nul",
     "spanish": "idiota estúpido imbécil basura asqueroso inútil patético payaso escoria tonto",
 }
+MOST_ODDS = 4.0  # log odds of all voters together beside a label
 GRADES = 5  # of a feature, see graded()
-LEARNED = 4  # voters of learned words, and as many of learned word beginnings
+LEARNED = 8  # voters of learned words and word beginnings
 
 
 @dataclass(frozen=True)
@@ -47,10 +48,12 @@ class Params:
     word_rows: int = 3_000  # toxic texts expected for the word lists, and twice as many clean
     train_rows: int = 6_000  # labelled texts expected for the classifier
     least_texts: int = 5  # toxic texts in which a learned word must occur
-    least_ratio: float = 8.0  # times as frequent in toxic texts as in clean ones
+    least_ratio: float = 20.0  # times as frequent in toxic texts as in clean ones
     most_words: int = 6_000  # learned words and beginnings kept, the strongest first
     most_tried: int = 200_000  # features of toxic texts looked up in clean ones
     beginnings: tuple = (4, 5, 6, 7, 8)  # bytes of word beginnings
+    least_strength: float = 12.0  # toxic texts with the word times the log of the ratio
+    label_rate: float = 0.995  # how often a label is taken to be right
     rounds: int = 200
     seed: int = 29
 
@@ -70,13 +73,13 @@ class Model:
 
     @property
     def voters(self) -> int:
-        return len(self.fixed) + 2 * LEARNED
+        return len(self.fixed) + LEARNED
 
 
 #: Bytes of words: ASCII letters and all bytes of longer characters.
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
-_PREFIX_MARK = np.uint64(0x5851F42D4C957F2D)
+_PREFIX_MARK = 0x5851F42D4C957F2D
 
 
 class Features:
@@ -90,16 +93,21 @@ class Features:
         data, bounds = text_buffer(column)
         word, start, end, first = self.words(data, bounds)
         owner = np.repeat(np.arange(len(column)), np.diff(first))
-        hashes, owners = [word], [owner]
+        hashes, owners, stems = [word], [owner], []
         begin = np.zeros(len(word), np.uint64)
-        at = 0
+        at, stem = 0, word
         for length in self.lengths:
             long = np.flatnonzero(end - start > length)
             for k in range(at, length):
                 begin[long] = begin[long] << np.uint64(8) | data[start[long] + k].astype(np.uint64)
+            if not at:
+                stem = word.copy()
+                stem[long] = mix(begin[long])
+            stems.append(stem[long])
             at = length
-            hashes.append(mix(begin[long] ^ (_PREFIX_MARK * np.uint64(length))))
+            hashes.append(mix(begin[long] ^ np.uint64(_PREFIX_MARK * length % (1 << 64))))
             owners.append(owner[long])
+        self.stems = np.concatenate([stem, *stems])
         return np.concatenate(hashes), np.concatenate(owners), np.diff(first)
 
 
@@ -170,28 +178,36 @@ class Matcher:
         return text, feature, votes
 
 
-def _bases(rows: DataFrame, keys: np.ndarray, p: Params) -> np.ndarray:
-    """The words and beginnings, before grading, from which the features ``keys`` come."""
-    shared = rows.sparkSession.sparkContext.broadcast(keys)
+def _origins(rows: DataFrame, keys: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """The words and beginnings from which the features ``keys`` come, and each feature's stem.
+
+    A stem is the shortest beginning of a word; what only differs further on shares it.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(keys)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(p)
         for batch in steps(batches, "lowered"):
-            base = np.unique(features(batch.column(0))[0])
-            hit = np.zeros(len(base), bool)
+            base, at = np.unique(features(batch.column(0))[0], return_index=True)
+            stem = features.stems[at]
             for grade in range(GRADES):
-                hit |= np.isin(mix(base + np.uint64(grade)), shared.value)
-            yield pa.RecordBatch.from_arrays([pa.array(base[hit].view(np.int64))], names=["base"])
+                key = mix(base + np.uint64(grade))
+                hit = np.isin(key, sent.value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[hit].view(np.int64)) for x in (key, base, stem)], names=["key", "base", "stem"])
 
-    found = _lowered(rows, []).mapInArrow(find, "base bigint").distinct().collect()  # one per key
-    return np.sort(np.array([r.base for r in found], np.int64).view(np.uint64))
+    found = _lowered(rows, []).mapInArrow(find, "key bigint, base bigint, stem bigint").groupBy("key").agg(
+        F.min("base").alias("base"), F.min("stem").alias("stem")).collect()  # one row per key
+    base, stem = (np.array([r[c] for r in found], np.int64).view(np.uint64) for c in ("base", "stem"))
+    order = np.argsort(np.array([r.key for r in found], np.int64).view(np.uint64))
+    return np.unique(base), stem[order]
 
 
-def _voter(shared, p: Params) -> Callable:
+def _voter(sent, p: Params) -> Callable:
     """Texts -> vote patterns with how many texts show each."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = Matcher(shared.value, p)
+        match = Matcher(Model(**sent.value), p)
         for batch in steps(batches, "lowered"):
             *_, votes = match(batch.column(0))
             pattern = (votes << np.arange(votes.shape[1])).sum(1)
@@ -250,28 +266,32 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, share: float, rounds:
     return toxic, clean, trust, share
 
 
-def posterior(votes: np.ndarray, toxic: np.ndarray, clean: np.ndarray, trust: np.ndarray, share: float):
-    """The chance of toxic given votes."""
+def posterior(votes: np.ndarray, toxic: np.ndarray, clean: np.ndarray, trust: np.ndarray, share: float,
+              label=0.0):
+    """The chance of toxic given votes, and ``label``, the log odds of one more voter."""
     toxic, clean = toxic.clip(1e-6, 1 - 1e-6), clean.clip(1e-6, 1 - 1e-6)
     fired, silent = np.log(toxic / clean), np.log((1 - toxic) / (1 - clean))
     odds = np.log(share / (1 - share)) + (votes * (fired * trust) + (1 - votes) * (silent * trust)).sum(1)
+    if np.ndim(label):  # what voters say together weighs less than a label, which may be wrong too
+        odds = odds.clip(-MOST_ODDS, MOST_ODDS) + label
     return 1 / (1 + np.exp(-odds.clip(-30, 30)))
 
 
-def _pairs(shared, p: Params) -> Callable:
+def _pairs(sent, p: Params) -> Callable:
     """Texts -> their features and vote pattern, for the bounded training sample."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = Matcher(shared.value, p)
+        match = Matcher(Model(**sent.value), p)
         for batch in steps(batches, "lowered"):
-            text, feature, votes = match(batch.column(0))
+            text, feature, votes = match(batch.column(1))
             order = np.argsort(text, kind="stable")
             first = np.searchsorted(text[order], np.arange(batch.num_rows + 1))
             pattern = (votes << np.arange(votes.shape[1])).sum(1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pattern), pa.ListArray.from_arrays(
-                    pa.array(first.astype(np.int32)), pa.array(feature[order].astype(np.int32)))],
-                names=["pattern", "features"])
+                    pa.array(first.astype(np.int32)), pa.array(feature[order].astype(np.int32))),
+                 batch.column(0).cast(pa.int32())],
+                names=["pattern", "features", "toxic"])
 
     return read
 
@@ -333,25 +353,29 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params | None = None) -> Model:
         return tried[feature] * np.log(ratio) if ratio >= p.least_ratio else 0.0
 
     learned = sorted(((strength(f), f) for f in tried), reverse=True)[: p.most_words]
-    keys = np.sort(np.array([f for s, f in learned if s > 0], np.int64).view(np.uint64))
+    keys = np.sort(np.array([f for s, f in learned if s >= p.least_strength], np.int64).view(np.uint64))
     fixed = [_hashes(words) for words in LEXICONS.values()]
-    bases = _bases(chosen.filter("toxic = 1"), keys, p)
-    # Learned features are dealt to voters by a hash, so that voters are alike but distinct.
-    voter = len(fixed) + (mix(keys) % np.uint64(2 * LEARNED)).astype(np.int64)
-    model = Model(fixed, keys, bases, voter, np.zeros(len(keys) + len(fixed) + 2 * LEARNED), 0.0)
+    # Features are dealt to voters by stem: those of one word would only repeat each other.
+    bases, stems = _origins(chosen.filter("toxic = 1"), keys, p)
+    voter = len(fixed) + (mix(stems) % np.uint64(LEARNED)).astype(np.int64)
+    model = Model(fixed, keys, bases, voter, np.zeros(len(keys) + len(fixed) + LEARNED), 0.0)
 
-    shared = spark.sparkContext.broadcast(model)  # bounded by most_words
-    votes = _lowered(docs, []).mapInArrow(_voter(shared, p), "pattern bigint, n bigint").groupBy(
+    sent = shared(spark, model)  # bounded by most_words
+    votes = _lowered(docs, []).mapInArrow(_voter(sent, p), "pattern bigint, n bigint").groupBy(
         "pattern").agg(F.sum("n").alias("n")).collect()  # at most 2 ** voters rows
     patterns = _bits(np.array([r.pattern for r in votes], np.int64), model.voters)
     share = (bad + 0.5) / (bad + good + 1)
     model.fires_toxic, model.fires_clean, model.trust, model.share = label_model(
         patterns, np.array([r.n for r in votes], float), share, p.rounds)
 
-    train = _lowered(sample(p.train_rows // 3, p.train_rows - p.train_rows // 3), []).mapInArrow(
-        _pairs(shared, p), "pattern bigint, features array<int>").collect()
+    # A label that may be learned is one more voter on the texts of the training sample.
+    rows = sample(p.train_rows // 3, p.train_rows - p.train_rows // 3)
+    train = _lowered(rows, ["toxic"]).mapInArrow(
+        _pairs(sent, p), "pattern bigint, features array<int>, toxic int").collect()
     seen = _bits(np.array([r.pattern for r in train], np.int64), model.voters)
-    target = posterior(seen, model.fires_toxic, model.fires_clean, model.trust, model.share)
+    sure = np.log(p.label_rate / (1 - p.label_rate))
+    label = np.array([sure if r.toxic == 1 else -sure for r in train])
+    target = posterior(seen, model.fires_toxic, model.fires_clean, model.trust, model.share, label)
     if len(train):
         lengths = [len(r.features) for r in train]
         text = np.repeat(np.arange(len(train)), lengths)
@@ -363,9 +387,9 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params | None = None) -> Model:
     return model
 
 
-def _scorer(shared, p: Params) -> Callable:
+def _scorer(sent, p: Params) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(**sent.value)
         match = Matcher(model, p)
         n = len(model.keys)
         for batch in steps(batches, "lowered"):
@@ -389,9 +413,9 @@ def score(docs: DataFrame, model: Model, keep: list[str], p: Params | None = Non
     empty table gives no rows. Names in ``keep`` may not be score or lowered.
     """
     p = p or Params()
-    shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
+    sent = shared(prepare(docs.sparkSession), model)
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    return _lowered(docs, keep).mapInArrow(_scorer(shared, p), f"{kinds}score double")
+    return _lowered(docs, keep).mapInArrow(_scorer(sent, p), f"{kinds}score double")
 
 
 def train_labels(labels: DataFrame) -> DataFrame:
