@@ -70,4 +70,5 @@ def test_odd_rows_and_empty_tables(spark):
             if i < 4:
                 assert docs.columns == schema.replace("bigint", "").replace("string", "").replace(
                     "int", "").replace(" ", "").split(",")
-        assert docs.count() == (2 if data else 0)
+        # The long text is in no language that these rows teach, and is dropped.
+        assert [r.doc_id for r in docs.collect()] == ([2] if data else [])

@@ -26,13 +26,19 @@ def test_label_model_finds_planted_voters():
     truth = rng.random(40_000) < 0.1
     rates = [(0.8, 0.01), (0.6, 0.02), (0.5, 0.01), (0.7, 0.05)]
     votes = np.stack([np.where(truth, rng.random(len(truth)) < a, rng.random(len(truth)) < b) for a, b in rates])
-    votes = np.concatenate([votes, votes[:1]])  # the last voter repeats the first
-    patterns, counts = np.unique(votes.T.astype(float), axis=0, return_counts=True)
-    toxic, clean, trust, share = toxicity.label_model(patterns, counts.astype(float), 0.2, 200)
+
+    def estimate(votes):
+        patterns, counts = np.unique(votes.T.astype(float), axis=0, return_counts=True)
+        return toxicity.label_model(patterns, counts.astype(float), 0.2, 500)
+
+    toxic, clean, trust, share = estimate(votes)
+    assert abs(share - 0.1) < 0.01 and trust.min() > 0.9
+    assert np.allclose(toxic, [a for a, _ in rates], atol=0.04)
+    assert np.allclose(clean, [b for _, b in rates], atol=0.01)
+    # A voter that repeats another is told by the correlation, and both count for less.
+    toxic, clean, trust, share = estimate(np.concatenate([votes, votes[:1]]))
     assert abs(share - 0.1) < 0.02
-    assert np.allclose(toxic[:4], [a for a, _ in rates], atol=0.06)
-    assert np.allclose(clean[:4], [b for _, b in rates], atol=0.02)
-    assert trust[0] < 0.7 and trust[4] < 0.7 and trust[1:4].min() > 0.7
+    assert max(trust[0], trust[4]) < 0.8 and trust[1:4].min() > 0.9
 
 
 def test_edges(spark):
