@@ -213,7 +213,8 @@ def _alike(p: Params) -> Column:
 
 def _sketched(reps: DataFrame, side: str) -> DataFrame:
     return reps.select(F.col("doc_id").alias(side), F.col("sketch").alias(f"s{side}"),
-                       F.col("n_shingles").alias(f"n{side}"), F.col("used").alias(f"u{side}"))
+                       F.col("n_shingles").alias(f"n{side}"), F.col("used").alias(f"u{side}"),
+                       F.col("bands").alias(f"k{side}"))
 
 
 def _confirmed(work: Work, name: str, pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
@@ -276,7 +277,8 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     # A repeated doc_id may have several sketches; any of them may link.
     stars = members.filter("doc_id > pivot").select(
         F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    near = stars.join(_sketched(reps, "a"), "a").join(_sketched(reps, "b"), "b").filter(_alike(p))
+    near = stars.join(_sketched(reps, "a").drop("ka"), "a").join(
+        _sketched(reps, "b").drop("kb"), "b").filter(_alike(p))
     links = _confirmed(work, "stars", near.select("a", "b").distinct(), docs, p)
     found = work.keep(components(links), "found")
 
@@ -294,10 +296,12 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
         "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
     minor = minor.join(_sketched(reps, "a"), "a")
     other = still.withColumnRenamed("doc_id", "b").join(_sketched(reps, "b"), "b")
-    # A pair of two outside members is taken once, by the smaller component.
+    # A pair of two outside members is taken once, by the smaller component, and a pair that
+    # meets in several buckets only in the first of them.
+    first = F.array_min(F.array_intersect("ka", "kb")) == F.col("key")
     rest = minor.join(other, "key").filter(
         ((F.col("component") == F.col("main")) | (F.col("ca") < F.col("component")))
-        & (F.col("ca") != F.col("component")) & _alike(p)
+        & (F.col("ca") != F.col("component")) & _alike(p) & first
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = _confirmed(work, "rest", rest, docs, p)
     final = components(links.unionByName(more).unionByName(_same_document(known, classes)))
