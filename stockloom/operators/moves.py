@@ -21,11 +21,17 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
     """
     asked = requests.withColumn("seq", F.col("seq").cast("bigint"))
 
+    def resource(kind, product, location):
+        return F.struct(
+            F.lit(kind).alias("kind"), product.cast("bigint").alias("product_id"),
+            location.cast("bigint").alias("location_id"),
+        )
+
     def stock(product, location):
-        return F.concat_ws(":", F.lit("stock"), product, location)
+        return resource(0, product, location)
 
     def space(location):
-        return F.concat_ws(":", F.lit("space"), location)
+        return resource(1, F.lit(-1), location)
 
     stock_levels = inventory.select(
         stock(F.col("product_id"), F.col("location_id")).alias("resource"),
@@ -46,8 +52,8 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
     source, target = F.col("from_location"), F.col("to_location")
     nothing = F.lit(None).cast("bigint")
 
-    def effect(resource, need, delta):
-        return F.struct(resource.alias("resource"), need.alias("need"), delta.alias("delta"))
+    def effect(of, need, delta):
+        return F.struct(of.alias("resource"), need.alias("need"), delta.alias("delta"))
 
     effects = F.array(
         effect(stock(F.col("product_id"), source), qty, -qty),

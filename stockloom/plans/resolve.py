@@ -8,26 +8,19 @@ the worst levels is accepted, one with a need that fails at the best level is re
 others wait for the next round. The first open request has no open request before it, so
 every round decides at least one and the result equals the sequential one.
 
-Rounds shrink quickly, but a long chain of requests that each hang on the one before can
-leave a tail that decides few per round. Once at most ``TAIL_ROWS`` rows are open they are
-decided one after the other in a single task; with more rows the rounds go on.
+There is no limit on rounds and no other way to decide: a long chain of requests that each hang
+on the one before costs a round per few requests, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
-from itertools import groupby
-from operator import itemgetter
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.plans.scan import BLOCK, running, saved, with_blocks
-
-TAIL_ROWS_KEY = "spark.stockloom.resolve.tailRows"
-TAIL_ROWS = 50_000
+from stockloom.plans.scratch import Scratch
 
 BEFORE_ALL = -(2**63)  # sequence number of the starting levels
 
@@ -39,7 +32,6 @@ def resolve(lines: DataFrame, levels: DataFrame) -> DataFrame:
     levels: resource, level; a resource without a row has level 0. A starting level is
     treated as an accepted change before all requests, so no join is needed for it.
     """
-    tail_rows = int(lines.sparkSession.conf.get(TAIL_ROWS_KEY, str(TAIL_ROWS)))
     start = levels.select(
         F.lit(BEFORE_ALL).alias("seq"), "resource", F.lit(None).cast("bigint").alias("need"),
         F.col("level").cast("bigint").alias("delta"), F.lit(True).alias("taken"),
@@ -52,28 +44,21 @@ def resolve(lines: DataFrame, levels: DataFrame) -> DataFrame:
     state = asked.unionByName(start).withColumn("level", F.lit(0).cast("bigint"))
     state = with_blocks(state, ["resource", "seq"])
 
+    rounds = Scratch(lines.sparkSession, "rounds")
     decided: list[DataFrame] = []
     while True:
-        judged = saved(_round(state))
+        judged = rounds.keep(_round(state))
         decided.append(judged.filter("accepted IS NOT NULL").select("seq", "accepted"))
-        n_open = judged.filter("accepted IS NULL").count()
-        if n_open == 0:
+        if judged.filter("accepted IS NULL").isEmpty():
             break
         state = judged.filter("accepted IS NULL OR accepted").select(
             "seq", "resource", "need", "delta", "level", BLOCK,
             F.col("accepted").isNotNull().alias("taken"),
         )
-        if n_open <= tail_rows:
-            rest = _moved(state).select(
-                F.lit(0).alias("part"), "seq", "resource", "need", "delta", "level"
-            )
-            tail = rest.groupBy("part").applyInPandas(
-                _in_sequence(), "seq bigint, accepted boolean"
-            )
-            decided.append(saved(tail))
-            break
     verdicts = reduce(DataFrame.unionByName, decided)
-    return verdicts.groupBy("seq").agg(F.bool_and("accepted").alias("accepted"))
+    verdicts = saved(verdicts.groupBy("seq").agg(F.bool_and("accepted").alias("accepted")))
+    rounds.remove()
+    return verdicts
 
 
 def _moved(state: DataFrame) -> DataFrame:
@@ -111,30 +96,3 @@ def _round(state: DataFrame) -> DataFrame:
     return scanned.join(verdict, "seq").select(
         "seq", "resource", "need", "delta", "level", BLOCK, "accepted"
     )
-
-
-def _in_sequence() -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A function that decides a bounded number of open rows one request after the other.
-
-    Built here so that it is sent to the executors whole, without this package.
-    """
-
-    def decide(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("seq", kind="stable")
-        columns = [rows[c].tolist() for c in ("seq", "resource", "need", "delta", "level")]
-        moved: dict = {}
-        decisions: dict = {}
-        for seq, request in groupby(zip(*columns, strict=True), key=itemgetter(0)):
-            asked = list(request)
-            # A need that is NULL arrives as NaN, which is unequal to itself.
-            accepted = all(
-                need != need or need is None or level + moved.get(resource, 0) >= need
-                for _, resource, need, _, level in asked
-            )
-            if accepted:
-                for _, resource, _, delta, _ in asked:
-                    moved[resource] = moved.get(resource, 0) + delta
-            decisions[seq] = accepted
-        return pd.DataFrame({"seq": decisions.keys(), "accepted": decisions.values()})
-
-    return decide

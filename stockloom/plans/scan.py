@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.plans.lookup import shuffle_partitions
+from stockloom.plans.scratch import Scratch
 from stockloom.session import ensure_checkpoints
 
 BLOCK = "_block"
+BLOCK_ROWS = 2_000_000
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -25,11 +27,17 @@ def saved(df: DataFrame) -> DataFrame:
 def with_blocks(df: DataFrame, order: list[str], blocks: int | None = None) -> DataFrame:
     """Add the number of the range each row falls into, ranges sorted by ``order``.
 
-    The range bounds come from a sample, so the numbered rows are checkpointed: a second
-    evaluation could choose other bounds.
+    The range bounds come from a sample, so the rows are written first, or their plan would run
+    twice; the numbered rows are checkpointed, as a second evaluation could choose other
+    bounds. There are as many blocks as shuffle partitions, and more where a block would
+    exceed BLOCK_ROWS rows.
     """
-    n = blocks or shuffle_partitions(df.sparkSession)
-    return saved(df.repartitionByRange(n, *order).withColumn(BLOCK, F.spark_partition_id()))
+    rows = Scratch(df.sparkSession, "unordered")
+    kept = rows.keep(df)
+    n = blocks or max(shuffle_partitions(df.sparkSession), kept.count() // BLOCK_ROWS + 1)
+    numbered = saved(kept.repartitionByRange(n, *order).withColumn(BLOCK, F.spark_partition_id()))
+    rows.remove()
+    return numbered
 
 
 def running(

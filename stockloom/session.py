@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,15 +31,16 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Where it is unset, local runs get a temporary folder, and a cluster a relative
-    path, which Hadoop resolves on the default (shared) file system.
+    Where it is unset, runs on local threads get a temporary folder; a cluster has no folder
+    that could be guessed, so the setting is required there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        local = spark.sparkContext.master.startswith("local")
-        named = tempfile.mkdtemp(prefix="stockloom-") if local else "stockloom-checkpoints"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="stockloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
