@@ -75,12 +75,9 @@ def base_tables(w: Warehouse, names: list[str] | None = None) -> dict[str, DataF
 # ---- request tables -------------------------------------------------------------------
 
 
-def order_requests(w: Warehouse, status: str | None = None) -> DataFrame:
+def order_requests(w: Warehouse) -> DataFrame:
     """One request per order, numbered by the order id."""
-    asked = w.wh_orders
-    if status:
-        asked = asked.filter(F.col("status") == status)
-    return asked.select("order_id", F.col("order_id").alias("seq"))
+    return w.wh_orders.select("order_id", F.col("order_id").alias("seq"))
 
 
 def receipts(w: Warehouse) -> DataFrame:
@@ -300,7 +297,7 @@ def _staff(w: Warehouse) -> DataFrame:
 
 
 def _ledger_reserve(w: Warehouse):
-    return reserve.op_reserve(order_requests(w, "Pending"), w.order_items, w.inventory)
+    return reserve.op_reserve(order_requests(w), w.order_items, w.inventory)
 
 
 def _put_away(w: Warehouse):
@@ -476,7 +473,7 @@ def registry() -> dict[str, Query]:
         "low_stock": lambda w: lookups.low_stock(w.products, w.inventory),
         "in_stock_products": lambda w: lookups.in_stock_products(w.inventory, w.products),
         "pick_list": lambda w: lookups.pick_list(
-            order_requests(w, "Picking"), w.order_items, w.products, w.inventory,
+            order_requests(w), w.order_items, w.products, w.inventory,
             w.warehouse_locations,
         ),
         "active_staff": _staff,

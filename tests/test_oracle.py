@@ -17,8 +17,6 @@ TYPES = {
     "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
     "boolean": "BOOLEAN",
 }
-# Long chains of dependent requests, which SQL decides too slowly; see test_rules.py.
-SEQUENTIAL = {"op_move_stock", "op_move_stock_delta"}
 
 
 @pytest.fixture(scope="module")
@@ -42,8 +40,7 @@ def _normal(rows, columns):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(QUERIES) - set(ORACLE) == SEQUENTIAL
-    assert not set(ORACLE) - set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
