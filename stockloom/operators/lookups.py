@@ -53,7 +53,7 @@ def search_products(
     named = lookup_join(
         products.select("product_id", "sku", "product_name", "category_id", "sale_price"),
         categories.select("category_id", "category_name"),
-        "category_id", "left", spread_on=["product_id"],
+        "category_id", "left"
     )
     found = named.filter(
         F.col("product_name").ilike(pattern)
@@ -92,8 +92,7 @@ def order_lookup(
         "order_id", "product_id", "quantity", "unit_price", "item_status"
     ).join(asked, "order_id", "left_semi")
     named = lookup_join(
-        lines, products.select("product_id", "sku", "product_name"), "product_id",
-        spread_on=["order_id"], hot_from=order_items,
+        lines, products.select("product_id", "sku", "product_name"), "product_id"
     )
     # An inner join can be split at run time on the side of the lines, an outer join that
     # keeps the headers cannot; headers without lines are added on their own.
@@ -138,15 +137,14 @@ def pick_rows(
         order_ids.select("order_id").distinct(), "order_id", "left_semi"
     )
     named = lookup_join(
-        lines, products.select("product_id", "sku", "product_name"), "product_id",
-        spread_on=["order_id"], hot_from=order_items,
+        lines, products.select("product_id", "sku", "product_name"), "product_id"
     )
     bins = lookup_join(
         inventory.filter("quantity_reserved > 0").select("product_id", "location_id"),
         locations.select("location_id", "zone", "aisle", "shelf", "bin"),
-        "location_id", spread_on=["product_id"], hot_from=inventory,
+        "location_id"
     )
-    return named.join(bins, "product_id")
+    return lookup_join(named, bins, "product_id")
 
 
 def pick_list(

@@ -45,7 +45,7 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
     # destination has to be looked up.
     known = locations.select(F.col("location_id").alias("to_location"), F.lit(True).alias("known"))
     valid = lookup_join(
-        asked, known, "to_location", "left", spread_on=["seq"], hot_from=requests
+        asked, known, "to_location", "left"
     )
 
     qty = F.col("qty").cast("bigint")

@@ -36,8 +36,7 @@ def op_default_price(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Lines with a missing or zero price get the product's sale price."""
     missing = F.col("unit_price").isNull() | (F.col("unit_price") == 0)
     priced = lookup_join(
-        order_items, products.select("product_id", "sale_price"), "product_id", "left",
-        spread_on=["order_id"], hot_from=order_items,
+        order_items, products.select("product_id", "sale_price"), "product_id", "left"
     )
     return priced.withColumn(
         "unit_price", F.when(missing, F.col("sale_price")).otherwise(F.col("unit_price"))

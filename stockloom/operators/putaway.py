@@ -81,11 +81,11 @@ def op_receive(
     asked = receipts.withColumn("seq", F.col("seq").cast("bigint"))
     known = lookup_join(
         asked, suppliers.select("supplier_id", F.lit(True).alias("has_supplier")),
-        "supplier_id", "left", spread_on=["seq"], hot_from=receipts,
+        "supplier_id", "left"
     )
     known = lookup_join(
         known, products.select("product_id", F.lit(True).alias("has_product")),
-        "product_id", "left", spread_on=["seq"], hot_from=receipts,
+        "product_id", "left"
     )
     checked = known.withColumn(
         "refusal",

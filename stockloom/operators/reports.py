@@ -27,7 +27,7 @@ def _categories(categories: DataFrame) -> DataFrame:
 def _with_category(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Inner join: products without a category are dropped."""
     return lookup_join(
-        products, _categories(categories), "category_id", spread_on=["product_id"]
+        products, _categories(categories), "category_id"
     )
 
 
@@ -516,8 +516,7 @@ def r18_top_customers(
     )
     favourite = (
         lookup_join(
-            bought, products.select("product_id", "category_id"), "product_id",
-            spread_on=["customer_id"], hot_from=order_items,
+            bought, products.select("product_id", "category_id"), "product_id"
         )
         .groupBy("customer_id", "category_id")
         .agg(F.sum("n").alias("n"))

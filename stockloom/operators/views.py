@@ -65,8 +65,7 @@ def v_low_stock_alerts(
     ).join(stock_by_product(inventory), "product_id", "left")
     low = stocked.filter(or_zero("available") <= F.col("reorder_level"))
     named = lookup_join(
-        low, categories.select("category_id", "category_name"), "category_id", "left",
-        spread_on=["product_id"], hot_from=products,
+        low, categories.select("category_id", "category_name"), "category_id", "left"
     )
     return named.select(
         "product_id", "sku", "product_name", "category_name",
@@ -148,7 +147,7 @@ def category_sales(
     cost = F.col("quantity") * F.col("cost_price")
     profit = F.col("quantity") * (F.col("unit_price") - F.col("cost_price"))
     sums = (
-        lookup_join(lines, product_dim, "product_id", spread_on=["order_id"], hot_from=order_items)
+        lookup_join(lines, product_dim, "product_id")
         .groupBy("category_id")
         .agg(
             F.count_distinct("order_id").alias("orders"),
@@ -181,12 +180,11 @@ def v_inventory_value_by_location(
     """Cost and retail value of every bin and product."""
     stock = inventory.select("product_id", "location_id", "quantity_on_hand", "quantity_reserved")
     placed = lookup_join(
-        stock, locations.select("location_id", "zone", "aisle", "shelf", "bin"), "location_id",
-        spread_on=["product_id"], hot_from=inventory,
+        stock, locations.select("location_id", "zone", "aisle", "shelf", "bin"), "location_id"
     )
     priced = lookup_join(
         placed, products.select("product_id", "sku", "product_name", "cost_price", "sale_price"),
-        "product_id", spread_on=["location_id"], hot_from=inventory,
+        "product_id"
     )
     return priced.select(
         "zone", "aisle", "shelf", "bin", "sku", "product_name",

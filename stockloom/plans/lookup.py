@@ -1,9 +1,10 @@
-"""Joins of a large table to a table with one row per key, safe against hot keys.
+"""Joins of a large table to a smaller one, safe against hot keys.
 
-A lookup side that is proven small (its rows and bytes are counted first) is broadcast: the large side is then not shuffled at all, so a hot key cannot hurt. Beyond
-the bound both sides are shuffled, and the few keys that hold a large share of the rows
-are spread over all partitions: their rows get a salt, and only their lookup rows are
-repeated once per salt.
+A lookup side that is proven small (its rows and bytes are counted first) is broadcast: the
+large side is then not shuffled at all, so a hot key cannot hurt. Beyond the bound both sides
+are shuffled, and keys with more rows than a mean partition are spread: their rows get as many
+salts as the key fills partitions, and only their lookup rows are repeated once per salt. Rows
+without a key match nothing and are spread over all partitions.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ MAX_BYTES_KEY = "spark.stockloom.broadcast.maxBytes"
 MAX_ROWS = 500_000
 MAX_BYTES = 64 << 20
 
-# At most HOT_KEYS keys can each hold more than 1 / HOT_KEYS of the rows.
-HOT_KEYS = 500
-TRACKED_KEYS = 20_000
+# Keys that a sketch can name at most, and counters it keeps per key named.
+NAMED_KEYS = 10_000
+COUNTERS = 40
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -44,52 +45,50 @@ def fits_broadcast(dim: DataFrame) -> bool:
     return size.n <= max_rows and size.b <= max_bytes
 
 
-def hot_keys(fact: DataFrame, key: str) -> list:
-    """Keys that hold more than 1 / HOT_KEYS of the rows, from one sketch pass.
+def hot_keys(fact: DataFrame, key: str) -> DataFrame | None:
+    """(key, salts) of the keys with more rows than a mean partition, from one sketch pass.
 
-    The sketch has a fixed size, nothing is shuffled by key, and at most HOT_KEYS
-    values come back. Which keys are listed affects speed only, never the result.
+    There are at most as many as partitions, and each gets four salts per partition it would
+    fill, as salts can meet in one partition. The sketch has a fixed size and nothing is shuffled by key. Which keys are listed
+    affects speed only, never the result. None if there are none.
     """
+    spark = fact.sparkSession
+    partitions = shuffle_partitions(spark)
+    named = min(partitions, NAMED_KEYS)
+    tracked = min(named * COUNTERS, 1_000_000)
     top = fact.agg(
-        F.expr(f"approx_top_k({key}, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
+        F.expr(f"approx_top_k({key}, {named}, {tracked})").alias("top"),
         F.count(F.lit(1)).alias("n"),
     )
+    salts = F.ceil(4 * F.col("t.count") * partitions / F.col("n")).cast("int")
     rows = (
         top.select(F.explode("top").alias("t"), "n")
-        .filter(F.col("t.count") * HOT_KEYS > F.col("n"))
-        .filter(F.col("t.item").isNotNull())
-        .select(F.col("t.item").alias("item"))
-        .collect()
+        .filter((F.col("t.count") * partitions > F.col("n")) & F.col("t.item").isNotNull())
+        .select(F.col("t.item").alias(key), salts.alias("_salts"))
     )
-    return [row.item for row in rows]
+    found = rows.collect()
+    return spark.createDataFrame(found, rows.schema) if found else None
 
 
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    how: str = "inner",
-    spread_on: list[str] | None = None,
-    hot_from: DataFrame | None = None,
-) -> DataFrame:
-    """Join ``fact`` to ``dim`` (one row per key), inner or left.
-
-    ``spread_on`` names fact columns that differ between rows of one key;
-    ``hot_from`` is a cheaper frame with the same key distribution as the fact side.
-    """
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``fact`` to ``dim``, inner or left; several rows of ``dim`` may share a key."""
     if fits_broadcast(dim):
         return fact.join(F.broadcast(dim), key, how)
-    hot = hot_keys((hot_from if hot_from is not None else fact).select(key), key)
-    if not hot:
-        return fact.join(dim, key, how)
-    salts = min(shuffle_partitions(fact.sparkSession), 1024)
-    spread = F.pmod(F.xxhash64(*(spread_on or fact.columns)), F.lit(salts)).cast("int")
-    is_hot = F.col(key).isin(hot)
-    salted_fact = fact.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    salted_dim = dim.withColumn(
+    hot = hot_keys(fact.select(key), key)
+    spread = F.xxhash64(*fact.columns)
+    everywhere = F.pmod(spread, F.lit(8 * shuffle_partitions(fact.sparkSession)))
+    if hot is None:
+        # Rows without a key are spread even so: they are kept, but have nothing to meet.
+        salted = fact.withColumn("_salt", F.when(F.col(key).isNull(), everywhere).otherwise(0).cast("int"))
+        # Always 0, but not a literal: with a literal the salt would drop out of the join key.
+        zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+        return salted.join(dim.withColumn("_salt", zero), [key, "_salt"], how).drop("_salt")
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = fact.join(F.broadcast(hot), key, "left").withColumn(
         "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")
+        F.when(F.col(key).isNull(), everywhere).otherwise(F.pmod(spread, salts)).cast("int"),
+    ).drop("_salts")
+    repeated = dim.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    ).drop("_salts")
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

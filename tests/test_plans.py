@@ -1,12 +1,14 @@
 """Joins with hot keys, running totals over blocks, allocation and sequential decisions."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from stockloom.operators import lookups
 from stockloom.plans import lookup, resolve
 from stockloom.plans.allocate import allocate, laid_out
 from stockloom.plans.combine import one_row
@@ -27,11 +29,11 @@ def hot_lines(spark, n=6000):
 def test_salted_lookup_equals_plain_join(spark, setting, how):
     lines, dim = hot_lines(spark)
     expected = rows_of(lines.join(dim, "k", how))
-    assert rows_of(lookup.lookup_join(lines, dim, "k", how, ["v"])) == expected
+    assert rows_of(lookup.lookup_join(lines, dim, "k", how)) == expected
     setting(lookup.MAX_ROWS_KEY, 10)
     assert not lookup.fits_broadcast(dim)
-    assert lookup.hot_keys(lines, "k") == [7] or 7 in lookup.hot_keys(lines, "k")
-    assert rows_of(lookup.lookup_join(lines, dim, "k", how, ["v"])) == expected
+    assert 7 in [r.k for r in lookup.hot_keys(lines, "k").collect()]
+    assert rows_of(lookup.lookup_join(lines, dim, "k", how)) == expected
 
 
 def test_salting_spreads_the_hot_key(spark, setting):
@@ -39,12 +41,53 @@ def test_salting_spreads_the_hot_key(spark, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", -1)
     setting("spark.sql.adaptive.enabled", "false")
     lines, dim = hot_lines(spark)
-    joined = lookup.lookup_join(lines, dim, "k", "inner", ["v"])
+    joined = lookup.lookup_join(lines, dim, "k", "inner")
     parts = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > 1
     assert max(r["count"] for r in parts) < 2000 * 0.7
 
 
+@pytest.fixture
+def shuffled(setting):
+    """Joins as beyond the broadcast bound, without run-time changes."""
+    setting(lookup.MAX_ROWS_KEY, 10)
+    setting("spark.sql.autoBroadcastJoinThreshold", -1)
+    setting("spark.sql.adaptive.enabled", "false")
+
+
+def parts_of(df):
+    return {r["p"]: r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+
+
+@pytest.mark.parametrize("others", [500, 1])
+def test_rows_without_a_key_are_spread(spark, shuffled, others):
+    lines = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id") % others).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(480).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    joined = lookup.lookup_join(lines, dim, "k", "left")
+    assert rows_of(joined) == rows_of(lines.join(dim, "k", "left"))
+    found = joined.select(F.spark_partition_id().alias("p"), "k").collect()
+    sizes = Counter(r.p for r in found if r.k is None)
+    assert len(sizes) == 4 and max(sizes.values()) < 3000 * 0.5
+
+
+def test_hot_product_only_among_the_asked_orders_and_in_one_order(frame, spark, shuffled):
+    # Product 1 is rare in all lines, but fills the one order asked for.
+    items = spark.range(20_000).select(
+        F.when(F.col("id") < 2000, F.lit(1)).otherwise(F.col("id") % 900 + 2).cast("int").alias("product_id"),
+        F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id") + 100).cast("int").alias("order_id"),
+        (F.col("id") % 50 + 1).cast("int").alias("quantity"), F.col("id").cast("int").alias("order_item_id"))
+    products = spark.range(1000).select(
+        F.col("id").cast("int").alias("product_id"), F.lit("s").alias("sku"), F.lit("n").alias("product_name"))
+    stock = frame("product_id int, location_id int, quantity_reserved int",
+                  *[(p, loc, 1) for p in range(40) for loc in range(1, 4)])
+    rooms = frame("location_id int, zone string, aisle int, shelf int, bin int", *[(i, "A", 1, 1, i) for i in range(40)])
+    rows = lookups.pick_rows(frame("order_id int", (7,)), items, products, stock, rooms)
+    parts = parts_of(rows)
+    assert sum(parts.values()) == 6000
+    assert len(parts) > 1 and max(parts.values()) < 6000 * 0.8
+
+
 def test_broadcast_bounds(spark, setting):
     texts = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
     assert lookup.fits_broadcast(texts)
