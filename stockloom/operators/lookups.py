@@ -167,6 +167,21 @@ def pick_list(
     )
 
 
+def pick_list_reserved(allocations: DataFrame, products: DataFrame, locations: DataFrame) -> DataFrame:
+    """Pick rows from what a reservation really took: one row per order, product and bin.
+
+    allocations: order_id, product_id, location_id, quantity, as ``op_reserve`` returns them.
+    The number of rows is that of the allocations, whatever else the bins hold.
+    """
+    named = lookup_join(
+        allocations.select("order_id", "product_id", "location_id", "quantity"),
+        products.select("product_id", "sku", "product_name"), "product_id",
+    )
+    return lookup_join(
+        named, locations.select("location_id", "zone", "aisle", "shelf", "bin"), "location_id"
+    ).withColumn("label", location_label())
+
+
 def active_staff(employees: DataFrame, role: str) -> DataFrame:
     return employees.filter((F.col("role") == role) & (F.col("status") == "Active")).select(
         "employee_id", "first_name", "last_name", full_name().alias("full_name"), "role"

@@ -17,7 +17,9 @@ from stockloom.functions.scalars import (
 from stockloom.operators.views import (
     category_sales, live_lines, live_orders, product_sales, stock_by_product,
 )
+from stockloom.operators.views import staff_counts
 from stockloom.plans.lookup import lookup_join
+from stockloom.plans.scan import saved
 
 
 def _categories(categories: DataFrame) -> DataFrame:
@@ -164,19 +166,10 @@ def r08_employee_productivity(employees: DataFrame, orders: DataFrame) -> DataFr
     The rank is taken over the distinct totals of a role, so a role with very many
     employees is not gathered in one task.
     """
-    live = live_orders(orders)
-
-    def counted(column: str, name: str) -> DataFrame:
-        return (
-            live.filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("employee_id"))
-            .agg(F.count("order_id").alias(name))
-        )
-
-    staff = (
+    # One pass over the orders; the ranks and the result read the rows per employee again.
+    staff = saved(
         employees.filter((F.col("status") == "Active") & F.col("role").isin("Picker", "Packer"))
-        .join(counted("picking_employee_id", "picked"), "employee_id", "left")
-        .join(counted("packing_employee_id", "packed"), "employee_id", "left")
+        .join(staff_counts(live_orders(orders)), "employee_id", "left")
         .select(
             "employee_id", full_name().alias("employee_name"), "role",
             or_zero("picked").alias("total_orders_picked"),
@@ -496,7 +489,8 @@ def r18_top_customers(
         .groupBy("customer_id")
         .agg(F.sum("total_amount").alias("total_spent"))
     )
-    top = (
+    # Read by the orders and by the result: the k rows are worked out once.
+    top = saved(
         customers.select(
             "customer_id", customer_name(customers.columns).alias("customer_name")
         )

@@ -19,9 +19,11 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
     requests: order_id, seq (unique). An order passes when every product has enough free
     stock after the accepted orders before it; an order without lines passes. Bins with
     more stock on hand serve first, then the lower location id. Stock on hand stays.
-    Several lines of one product in an order are reserved together.
+    Several lines of one product in an order are reserved together. With an ``employee_id``
+    in the requests that picker is set on the orders that pass.
     """
-    asked = requests.select("order_id", F.col("seq").cast("bigint").alias("seq"))
+    picker = ["employee_id"] if "employee_id" in requests.columns else []
+    asked = requests.select("order_id", F.col("seq").cast("bigint").alias("seq"), *picker)
     # Read by the decisions and by the allocation: joined and added up once.
     demand = saved(
         asked.join(order_items.select("order_id", "product_id", "quantity"), "order_id")
@@ -58,6 +60,10 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
             allocate(supply, wanted, ["product_id"], ["location_id"], ["seq", "order_id"])
         )
         passed = decisions.filter("accepted").select("order_id")
+        started = decisions.filter("accepted").select(
+            "order_id", F.lit("Picking").alias("status"),
+            *[F.col(c).alias("picking_employee_id") for c in picker],
+        )
         ledger = ledger_rows(
             allocations, "RESERVATION", location=F.col("location_id"),
             reference=order_reference(), notes=NOTES["reserve"],
@@ -67,7 +73,7 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
             "inventory_delta": allocations.groupBy("product_id", "location_id").agg(
                 F.sum("quantity").cast("int").alias("quantity_reserved")
             ),
-            "orders": passed.withColumn("status", F.lit("Picking")),
+            "orders": started,
             "order_items": passed.withColumn("item_status", F.lit("Reserved")),
         }
 

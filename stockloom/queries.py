@@ -180,7 +180,7 @@ def stream_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event rows read as a stream, folded into totals per location."""
     reader = spark.readStream.schema(DRIVER_SCHEMAS["events"]).option("maxFilesPerTrigger", 1000)
     events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return occupancy_stream.run_to_end(change_rows(events))
+    return occupancy_stream.run_to_end(change_rows(events), "30 days")
 
 
 # ---- sinks: write below the shared folder, read back, report what arrived ---------------
@@ -297,7 +297,8 @@ def _staff(w: Warehouse) -> DataFrame:
 
 
 def _ledger_reserve(w: Warehouse):
-    return reserve.op_reserve(order_requests(w), w.order_items, w.inventory)
+    asked = order_requests(w).withColumn("employee_id", (F.col("order_id") % 25).cast("int"))
+    return reserve.op_reserve(asked, w.order_items, w.inventory)
 
 
 def _put_away(w: Warehouse):
@@ -500,7 +501,7 @@ def registry() -> dict[str, Query]:
         "op_occupancy_delta": lambda w: occupancy.occupancy_delta(
             change_rows(w.driver("events"))
         ),
-        "op_reserve": lambda w: _ledger_reserve(w).decisions,
+        "op_reserve": lambda w: _ledger_reserve(w).decisions.drop("employee_id"),
         "op_reserve_ledger": lambda w: _ledger_reserve(w).ledger,
         "op_put_away": lambda w: _put_away(w).decisions.select(*_DECISION),
         "op_put_away_ledger": lambda w: _put_away(w).ledger,
@@ -517,6 +518,33 @@ def registry() -> dict[str, Query]:
         "op_return": lambda w: _return(w).decisions,
         "op_return_rows": lambda w: _return(w).changes["returns"],
         "op_return_ledger": lambda w: _return(w).ledger,
+        # what the rules change in the stock, the orders and the shipments
+        "op_reserve_delta": lambda w: _ledger_reserve(w).changes["inventory_delta"],
+        "op_reserve_orders": lambda w: sinks.apply_updates(
+            w.wh_orders, _ledger_reserve(w).changes["orders"], ["order_id"]
+        ).select("order_id", "status", "picking_employee_id"),
+        "op_put_away_delta": lambda w: _put_away(w).changes["inventory_delta"],
+        "op_receive_delta": lambda w: _receive(w).changes["inventory_delta"],
+        "op_pack_orders": lambda w: sinks.apply_updates(
+            w.wh_orders, _pack(w).changes["orders"], ["order_id"]
+        ).select("order_id", "status", "packing_employee_id"),
+        "op_ship_delta": lambda w: _ship(w).changes["inventory_delta"],
+        "op_ship_orders": lambda w: sinks.apply_updates(
+            w.wh_orders, _ship(w).changes["orders"], ["order_id"]
+        ).select("order_id", "status"),
+        "op_ship_shipments": lambda w: sinks.add_rows(
+            w.shipments, _ship(w).changes["shipments"]
+        ).select("order_id", "carrier", "status"),
+        "op_deliver_shipments": lambda w: sinks.apply_updates(
+            w.shipments, _deliver(w).changes["shipments"], ["order_id"]
+        ).select("order_id", "status", "delivery_date"),
+        "op_return_delta": lambda w: _return(w).changes["inventory_delta"],
+        "op_return_orders": lambda w: sinks.apply_updates(
+            w.wh_orders, _return(w).changes["orders"], ["order_id"]
+        ).select("order_id", "status"),
+        "pick_list_reserved": lambda w: lookups.pick_list_reserved(
+            _ledger_reserve(w).changes["allocations"], w.products, w.warehouse_locations
+        ),
         "op_move_stock": lambda w: _move(w).decisions.select(*_DECISION),
         "op_move_stock_delta": lambda w: _move(w).changes["inventory_delta"],
     }

@@ -59,6 +59,31 @@ def upsert_inventory(inventory: DataFrame, delta: DataFrame) -> DataFrame:
     )
 
 
+def apply_updates(table: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of ``table`` with the columns of ``changes`` put in where the key matches.
+
+    ``changes`` has one row per key, like the order, line and shipment changes of the stock
+    rules; its other columns replace those of the same name, a null included. Keys that the
+    table lacks are left out.
+    """
+    columns = [c for c in changes.columns if c not in key and c in table.columns]
+    new = changes.select(*key, F.struct(*columns).alias("_new"))
+    joined = table.join(new, key, "left")
+    return joined.select(
+        *[
+            F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}").cast(table.schema[c].dataType))
+            .otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+            for c in table.columns
+        ]
+    )
+
+
+def add_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """New rows, like shipments, added to a table; columns they lack are null."""
+    known = [F.col(c).cast(table.schema[c].dataType).alias(c) for c in table.columns if c in rows.columns]
+    return table.unionByName(rows.select(*known), allowMissingColumns=True)
+
+
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Write a new snapshot to an unused path and read it back."""
     df.write.mode("errorifexists").parquet(path)

@@ -10,21 +10,15 @@ from stockloom.operators.occupancy import occupancy_delta
 from stockloom.session import scratch_path
 
 
-def running_occupancy(changes: DataFrame, lateness: str | None = None) -> DataFrame:
+def running_occupancy(changes: DataFrame, lateness: str) -> DataFrame:
     """Streaming total of (new_total - old_total) per location.
 
     changes: change_id, changed_at, location_id, old_total, new_total. A change delivered
-    again counts once. Without ``lateness`` every change id is kept (in a disk-backed state
-    store, spread by id) and the totals are exact. With it, ids older than that are dropped
-    to bound the state; give it only where no change arrives later than that, as such
-    changes are then left out.
+    again within ``lateness`` counts once. Ids older than that are dropped, which bounds the
+    state; changes that arrive later than that are left out, so give the longest delay.
     """
-    if lateness is None:
-        once = changes.dropDuplicates(["change_id"])
-    else:
-        once = changes.withWatermark("changed_at", lateness).dropDuplicatesWithinWatermark(
-            ["change_id"]
-        )
+    timed = changes.withColumn("changed_at", F.col("changed_at").cast("timestamp"))
+    once = timed.withWatermark("changed_at", lateness).dropDuplicatesWithinWatermark(["change_id"])
     return occupancy_delta(once)
 
 
@@ -57,7 +51,7 @@ def latest_totals(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def run_to_end(changes: DataFrame, lateness: str | None = None) -> DataFrame:
+def run_to_end(changes: DataFrame, lateness: str) -> DataFrame:
     """Process everything the stream holds now and return the totals."""
     spark = changes.sparkSession
     path = scratch_path(spark, "occupancy")
