@@ -12,20 +12,22 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
                                     '[^\x20\x09-\x0D]+') AS words
   FROM documents
-), s AS (
+), s AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(words) = 0 THEN []
     WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
     ELSE list_distinct([array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)])
   END AS shingles
   FROM w
 ), n AS (SELECT doc_id, len(shingles) AS n_shingles FROM s),
-x AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
-links AS (
-  SELECT a.doc_id AS a, b.doc_id AS b
-  FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
-  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
-  GROUP BY a.doc_id, b.doc_id, na.n_shingles, nb.n_shingles
-  HAVING 100 * count(*) >= 75 * (na.n_shingles + nb.n_shingles - count(*))
+x AS MATERIALIZED (SELECT doc_id, hash(unnest(shingles)) AS shingle FROM s),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), half AS (
+  SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * shared >= 75 * (na.n_shingles + nb.n_shingles - shared)
+), links AS MATERIALIZED (
+  SELECT a, b FROM half UNION ALL SELECT b, a FROM half
 ), reach(node, start) AS (
   SELECT doc_id, doc_id FROM documents
   UNION
