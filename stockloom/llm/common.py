@@ -14,7 +14,7 @@ from stockloom.session import ensure_checkpoints, scratch_path, tune
 
 BATCH_ROWS = 2000
 # Text bytes that a task turns into arrays at once; a longer text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 512 << 10
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -91,3 +91,5 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+        # Workers serve many tasks: what a batch needed goes back to the system.
+        pa.default_memory_pool().release_unused()

@@ -35,7 +35,7 @@ LONG = 48
 NEVER = 1 << 40
 _BASE = 0x9E3779B97F4A7C15 | 5
 CACHE_BITS = 21
-MEMORY_WORDS = 300_000  # words kept by one task, about 50 MB
+MEMORY_WORDS = 150_000  # words kept by one task, about 25 MB
 
 
 @dataclass
