@@ -25,7 +25,8 @@ HEADLINE = [
     "r13_fast_movers", "r14_slow_movers", "r15_inventory_turnover", "r16_customer_frequency",
     "r18_top_customers", "r20_shipping_delays", "k_summary", "m_staff_cards", "pick_list",
     "op_default_price", "op_ledger_from_orders", "op_reserve", "op_put_away", "op_ship_ledger",
-    "op_return_ledger",
+    "op_return_ledger", "op_move_stock", "op_receive", "op_complete_pick_ledger",
+    "check_constraints", "order_lookup", "op_occupancy_stream",
 ]
 
 

@@ -277,14 +277,11 @@ def _stock_ids(w: Warehouse) -> DataFrame:
     return part.unionByName(part.select((-F.col("product_id") - 1).alias("product_id")))
 
 
-def _unledgered(w: Warehouse) -> DataFrame:
-    """The bins of products that are kept out of the stock, which no ledger row covers."""
-    lines = w.driver("lineitem").filter("l_partkey % 20 = 0")
-    return lines.groupBy(
-        F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("location_id")
-    ).agg(
-        F.sum("l_quantity").cast("int").alias("quantity_on_hand"),
-        F.lit(0).alias("quantity_reserved"), F.lit(0).alias("quantity_allocated"),
+def _unposted(w: Warehouse) -> DataFrame:
+    """The ledger with shipments and moves that the stock does not show yet."""
+    return (
+        w.transactions.unionByName(_ship(w).ledger, allowMissingColumns=True)
+        .unionByName(_move(w).ledger, allowMissingColumns=True)
     )
 
 
@@ -423,7 +420,10 @@ def registry() -> dict[str, Query]:
             w.inventory, w.transactions
         ),
         "k_inventory_mismatches": lambda w: kpis.inventory_mismatches(
-            w.inventory.unionByName(_unledgered(w)), w.transactions
+            w.inventory, _unposted(w)
+        ),
+        "k_inventory_accuracy_unposted": lambda w: kpis.k_inventory_accuracy(
+            w.inventory, _unposted(w)
         ),
         "k_inventory_turnover": lambda w: kpis.k_inventory_turnover(
             w.order_items, w.products, w.inventory

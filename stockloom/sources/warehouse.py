@@ -30,7 +30,8 @@ DRIVER_SCHEMAS = {
     "value DOUBLE, props STRING",
 }
 
-# name -> (tables it reads, SQL)
+# name -> (tables it reads, SQL). Some products and customers are added under new, negative
+# numbers, which have neither stock nor orders.
 DERIVED: dict[str, tuple[list[str], str]] = {
     "categories": (["part"], """
         SELECT DISTINCT CAST(substring(p_brand, 7) AS INT) AS category_id,
@@ -48,12 +49,18 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                CAST(p_retailprice AS DECIMAL(10,2)) AS sale_price,
                CASE p_size % 4 WHEN 0 THEN 10 WHEN 1 THEN 15 WHEN 2 THEN 20 ELSE 30 END
                    AS reorder_level
-        FROM part"""),
+        FROM (SELECT p_partkey, p_name, p_brand, p_retailprice, p_size FROM part
+              UNION ALL
+              SELECT -1 - p_partkey, concat(p_name, ' new'), p_brand, p_retailprice, p_size
+              FROM part WHERE p_partkey % 20 = 0) p"""),
     "customers": (["customer"], """
         SELECT c_custkey AS customer_id, c_name AS customer_name,
                CASE c_custkey % 4 WHEN 0 THEN 'Standard' WHEN 1 THEN 'Silver'
                     WHEN 2 THEN 'Gold' ELSE 'Platinum' END AS membership_tier
-        FROM customer"""),
+        FROM (SELECT c_custkey, c_name FROM customer
+              UNION ALL
+              SELECT -1 - c_custkey, concat(c_name, ' new') FROM customer
+              WHERE c_custkey % 50 = 0) c"""),
     "employees": (["nation"], """
         SELECT n_nationkey AS employee_id, n_name AS first_name,
                concat('R', n_regionkey) AS last_name,
@@ -65,8 +72,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
         SELECT *, CASE o_orderkey % 7 WHEN 0 THEN 'Pending' WHEN 1 THEN 'Picking'
                        WHEN 2 THEN 'Packed' WHEN 3 THEN 'Shipped' WHEN 4 THEN 'Delivered'
                        WHEN 5 THEN 'Cancelled' ELSE 'Returned' END AS status
-        FROM orders
-        WHERE o_custkey % 50 <> 0"""),
+        FROM orders"""),
     "wh_orders": (["wh_orders0"], """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, status,
                o_orderdate + INTERVAL '1' HOUR * CAST(o_orderkey % 24 AS INT) AS order_date,
@@ -93,7 +99,6 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                     AS INT) AS quantity_reserved,
                0 AS quantity_allocated
         FROM lineitem
-        WHERE l_partkey % 20 <> 0
         GROUP BY l_partkey, l_suppkey"""),
     "warehouse_locations": (["supplier", "inventory"], """
         SELECT s.s_suppkey AS location_id,
