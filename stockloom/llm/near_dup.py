@@ -220,7 +220,8 @@ def _sketched(reps: DataFrame, side: str) -> DataFrame:
 def _confirmed(work: Work, name: str, pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """Links among candidate pairs, on the texts of the documents that occur in them."""
     pairs = work.keep(pairs, f"{name}_pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(
+        pairs.select(F.col("b").alias("doc_id")).distinct())
     if pairs.count() * 2 <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
