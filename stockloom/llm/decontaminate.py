@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -104,18 +105,25 @@ class Canonical:
 
 
 def _extractor(p: Params, widths: list[int], known) -> Callable:
-    """Windows of (id, text) rows; with ``known`` only those whose hash it holds, sorted."""
+    """Windows of (id, text) rows; with ``known`` only those whose hash it holds, sorted.
+
+    Every window comes typed if it has literals enough, and ``raw``, as its plain words, if
+    typing changes it.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = Canonical()
         hashes = None if known is None else known.value
         for batch in steps(batches):
-            canon, value, kind, first = canonical(batch.column(2))
-            literal = np.concatenate([[0], np.cumsum(kind == 0)])
-            for width in widths:
-                h, at, runs = windows(canon, first, width)
+            canon, value, typed, first = canonical(batch.column(2))
+            literal = np.concatenate([[0], np.cumsum(typed == 0)])
+            plain = np.zeros_like(typed)
+            for width, (raw, words, kind) in product(
+                    widths, ((False, canon, typed), (True, value, plain))):
+                h, at, runs = windows(words, first, width)
                 h = mix(h + np.uint64(width))
-                good = literal[at + width] - literal[at] >= min(p.least_words, width)
+                literals = literal[at + width] - literal[at]
+                good = literals < width if raw else literals >= min(p.least_words, width)
                 if hashes is not None:
                     place = np.searchsorted(hashes, h).clip(max=max(len(hashes) - 1, 0))
                     good &= (hashes[place] == h) if len(hashes) else False
@@ -132,13 +140,14 @@ def _extractor(p: Params, widths: list[int], known) -> Callable:
                      pa.array(h[pick].view(np.int64)), pa.array((at - first[owner]).astype(np.int32)),
                      pa.array(np.full(len(at), width, np.int32)),
                      pa.FixedSizeListArray.from_arrays(pa.array(slots.ravel()), width).cast(
-                         pa.list_(pa.int64()))],
-                    names=["id", "key", "hash", "at", "width", "slots"])
+                         pa.list_(pa.int64())),
+                     pa.array(np.full(len(at), raw))],
+                    names=["id", "key", "hash", "at", "width", "slots", "raw"])
 
     return extract
 
 
-WINDOWS = "id bigint, key bigint, hash bigint, at int, width int, slots array<bigint>"
+WINDOWS = "id bigint, key bigint, hash bigint, at int, width int, slots array<bigint>, raw boolean"
 
 
 def _windows(rows: DataFrame, p: Params, widths: list[int], known=None) -> DataFrame:
@@ -163,7 +172,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
     ``text_key`` is a hash of the text, which tells rows with the same or no doc_id apart.
 
     Null and empty texts and items with fewer than ``least_item`` words are never found. Items
-    with fewer words than a window are looked for whole. Repeated rows of a document are found
+    with fewer words than a window are looked for whole. Items without a window of
+    ``least_words`` literal words are looked for by their plain words, as copies only. Repeated rows of a document are found
     once, repeated items once per item_id. Empty tables give no rows.
     """
     p = p or Params()
@@ -186,7 +196,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
         else _own_widths(lengths, p), ["id", "width"], "left_semi")
     asked = work.keep(
         asked.select(F.col("id").alias("item_id"), F.col("key").alias("item_key"), "hash",
-                     F.col("at").alias("item_at"), F.col("slots").alias("item_slots")),
+                     F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "raw"),
+        "typed_and_raw")
+    # Items without a typed window are looked for by their plain words.
+    typed = asked.filter(~F.col("raw"))
+    asked = work.keep(
+        typed.unionByName(asked.filter("raw").join(
+            typed.select("item_id", "item_key").distinct(), ["item_id", "item_key"], "left_anti")
+        ).drop("raw"),
         "asked")
     known = None
     if asked.count() <= p.task_windows:

@@ -87,3 +87,15 @@ def test_random_numbers_are_not_templates(spark):
     docs = [(i, " ".join(str(rnd.randrange(10**6)) for _ in range(200))) for i in range(20)]
     bench = [(1, " ".join(str(rnd.randrange(10**6)) for _ in range(30)))]
     assert found(spark, docs, bench).collect() == []
+
+
+def test_copies_of_items_of_few_literals(spark):
+    items = ["What is 37 * 45 + 12?", "Calculate 12 * 7 + 45 / 9 - 3 * 8",
+             "3 1 4 1 5 9 2 6 5 3 5 8 9 7 9 3 2 3 8 4", "add 17 cm 23 cm 29 cm 31 cm 37 cm 41 cm"]
+    docs = [(i, f"{OTHER}, {x} {OTHER}") for i, x in enumerate(items)]
+    docs += [(10 + i, f"{OTHER}, {x.replace('3', '6')} {OTHER}") for i, x in enumerate(items)]
+    for p in (decontaminate.Params(), decontaminate.Params(task_windows=0)):
+        got = decontaminate.contaminated(
+            spark.createDataFrame(docs, "doc_id bigint, text string"),
+            spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"), p)
+        assert kinds(got) == {(i, i): "verbatim" for i in range(len(items))}
