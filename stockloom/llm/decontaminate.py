@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates.
 
 Words become canonical: numbers, names and units turn into typed placeholders, all else is
-lower case. Windows of canonical words are hashed and joined with those of the benchmark, so a
+lower case. A capitalised word may be a name or not, so windows are read both ways, in items and
+documents alike, whatever stands before them. Windows of canonical words are hashed and joined with those of the benchmark, so a
 question whose numbers or names were replaced still meets its template. Then the slots decide:
 along one alignment of a document with an item, equal values of the item must stand for equal
 values of the document. Texts that only share a frame by chance break that rule.
@@ -15,15 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.llm.common import Work, steps, text_buffer
-from stockloom.llm.textwords import WordHasher, mix, windows
+from stockloom.llm.textwords import MIX, WordHasher, mix, powers, windows
 
 # Words that are units when they follow a number.
 UNITS = (
@@ -35,6 +35,16 @@ UNITS = (
     " newtons pa bar mol byte bytes kb mb gb tb"
 ).split()
 
+# Words that are never names, however they are written.
+NEVER_NAMES = (
+    "a an the this that these those what which who whom whose when where why how if is are was were"
+    " be been do does did has have had can could should would must shall and or but nor so yet for of"
+    " in on at by to from with without into onto over under between among through during before after"
+    " about as than then there here it its he she they we you his her their our your my me him them us"
+    " all any each every both some no not only one two three four five six seven eight nine ten while"
+    " because since until although though let suppose assume given"
+).split()
+
 NUMBER, UNIT, NAME = 1, 2, 3
 
 
@@ -61,15 +71,28 @@ _LOWER = np.zeros(256, bool)
 _LOWER[97:123] = _LOWER[128:] = True
 _STOP = np.zeros(256, bool)
 _STOP[[10, 13, 33, 46, 58, 63]] = True  # line ends, ! . : ?
+_APART = ~_WORD
+_APART[[9, 32, 45]] = False  # what may stand between a number and its unit: blanks, -
+
+# Sentence openings of a window that are read one by one; those behind them are read together.
+OPENINGS = 3
+# Windows with names that are read at once.
+READ_WINDOWS = 1 << 16
 
 
 class Canonical:
-    """Canonical words of many texts: their hashes, values and first words."""
+    """Canonical words of many texts: their hashes, values, kinds, which may be names, which of
+    them open a sentence or line, and first words.
+
+    No kind is NAME: whether a capital makes a name is left to the readings of a window.
+    """
 
     def __init__(self):
         self.words = WordHasher(separator=~_WORD)
         data, bounds = text_buffer(pa.array(UNITS))
         self.units = np.sort(self.words(data, bounds)[0])
+        data, bounds = text_buffer(pa.array(NEVER_NAMES))
+        self.never = np.sort(self.words(data, bounds)[0])
 
     def __call__(self, column: pa.Array):
         data, bounds = text_buffer(column)
@@ -84,70 +107,126 @@ class Canonical:
         n = len(value)
         kind = np.zeros(n, np.int8)
         if not n:
-            return value, value, kind, first
+            return value, value, kind, kind > 0, kind > 0, first
         number = _DIGIT[data[starts]]
         kind[number] = NUMBER
         unit = np.zeros(n, bool)
-        unit[1:] = number[:-1]
+        apart = np.concatenate([[0], np.cumsum(_APART[data])])
+        unit[1:] = number[:-1] & (apart[starts[1:]] == apart[ends[:-1]])
         unit[first[:-1][first[:-1] < n]] = False
         place = np.searchsorted(self.units, value).clip(max=len(self.units) - 1)
         kind[unit & (self.units[place] == value) & ~number] = UNIT
-        # A name: capital, then small letters, not where a sentence or line begins.
+        # Perhaps a name: capital, then small letters. Where a sentence or line begins, that is open.
         stops = np.concatenate([[0], np.cumsum(_STOP[data])])
         opens = np.ones(n, bool)
         opens[1:] = stops[starts[1:]] > stops[ends[:-1]]
         opens[first[:-1][first[:-1] < n]] = True
         longer = ends - starts > 1
         small = _LOWER[data[np.minimum(starts + 1, len(data) - 1)]]
-        kind[(kind == 0) & _UPPER[data[starts]] & longer & small & ~opens] = NAME
-        canon = np.where(kind == 0, value, mix(kind.astype(np.uint64) + np.uint64(99)))
-        return canon, value, kind, first
+        place = np.searchsorted(self.never, value).clip(max=len(self.never) - 1)
+        named = (kind == 0) & _UPPER[data[starts]] & longer & small & (self.never[place] != value)
+        canon = np.where(kind == 0, value, _typed(kind))
+        return canon, value, kind, named, opens & named, first
+
+
+def _typed(kind):
+    """The word that stands for all of a kind."""
+    return mix(np.asarray(kind).astype(np.uint64) + np.uint64(99))
+
+
+def _window_hash(words: np.ndarray) -> np.ndarray:
+    """The hashes of windows given as rows, as ``windows`` makes them."""
+    width = words.shape[1]
+    factor = powers(int(MIX) | 1, width + 1)
+    out = np.zeros(len(words), np.uint64)
+    for k in range(width):
+        out += words[:, k] * factor[k + 1]
+    return mix(mix(out) + np.uint64(width))
+
+
+def _readings(canon, kind, named, opens, at, width: int):
+    """(at, words, kinds, full) of the windows with names, for each way to read them.
+
+    Every name that opens a sentence is a name or a literal word for itself, up to OPENINGS of
+    them; the other names are so together. All as literal words is not among them; ``full``
+    marks windows in which all are names.
+    """
+    counts = np.concatenate([[0], np.cumsum(named)])
+    at = at[counts[at + width] > counts[at]]
+    for start in range(0, len(at), READ_WINDOWS):
+        some = at[start : start + READ_WINDOWS]
+        span = some[:, None] + np.arange(width)
+        words, kinds, first = canon[span], kind[span], opens[span]
+        bit = np.where(first, np.minimum(np.cumsum(first, axis=1), OPENINGS), 0)
+        flag = np.where(named[span], 1 << bit, 0)
+        used = np.bitwise_or.reduce(flag, axis=1)
+        for reading in range(1, 2 << OPENINGS):
+            own = np.flatnonzero((used & reading) == reading)
+            if len(own):
+                read = (flag[own] & reading) > 0
+                yield (some[own], np.where(read, _typed(NAME), words[own]),
+                       np.where(read, np.int8(NAME), kinds[own]), used[own] == reading)
 
 
 def _extractor(p: Params, widths: list[int], known) -> Callable:
     """Windows of (id, text) rows; with ``known`` only those whose hash it holds, sorted.
 
-    Every window comes typed if it has literals enough, and ``raw``, as its plain words, if
-    typing changes it.
+    Every window comes in each reading of its names that has literals enough (``full``: all
+    are names), and ``raw``, as its plain words, if typing changes it.
     """
 
+    def rows(batch, value, first, h, at, kinds, full, raw=False):
+        if not len(at):
+            return
+        width = kinds.shape[1]
+        owner = np.searchsorted(first, at, "right") - 1
+        slots = np.where(kinds == 0, np.uint64(0), value[at[:, None] + np.arange(width)])
+        take = pa.array(owner)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(take), batch.column(1).take(take),
+             pa.array(h.view(np.int64)), pa.array((at - first[owner]).astype(np.int32)),
+             pa.array(np.full(len(at), width, np.int32)),
+             pa.FixedSizeListArray.from_arrays(pa.array(slots.view(np.int64).ravel()), width).cast(
+                 pa.list_(pa.int64())),
+             pa.array(full), pa.array(np.full(len(at), raw))],
+            names=["id", "key", "hash", "at", "width", "slots", "full", "raw"])
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = Canonical()
         hashes = None if known is None else known.value
+
+        def asked(h, good):
+            if hashes is not None:
+                place = np.searchsorted(hashes, h).clip(max=max(len(hashes) - 1, 0))
+                good = good & (hashes[place] == h) if len(hashes) else np.zeros(len(h), bool)
+            return np.flatnonzero(good)
+
         for batch in steps(batches):
-            canon, value, typed, first = canonical(batch.column(2))
-            literal = np.concatenate([[0], np.cumsum(typed == 0)])
-            plain = np.zeros_like(typed)
-            for width, (raw, words, kind) in product(
-                    widths, ((False, canon, typed), (True, value, plain))):
-                h, at, runs = windows(words, first, width)
-                h = mix(h + np.uint64(width))
+            canon, value, kind, named, opens, first = canonical(batch.column(2))
+            literal = np.concatenate([[0], np.cumsum(kind == 0)])
+            names = np.concatenate([[0], np.cumsum(named)])
+            for width in widths:
+                least = min(p.least_words, width)
+                _, at, _ = whole = windows(canon, first, width)
                 literals = literal[at + width] - literal[at]
-                good = literals < width if raw else literals >= min(p.least_words, width)
-                if hashes is not None:
-                    place = np.searchsorted(hashes, h).clip(max=max(len(hashes) - 1, 0))
-                    good &= (hashes[place] == h) if len(hashes) else False
-                pick = np.flatnonzero(good)
-                if not len(pick):
-                    continue
-                owner = np.searchsorted(runs, pick, "right") - 1
-                at = at[pick]
-                span = at[:, None] + np.arange(width)
-                slots = np.where(kind[span] == 0, np.uint64(0), value[span]).view(np.int64)
-                rows = pa.array(owner)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows),
-                     pa.array(h[pick].view(np.int64)), pa.array((at - first[owner]).astype(np.int32)),
-                     pa.array(np.full(len(at), width, np.int32)),
-                     pa.FixedSizeListArray.from_arrays(pa.array(slots.ravel()), width).cast(
-                         pa.list_(pa.int64())),
-                     pa.array(np.full(len(at), raw))],
-                    names=["id", "key", "hash", "at", "width", "slots", "raw"])
+                h = mix(whole[0] + np.uint64(width))
+                pick = asked(h, literals >= least)
+                kinds = kind[at[pick][:, None] + np.arange(width)]
+                full = names[at + width] == names[at]
+                yield from rows(batch, value, first, h[pick], at[pick], kinds, full[pick])
+                h = mix(windows(value, first, width)[0] + np.uint64(width))
+                pick = asked(h, literals < width)
+                kinds = np.zeros((len(pick), width), np.int8)
+                yield from rows(batch, value, first, h[pick], at[pick], kinds, full[pick], raw=True)
+                for at, words, kinds, full in _readings(canon, kind, named, opens, at, width):
+                    h = _window_hash(words)
+                    pick = asked(h, (kinds == 0).sum(axis=1) >= least)
+                    yield from rows(batch, value, first, h[pick], at[pick], kinds[pick], full[pick])
 
     return extract
 
 
-WINDOWS = "id bigint, key bigint, hash bigint, at int, width int, slots array<bigint>, raw boolean"
+WINDOWS = "id bigint, key bigint, hash bigint, at int, width int, slots array<bigint>, full boolean, raw boolean"
 
 
 def _windows(rows: DataFrame, p: Params, widths: list[int], known=None) -> DataFrame:
@@ -196,7 +275,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
         else _own_widths(lengths, p), ["id", "width"], "left_semi")
     asked = work.keep(
         asked.select(F.col("id").alias("item_id"), F.col("key").alias("item_key"), "hash",
-                     F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "raw"),
+                     F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "full", "raw"),
         "typed_and_raw")
     # Items without a typed window are looked for by their plain words.
     typed = asked.filter(~F.col("raw"))
@@ -229,9 +308,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
     held_to = F.size("pairs") == F.size(F.array_distinct(values))  # one value for each
     changed = F.size(F.filter("pairs", lambda s: s["i"] != s["d"]))
     sizes = asked.groupBy("item_id", "item_key").agg(
-        F.count_distinct("item_at").alias("item_windows"))
+        F.count_distinct("item_at").alias("item_windows"),
+        F.count_distinct(F.when(F.col("full"), F.col("item_at"))).alias("full"))
     judged = runs.filter(held_to).join(sizes, ["item_id", "item_key"]).filter(
-        F.col("windows") >= F.least(F.lit(p.least_windows), "item_windows"))
+        F.col("windows") >= F.least(F.lit(p.least_windows), _findable()))
     best = judged.groupBy("doc_id", "text_key", "item_id").agg(
         F.max(F.struct("windows", (-changed).alias("same"), (-F.col("first_word")).alias("early"),
                        "item_windows")).alias("best"))
@@ -246,6 +326,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
     )
 
 
+def _findable() -> Column:
+    """The item's windows that are met also when all its names are replaced, if there are any."""
+    return F.when(F.col("full") > 0, F.col("full")).otherwise(F.col("item_windows"))
+
+
 def _own_widths(lengths: DataFrame, p: Params) -> DataFrame:
     """The one window width that each item is looked for with."""
     return lengths.filter(F.col("words") >= p.least_item).select(

@@ -99,3 +99,31 @@ def test_copies_of_items_of_few_literals(spark):
             spark.createDataFrame(docs, "doc_id bigint, text string"),
             spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"), p)
         assert kinds(got) == {(i, i): "verbatim" for i in range(len(items))}
+
+
+def test_typing_does_not_depend_on_the_context(spark):
+    items = ["Name five rivers quickly", "Where does Maria live now?",
+             "Describe how plants turn sunlight into sugar",
+             "Which planet is the largest in our solar system?",
+             "Tom has 5 apples and Jane has 3 pears in total",
+             "Calculate the mean weight of all parcels that Maria sent on Monday morning"]
+    docs = []
+    for i, x in enumerate(items):
+        w = x.split()
+        wrapped = "\n".join(" ".join(w[k : k + 3]) for k in range(0, len(w), 3))
+        docs += [(i, f"{OTHER} {y} {OTHER}") for y in (
+            f"({x})", x, f", {x.lower()}", f". {wrapped}", f'"{x.upper()}"', f"7. {x}", f"12 {x}")]
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(docs)], "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    for p in (decontaminate.Params(), decontaminate.Params(task_windows=0)):
+        assert kinds(decontaminate.contaminated(df, bench, p)) == {
+            (k, i): "verbatim" for k, (i, _) in enumerate(docs)}
+
+
+def test_names_that_open_sentences_are_replaced(spark):
+    bench = [(1, "Tom has 5 apples. Jane has 3 pears. How many pieces of fruit do they have?"),
+             (2, "What is the capital city")]
+    docs = [(1, f"{OTHER}. Bob has 7 apples. Mary has 4 pears. How many pieces of fruit do they have?"),
+            (2, f"{OTHER}, so Bob has 7 apples, Mary has 4 pears, how many pieces of fruit do they have?"),
+            (3, f"{OTHER}. Paris is the capital city, and Bob has 7 apples.")]
+    assert kinds(found(spark, docs, bench)) == {(1, 1): "reparameterised", (2, 1): "reparameterised"}
