@@ -3,9 +3,11 @@
 Words become canonical: numbers, names and units turn into typed placeholders, all else is
 lower case. A capitalised word may be a name or not, so windows are read both ways, in items and
 documents alike, whatever stands before them. Windows of canonical words are hashed and joined with those of the benchmark, so a
-question whose numbers or names were replaced still meets its template. Then the slots decide:
-along one alignment of a document with an item, equal values of the item must stand for equal
-values of the document. Texts that only share a frame by chance break that rule.
+question whose numbers or names were replaced still meets its template. Windows of one item at
+neighbouring shifts are one alignment, as values may have more or fewer words. Then the slots
+decide: along an alignment, equal values of the item must stand for equal values of the document.
+Changed windows that break that rule do not count. Windows without a changed slot always count,
+and an item of which every window is met is found whatever its slots hold.
 
 Documents keep only windows that the benchmark also has, so what is shuffled grows with the
 findings. The benchmark's hashes go to the tasks when there are few enough; beyond the bound
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.llm.common import Work, steps, text_buffer
@@ -57,6 +59,7 @@ class Params:
     width: int = 8  # words of a window
     least_words: int = 4  # literal words in a window; fewer say nothing
     least_windows: int = 6  # windows of one alignment, or all that the item has
+    most_shift: int = 4  # words put in or left out between neighbouring windows of an alignment
     least_item: int = 4  # items with fewer words cannot be told from chance
     task_windows: int = 2_000_000  # most benchmark hashes sent to the tasks
 
@@ -164,7 +167,7 @@ def _readings(canon, kind, named, opens, at, width: int):
             own = np.flatnonzero((used & reading) == reading)
             if len(own):
                 read = (flag[own] & reading) > 0
-                yield (some[own], np.where(read, _typed(NAME), words[own]),
+                yield (some[own], np.where(read, _typed([NAME]), words[own]),
                        np.where(read, np.int8(NAME), kinds[own]), used[own] == reading)
 
 
@@ -226,6 +229,7 @@ def _extractor(p: Params, widths: list[int], known) -> Callable:
     return extract
 
 
+ALIGNED = ("doc_id", "text_key", "item_id", "item_key")
 WINDOWS = "id bigint, key bigint, hash bigint, at int, width int, slots array<bigint>, full boolean, raw boolean"
 
 
@@ -245,7 +249,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
     """(doc_id, text_key, item_id, windows, item_windows, coverage, changed, kind, first_word).
 
     One row per document and benchmark item found in it, with its longest alignment: the
-    windows that agree, how many the item has and their ratio, the slots whose value differs,
+    windows that agree (none if all slots disagree but the whole item is met), how many the item
+    has and their ratio, the slots whose value differs,
     ``verbatim`` or ``reparameterised``, and the document's first word of the alignment.
     ``docs``: doc_id, text; ``benchmark``: item_id, text; other columns are ignored.
     ``text_key`` is a hash of the text, which tells rows with the same or no doc_id apart.
@@ -298,22 +303,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
     aligned = met.select(
         "doc_id", "text_key", "item_id", "item_key", "item_at", "at",
         (F.col("at") - F.col("item_at")).alias("shift"), pairs.alias("pairs"))
-    # One alignment has no more windows than its item, so its sets are small.
-    runs = aligned.groupBy("doc_id", "text_key", "item_id", "item_key", "shift").agg(
-        F.count_distinct("item_at").alias("windows"),
-        F.min("at").alias("first_word"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-    )
-    values = F.transform("pairs", lambda s: s["i"])
-    held_to = F.size("pairs") == F.size(F.array_distinct(values))  # one value for each
-    changed = F.size(F.filter("pairs", lambda s: s["i"] != s["d"]))
+    # One shift has no more windows than its item, so its sets are small.
+    runs = aligned.groupBy(*ALIGNED, "shift").agg(
+        F.collect_set(F.struct("item_at", "at", "pairs")).alias("met"))
+    # Neighbouring shifts are one alignment: words were put in or left out on the way.
+    order = Window.partitionBy(*ALIGNED).orderBy("shift")
+    step = F.col("shift") - F.lag("shift").over(order)
+    runs = runs.withColumn("_new", F.when(step <= p.most_shift, 0).otherwise(1))
+    runs = runs.withColumn("part", F.sum("_new").over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # Every shift is judged alone, too, as a stray one may spoil its neighbours.
+    whole = runs.groupBy(*ALIGNED, "part").agg(F.collect_list("met").alias("_each"))
+    together = F.when(F.size("_each") > 1, F.concat("_each", F.array(F.flatten("_each"))))
+    whole = whole.select(*ALIGNED, F.explode(F.coalesce(together, "_each")).alias("met"))
     sizes = asked.groupBy("item_id", "item_key").agg(
         F.count_distinct("item_at").alias("item_windows"),
         F.count_distinct(F.when(F.col("full"), F.col("item_at"))).alias("full"))
-    judged = runs.filter(held_to).join(sizes, ["item_id", "item_key"]).filter(
-        F.col("windows") >= F.least(F.lit(p.least_windows), _findable()))
+    bound = F.least(F.lit(p.least_windows), _findable())
+    judged = _judged(whole).join(sizes, ["item_id", "item_key"]).filter(
+        (F.col("windows") >= bound) | (F.col("met_windows") >= _findable()))
     best = judged.groupBy("doc_id", "text_key", "item_id").agg(
-        F.max(F.struct("windows", (-changed).alias("same"), (-F.col("first_word")).alias("early"),
+        F.max(F.struct("windows", (-F.col("changed")).alias("same"), (-F.col("first_word")).alias("early"),
                        "item_windows")).alias("best"))
     return best.select(
         "doc_id", "text_key", "item_id",
@@ -326,6 +336,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params | None = None)
     )
 
 
+def _same(window: Column) -> Column:
+    return ~F.exists(window["pairs"], lambda s: s["i"] != s["d"])
+
+
+def _judged(whole: DataFrame) -> DataFrame:
+    """What the windows ``met`` of every alignment say.
+
+    windows: the item's windows that agree, which are copies and those whose values all stand
+    for one value each; met_windows: those that agree or not; changed: the slots whose value
+    differs in any of them.
+    """
+    whole = whole.withColumn("_copied", F.transform(F.filter("met", _same), lambda m: m["item_at"]))
+    # Where a window is met as a copy, its other places in the text say nothing.
+    whole = whole.withColumn("met", F.filter(
+        "met", lambda m: _same(m) | ~F.array_contains("_copied", m["item_at"])))
+    whole = whole.withColumn(
+        "_pairs", F.array_distinct(F.flatten(F.transform("met", lambda m: m["pairs"]))))
+    values = F.transform("_pairs", lambda s: s["i"])
+    torn = F.filter(F.array_distinct(values), lambda v: F.size(
+        F.filter("_pairs", lambda s: s["i"] == v)) > 1)
+    whole = whole.withColumn("_torn", torn)
+    agree = F.filter("met", lambda m: _same(m) | ~F.arrays_overlap(
+        F.transform(m["pairs"], lambda s: s["i"]), "_torn"))
+
+    def count(windows: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(windows, lambda m: m["item_at"])))
+
+    return whole.select(
+        *ALIGNED, count(agree).alias("windows"), count(F.col("met")).alias("met_windows"),
+        F.size(F.filter("_pairs", lambda s: s["i"] != s["d"])).alias("changed"),
+        F.array_min(F.transform("met", lambda m: m["at"])).alias("first_word"))
+
+
 def _findable() -> Column:
     """The item's windows that are met also when all its names are replaced, if there are any."""
     return F.when(F.col("full") > 0, F.col("full")).otherwise(F.col("item_windows"))

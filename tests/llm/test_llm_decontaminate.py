@@ -127,3 +127,35 @@ def test_names_that_open_sentences_are_replaced(spark):
             (2, f"{OTHER}, so Bob has 7 apples, Mary has 4 pears, how many pieces of fruit do they have?"),
             (3, f"{OTHER}. Paris is the capital city, and Bob has 7 apples.")]
     assert kinds(found(spark, docs, bench)) == {(1, 1): "reparameterised", (2, 1): "reparameterised"}
+
+
+def test_slots_that_disagree_cost_only_their_windows(spark):
+    two = ("A farmer takes 2 apples and 2 pears to the market on the far side of the old river and"
+           " sells them all there before noon")
+    short = "The farmer sells 2 apples and 2 pears there"
+    many = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(44)]
+    long = " ".join([*many[:20], "40 tiles", *many[20:], "40 stones lie here"])
+    docs = [(1, two.replace("2 app", "3 app").replace("2 pears", "5 pears")),
+            (2, short.replace("2 app", "3 app").replace("2 pears", "5 pears")),
+            (3, long.replace("40 stones", "41 stones")),
+            (4, "the farmer sells 3 apples and 5 pears somewhere"), (5, two)]
+    got = found(spark, docs, [(1, two), (2, short), (3, long)])
+    assert kinds(got) == {(1, 1): "reparameterised", (2, 2): "reparameterised",
+                          (3, 3): "reparameterised", (5, 1): "verbatim"}
+    windows = {r.doc_id: (r.windows, r.item_windows) for r in got.collect()}
+    assert windows[5] == (19, 19) and windows[2][0] == 0
+    assert windows[1] == (12, 19)  # those with a pair of 2 do not count
+    assert windows[3] == (43 - 4, 43)  # those with the edited 40 do not count
+
+
+def test_values_of_more_or_fewer_words(spark):
+    maria = ("on a cold winter evening the old teacher told Maria about every one of the small"
+             " islands beyond the blue bay")
+    york = ("after the long war the young painter moved to New York because his only sister had"
+            " opened a small gallery there")
+    docs = [(1, f"{OTHER} {maria.replace('Maria', 'Ana Maria')}"),
+            (2, f"{OTHER} {maria.replace('Maria', 'Jean Paul Sartre')}"),
+            (3, f"{OTHER} {york.replace('New York', 'Paris')}"), (4, " ".join(york.split()[11:])),
+            (5, f"{' '.join(york.split()[:9])} {OTHER} {' '.join(york.split()[11:])}")]
+    got = kinds(found(spark, docs, [(1, maria), (2, york)]))
+    assert {(1, 1), (2, 1), (3, 2)} == set(got)
