@@ -176,11 +176,20 @@ def change_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def stream_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event rows read as a stream, folded into totals per location."""
-    reader = spark.readStream.schema(DRIVER_SCHEMAS["events"]).option("maxFilesPerTrigger", 1000)
-    events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return occupancy_stream.run_to_end(change_rows(events), "30 days")
+def stream_occupancy(spark: SparkSession, sf_dir: str, files: int = 1000) -> DataFrame:
+    """The event rows read as a stream, ``files`` at a time, folded into totals per location.
+
+    Files are read in any order of time, so the lateness is the time that the table spans and
+    no change is left out.
+    """
+    path, schema = f"{sf_dir}/events.parquet", DRIVER_SCHEMAS["events"]
+    at = F.col("changed_at").cast("timestamp").cast("bigint")
+    span = change_rows(spark.read.schema(schema).parquet(path)).agg(
+        (F.max(at) - F.min(at)).alias("seconds")).first().seconds
+    # As a pattern, the path may be one file or a folder of part files; a plain one is a folder.
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    events = reader.parquet(f"{sf_dir}/events.parque[t]")
+    return occupancy_stream.run_to_end(change_rows(events), f"{(span or 0) + 2} seconds")
 
 
 # ---- sinks: write below the shared folder, read back, report what arrived ---------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR, rows_of
 from stockloom.operators import occupancy
-from stockloom.queries import change_rows
+from stockloom.queries import change_rows, stream_occupancy
 from stockloom.schema import SCHEMAS
 from stockloom.session import ensure_checkpoints, scratch_path, shared_dir
 from stockloom.sources import sinks, tables
@@ -114,3 +114,18 @@ def test_stream_equals_batch(spark):
     expected = rows_of(occupancy.occupancy_delta(rows))
     # No change is later than this: the files are read in any order of time.
     assert rows_of(stream.run_to_end(changes, "36500 days")) == expected
+
+
+def test_stream_reads_a_folder_of_events_in_any_order_of_time(spark, tmp_path):
+    events = Warehouse(spark, SF_DIR).driver("events")
+    folder = str(tmp_path / "events.parquet")
+    for days in (400, 0, 200):  # files come in this order, one a batch
+        moved = events.withColumn("ts", F.col("ts") + F.expr(f"interval {days} days")).withColumn(
+            "event_id", F.col("event_id") + days * 10**9)
+        moved.select(events.columns).coalesce(1).write.mode("append").parquet(folder)
+    expected = rows_of(occupancy.occupancy_delta(change_rows(spark.read.parquet(folder))))
+    assert expected
+    for files in (1, 1000):
+        assert rows_of(stream_occupancy(spark, str(tmp_path), files)) == expected
+    assert rows_of(stream_occupancy(spark, SF_DIR)) == rows_of(
+        occupancy.occupancy_delta(change_rows(events)))
