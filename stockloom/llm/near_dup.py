@@ -322,21 +322,38 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, p: Params | None = None) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: one document of each group stays, the one
-    of the smallest doc_id. Rows with a null doc_id stay; of rows that repeat a doc_id one stays.
+    """The rows of ``docs`` without near duplicates: one row of each group stays, the one of the
+    smallest doc_id, then of the smallest hash of id and text.
+
+    Rows are told apart by doc_id and text, so different texts under one doc_id are different
+    documents. Rows with a null doc_id stay; of rows that repeat a doc_id and its text the one
+    of the smallest hash of all columns (maps aside) stays.
     """
-    found = near_duplicates(docs, p)
     work = Work(docs.sparkSession, "deduplicated")
-    gone = work.keep(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
-    rest = docs.join(_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text"), p)
+    linked = work.keep(
+        found.filter(~F.col("kept")).select(F.col("doc_id").alias("_key"), "component_id").distinct(),
+        "linked")
+    first = linked.select(F.col("component_id").alias("_key"), "component_id").distinct()
+    members = linked.unionByName(first)
+    ids = docs.select("doc_id", key.alias("_key")).join(_small(members), "_key")
+    stays = ids.groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "_key")).alias("_first")).select(F.col("_first._key").alias("_key"))
+    gone = work.keep(members.select("_key").join(_small(work.keep(stays, "stays")), "_key", "left_anti"), "gone")
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # no name can clash with the key
+    rows = docs.select(key.alias("_key"), *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    rest = rows.join(_small(gone), "_key", "left_anti")
     repeated = work.keep(
-        docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return rest
-    one = rest.join(_small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(_small(repeated), "doc_id", "left_anti").select(*docs.columns).unionByName(
-        one.select(*docs.columns))
+        rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1 AND _key IS NOT NULL").select("_key"), "repeated")
+    if not repeated.isEmpty():
+        plain = [n for n in names if "map<" not in rows.schema[n].dataType.simpleString()]
+        one = rest.join(_small(repeated), "_key", "left_semi").groupBy("_key").agg(
+            F.min_by(F.struct(*names), F.xxhash64(*plain)).alias("_row"))
+        rest = rest.join(_small(repeated), "_key", "left_anti").select(*names).unionByName(
+            one.select("_row.*"))
+    return rest.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def _small(ids: DataFrame) -> DataFrame:

@@ -152,3 +152,17 @@ def test_one_of_each_group_stays(spark):
     assert got.columns == df.columns
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(
         [rows[0], rows[2], rows[4], rows[5]], key=str)
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    rows = [(3, "q r s t u v", "a"), (3, "other words of another clean text", "b"), (5, "q r s t u v", "c"),
+            (3, "q r s t u v", "d"), (7, None, "e"), (7, "yet another text of some six words", "f"),
+            (2, "Yet another text of some six words", "g")]
+    for part in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, _key string").repartition(part)
+        got = sorted((tuple(r) for r in near_dup.deduplicated(df).collect()), key=str)
+        assert [r for r in got if r[0] != 3] == [rows[6], rows[4]]
+        assert rows[1] in got and len([r for r in got if r[0] == 3]) == 2
+        if part == 1:
+            first = got
+    assert got == first
