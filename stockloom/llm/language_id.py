@@ -97,10 +97,22 @@ def fit(docs: DataFrame, p: Params | None = None) -> Model:
     prepare(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
     # One row per language; the sampling rates are joined as a table of that size.
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    sizes = docs.sparkSession.createDataFrame(sizes.collect(), "lang string, size bigint")
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.join(F.broadcast(sizes), "lang").filter(draw * F.col("size") < p.sample_rows)
+    # Rows are drawn by id and text, as ids may be missing or repeat; exact copies count once.
+    key = F.xxhash64("doc_id", "text")
+    sizes = rows.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.approx_count_distinct(key, 0.02).alias("differ"))
+    sizes = docs.sparkSession.createDataFrame(sizes.collect(), "lang string, size bigint, differ bigint")
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(p.seed)), F.lit(1 << 30)) / (1 << 30)
+    sample = rows.join(F.broadcast(sizes), "lang").filter(draw * F.col("differ") < p.sample_rows).select(
+        "lang", "doc_id", "text", key.alias("key"))
+    # The sample is bounded, and so are the keys that repeat in it; only their texts are shuffled.
+    copies = [r.key for r in sample.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").select("key").distinct().collect()]
+    if copies:
+        copied = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in copies], "key bigint"))
+        sample = sample.join(copied, "key", "left_anti").unionByName(
+            sample.join(copied, "key", "left_semi").select(sample.columns).distinct())
     counts = sample.select("lang", padded(F.col("text")).alias("padded")).mapInArrow(
         _counter, "lang string, gram bigint, n bigint"
     ).groupBy("lang", "gram").agg(F.sum("n").alias("n"))

@@ -48,3 +48,22 @@ def test_more_languages_than_bits_of_a_word(spark):
     truth = {r[0]: r[2] for r in rows}
     learned = {truth[r.doc_id] for r in got if not r.held_out}
     assert all(r.lang_pred == truth[r.doc_id] for r in got if truth[r.doc_id] in learned)
+
+
+def test_rows_without_ids_are_drawn_one_by_one(spark):
+    """A language whose rows lack ids, repeat one id, or are copies is learned in part."""
+    words = {"xa": "sollen wohnen garten fenster", "xb": "piatto cucina finestra giardino"}
+    rows = [(None if lang == "xa" else 1001, f"{text} {chr(97 + i % 26)}{chr(97 + i // 26)}qz", lang)
+            for lang, text in words.items() for i in range(400)]
+    rows += [(None, "copias siempre iguales aqui", "xc")] * 400
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    asked = spark.createDataFrame(
+        [(1, "sollen wohnen"), (2, "piatto cucina"), (3, "copias siempre")], "doc_id bigint, text string")
+    for seed in range(4):
+        p = language_id.Params(sample_rows=20, seed=seed)
+        model = language_id.fit(df, p)
+        got = {r.doc_id: r.lang_pred for r in language_id.predict(
+            df.unionByName(asked, allowMissingColumns=True), p).filter("doc_id < 4").collect()}
+        assert got == {1: "xa", 2: "xb", 3: "xc"}, seed
+        bits = [int((model.filters[0] >> np.uint64(c) & np.uint64(1)).sum()) for c in range(3)]
+        assert min(bits) > 0
