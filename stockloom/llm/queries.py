@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.llm import (
-    decontaminate, embed_dup, language_id, license_scan, near_dup, pieces, sharding, token_counts,
-    toxicity, warc,
+    decontaminate, embed_dup, language_id, license_scan, near_dup, pieces, quality, sharding,
+    token_counts, toxicity, warc,
 )
 from stockloom.llm.common import table
 
@@ -62,6 +62,10 @@ def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def registry() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -76,5 +80,6 @@ def registry() -> dict[str, Query]:
             op8_sentencepiece,
             op9_weak_toxicity,
             op10_warc_round_trip,
+            op11_nb_support_vectors,
         )
     }
