@@ -129,10 +129,49 @@ FROM m
 """
 
 
+# Every phrase of up to three words counted; parts and cuts joined by their text.
+PHRASES = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS sizes(k)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY ALL
+), c AS (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10
+), cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(ws[:cut], ' ') AS x, array_to_string(ws[cut + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+), rated AS (
+  SELECT lang, cuts.phrase AS phrase, a, cut, fx.n AS l, fy.n AS r,
+         ((1000000::HUGEINT * a * a) // (fx.n::HUGEINT * fy.n))::BIGINT AS score
+  FROM cuts JOIN f fx USING (lang) JOIN f fy USING (lang) WHERE fx.phrase = x AND fy.phrase = y
+), lowest AS (
+  SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS most
+  FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase
+        FROM c WHERE k = 3) GROUP BY lang, phrase
+), kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a
+), totals AS (
+  SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": NEAR_DUP,
         "op2_subspace_near_dedup": EMBED_DUP,
         "op3_license_scan": LICENSES,
         "op10_warc_round_trip": WARC,
+        "op12_phrase_tries": PHRASES,
     }

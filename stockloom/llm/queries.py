@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.llm import (
-    decontaminate, embed_dup, language_id, license_scan, near_dup, pieces, quality, sharding,
-    token_counts, toxicity, warc,
+    decontaminate, embed_dup, language_id, license_scan, near_dup, phrases, pieces, quality,
+    sharding, token_counts, toxicity, warc,
 )
 from stockloom.llm.common import table
 
@@ -66,6 +66,10 @@ def op11_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -81,5 +85,6 @@ def registry() -> dict[str, Query]:
             op9_weak_toxicity,
             op10_warc_round_trip,
             op11_nb_support_vectors,
+            op12_phrase_tries,
         )
     }
