@@ -167,6 +167,52 @@ FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """
 
 
+# The checksum byte by byte; near words share a text with one code point left out.
+SPELLING = rf"""
+WITH RECURSIVE steps(b, k, c) AS (
+  SELECT b, 0, b::BIGINT FROM range(256) AS r(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END
+  FROM steps WHERE k < 8
+), crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), one AS (
+  SELECT hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x, run, count(*) AS n FROM runs GROUP BY doc_id, run
+), bytes AS (
+  SELECT run, n, list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(x) // 2),
+    lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)) AS bs FROM one
+), summed AS (
+  SELECT run, n, xor(4294967295::BIGINT, list_reduce(bs,
+    lambda s, b: xor(t[(xor(s, b) & 255) + 1], s >> 8))) AS h FROM bytes, crc
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN run[:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word
+    FROM summed) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, place, word[:place] || word[place + 2:] AS rest
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS place FROM words)
+), pairs AS (
+  SELECT a.word AS u, b.word AS v, b.n FROM cut a JOIN cut b USING (place, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), near AS (
+  SELECT u, count(*) AS n_near, max(n) AS best_n FROM pairs GROUP BY u
+), best AS (
+  SELECT u, n_near, best_n, min(v) AS v FROM near JOIN pairs USING (u) WHERE n = best_n GROUP BY ALL
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN v END AS form,
+         CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN best ON u = word
+), chains(word, root, form) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chains c JOIN formed f ON c.form = f.word
+)
+SELECT word, formed.form, root, n, n_near, form_n
+FROM formed JOIN chains USING (word) WHERE chains.form IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": NEAR_DUP,
@@ -174,4 +220,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_license_scan": LICENSES,
         "op10_warc_round_trip": WARC,
         "op12_phrase_tries": PHRASES,
+        "op13_edit_transducer": SPELLING,
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockloom.llm import (
     decontaminate, embed_dup, language_id, license_scan, near_dup, phrases, pieces, quality,
-    sharding, token_counts, toxicity, warc,
+    sharding, spelling, token_counts, toxicity, warc,
 )
 from stockloom.llm.common import table
 
@@ -70,6 +70,10 @@ def op12_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_edit_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.groups(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -86,5 +90,6 @@ def registry() -> dict[str, Query]:
             op10_warc_round_trip,
             op11_nb_support_vectors,
             op12_phrase_tries,
+            op13_edit_transducer,
         )
     }
