@@ -1,12 +1,13 @@
 """Collocations of two and more words per language, counted with double-array tries.
 
-Candidates grow level by level as in Apriori: a phrase is a candidate if all its contiguous
-parts are frequent. What tasks know of frequent parts is a bitmap of fixed size over hashed
-parts, and a candidate's own hash must be met often enough too; a hash that two phrases share
-only adds candidates, never loses one. The candidates are written, dealt into tries of a
-bounded number of keys, and every trie is broadcast for one pass over the text: all positions
-advance together through its states, the states that accept a phrase are counted, and the counts
-of all tasks are added up. These counts are exact, whatever the hashes did.
+Candidates grow level by level as in Apriori: a phrase is counted by its hash only where both
+parts of one word less are frequent, and is a candidate if its hash is met often enough. What
+tasks know of frequent parts is a bitmap of fixed size over hashes; hashes that meet only add
+candidates, they never lose one. Each candidate's text is listed once, from the documents of one
+shard in which it stands. The candidates, single words among them, are dealt into tries of a bounded
+number of keys. Every trie is broadcast for one pass over the text: all positions advance
+together through its states, the states that accept a phrase are counted, and the counts of all
+tasks are added up. These counts are exact, whatever the hashes did.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from stockloom.llm import double_array
 from stockloom.llm.common import Work, steps, text_buffer
 from stockloom.llm.textwords import BASE, LOWER, WordHasher, mix, powers
-from stockloom.plans.lookup import lookup_join
+from stockloom.plans.lookup import lookup_join, shuffle_partitions
 
 UNKNOWN = "und"
 #: A piece ends at one of .,;:!? or a line end; words are parted by blanks and tabs.
@@ -32,6 +33,9 @@ PIECE_END = np.zeros(256, bool)
 PIECE_END[[*b".,;:!?", 10, 11, 12, 13]] = True
 SEPARATOR = PIECE_END.copy()
 SEPARATOR[[9, 32]] = True
+KEY_BITS, SHARD_BITS = 48, 8
+TURNS = (0x9E3779B1, 0x85EBCA77)  # how a shard moves the bits of a key
+CHUNK = 4096  # counts of a trie that are added up as one row
 LANG_END, SHIFT = 1, 2  # labels of the tries: key end 0, language end 1, bytes from 2
 
 
@@ -47,6 +51,17 @@ class Params:
     buckets: int = 64  # parts of a language that are ranked apart first
 
 
+def lang_codes(langs: list[str]) -> np.ndarray:
+    """A hash of each language's name."""
+    return np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little")
+                     for x in langs], np.uint64)
+
+
+def total_keys(langs: list[str]) -> np.ndarray:
+    """Negative keys under which the words of each language are added up."""
+    return -1 - (lang_codes(langs) >> np.uint64(1)).view(np.int64)
+
+
 class Tokens:
     """Words of one step of rows (lang, text): hashes, neighbours, and the words as bytes."""
 
@@ -71,18 +86,19 @@ class Tokens:
         self.text[inside] = LOWER[data[np.arange(int(size.sum())) + np.repeat(
             starts - np.concatenate([[0], np.cumsum(size)[:-1]]), size)]]
         self.text[self.ends[self.joined]] = 32
-        codes = [np.uint64(int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little"))
-                 for x in self.langs]
-        self.lang_hash = np.array(codes, np.uint64)[self.lang] if codes else np.zeros(0, np.uint64)
+        self.lang_hash = lang_codes(self.langs)[self.lang]
+        #: The shard of each word's document, from all its words.
+        total = np.concatenate([[np.uint64(0)], np.cumsum(self.hashes)])
+        self.shard = (mix(total[first[1:]] - total[first[:-1]]) >> np.uint64(64 - SHARD_BITS))[owner]
 
     def keys(self, width: int) -> np.ndarray:
-        """Hash of the phrase of ``width`` words that starts at each word, with its language."""
+        """Hash (KEY_BITS) of the phrase of ``width`` words from each word on, with its language."""
         factor = powers(BASE, width + 2)
         out = self.lang_hash + factor[width + 1 : width + 2] * np.uint64(width)
         n = len(out)
         for k in range(width):
             out[: n - k] += self.hashes[k:] * factor[k + 1]
-        return mix(out)
+        return mix(out) >> np.uint64(64 - KEY_BITS)
 
     def whole(self, width: int) -> np.ndarray:
         """Whether ``width`` words from this one on stand in one piece."""
@@ -104,28 +120,38 @@ class Tokens:
         return pa.array(self.langs, pa.string()).take(pa.array(self.lang[chosen])), text.cast(pa.string())
 
 
-def met(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Whether the bit of each key is set in a bitmap of a power of two of bits."""
-    place = key >> np.uint64(64 - int(len(bitmap) * 64).bit_length() + 1)
-    return ((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)) != 0
+def places(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a bitmap of 2 ** bits bits that stand for a key: its upper and lower ones."""
+    return key >> np.uint64(KEY_BITS - bits), key & np.uint64((1 << bits) - 1)
+
 
+def met(bitmap: np.ndarray, key: np.ndarray, shard: np.ndarray | None = None) -> np.ndarray:
+    """Whether the bits of each key, or of each key with its shard, are set."""
+    bits = int(len(bitmap) * 64).bit_length() - 1
+    good = np.ones(len(key), bool)
+    for place, turn in zip(places(key, bits), TURNS, strict=True):
+        if shard is not None:
+            place = place ^ (shard * np.uint64(turn) & np.uint64((1 << bits) - 1))
+        word = bitmap[(place >> np.uint64(6)).astype(np.int64)]
+        good &= ((word >> (place & np.uint64(63))) & np.uint64(1)) != 0
+    return good
 
-def _hits(tokens: Tokens, width: int, maps: list[np.ndarray], own: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Words at which a candidate of ``width`` words starts, and the candidates' keys.
 
-    Both parts of one word less must be marked; with ``own`` the phrase itself too.
+def bitmap(keys: DataFrame, bits: int, shards: bool) -> np.ndarray:
+    """A bitmap of 2 ** bits bits of the rows (key, shard), with or without the shard.
+
+    Its size is fixed, whatever the number of keys.
     """
-    good = tokens.whole(width)
-    n = len(good)
-    part = met(maps[width - 2], tokens.keys(width - 1))
-    good &= part
-    good[: max(n - 1, 0)] &= part[1:]
-    at = np.flatnonzero(good)
-    key = tokens.keys(width)[at]
-    if own:
-        marked = met(maps[width - 1], key)
-        at, key = at[marked], key[marked]
-    return at, key
+    ends = [f"shiftright(key, {KEY_BITS - bits})", f"key & {(1 << bits) - 1}"]
+    if shards:
+        ends = [f"({e}) ^ (cast(shard as bigint) * {t} & {(1 << bits) - 1})" for e, t in zip(ends, TURNS, strict=True)]
+    cells = keys.select(F.explode(F.array(*[F.expr(e) for e in ends])).alias("place")).groupBy(
+        F.expr("shiftright(place, 6)").alias("cell")
+    ).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("word"))
+    rows = cells.toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[rows["cell"].to_numpy()] = rows["word"].to_numpy().view(np.uint64)
+    return out
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
@@ -136,24 +162,27 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
             yield tokens
 
 
-def _word_counter() -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens in _texts(batches):
-            key, at, n = np.unique(tokens.keys(1), return_index=True, return_counts=True)
-            lang, word = tokens.phrases(at, 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), lang, word, pa.array(n.astype(np.int64))],
-                names=["key", "lang", "phrase", "n"])
-
-    return run
-
-
-def _support_counter(sent: Broadcast, width: int) -> Callable:
+def _support_counter(sent: Broadcast | None, width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens in _texts(batches):
-            key, n = np.unique(_hits(tokens, width, sent.value, False)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+            good = tokens.whole(width)
+            if sent is not None:  # both parts must be frequent
+                part = met(sent.value, tokens.keys(width - 1))
+                good &= part
+                good[:-1] &= part[1:]
+            # Sorted by key and shard at once: the first of a key has its smallest shard.
+            packed = np.sort(tokens.keys(width)[good] << np.uint64(SHARD_BITS) | tokens.shard[good])
+            key = packed >> np.uint64(SHARD_BITS)
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+            if width == 1:
+                words = np.bincount(tokens.lang, minlength=len(tokens.langs)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(total_keys(tokens.langs)), pa.array(np.zeros(len(words), np.int32)), pa.array(words)],
+                    names=["key", "shard", "n"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key[first].view(np.int64)),
+                pa.array((packed[first] & np.uint64((1 << SHARD_BITS) - 1)).astype(np.int32)),
+                pa.array(np.diff(np.append(first, len(key))).astype(np.int32))], names=["key", "shard", "n"])
 
     return run
 
@@ -161,9 +190,10 @@ def _support_counter(sent: Broadcast, width: int) -> Callable:
 def _lister(sent: Broadcast, p: Params) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens in _texts(batches):
-            for width in range(2, p.words + 1):
-                at, key = _hits(tokens, width, sent.value, True)
-                key, one = np.unique(key, return_index=True)
+            for width in range(1, p.words + 1):
+                key = tokens.keys(width)
+                at = np.flatnonzero(tokens.whole(width) & met(sent.value[width - 1], key, tokens.shard))
+                key, one = np.unique(key[at], return_index=True)
                 lang, phrase = tokens.phrases(at[one], width)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), lang, phrase], names=["key", "lang", "phrase"])
@@ -175,38 +205,51 @@ def _trie_counter(sent: Broadcast, trie: Broadcast, part: int, parts: int, p: Pa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = trie.value
         base, check, n = t["base"], t["check"], len(t["phrase"])
-        counts = np.zeros(n, np.int64)
+        counts = np.zeros(n + -n % CHUNK, np.int64)
         stops = np.zeros(256, bool)
         stops[[10, 32]] = True
         for tokens in _texts(batches):
             begin = np.zeros(len(tokens.hashes), bool)
-            for width in range(2, p.words + 1):
-                at, key = _hits(tokens, width, sent.value, True)
-                begin[at[(key >> np.uint64(32)) % np.uint64(parts) == part]] = True
+            for width in range(1, p.words + 1):
+                key = tokens.keys(width)
+                at = np.flatnonzero(tokens.whole(width) & (key % np.uint64(parts) == part))
+                begin[at[met(sent.value[width - 1], key[at])]] = True
             state = np.array([double_array.start(base, check, [b + SHIFT for b in x.encode()] + [LANG_END])
                               for x in tokens.langs], np.int64)
             at = np.flatnonzero(begin)
             counts += np.bincount(double_array.walk(
-                base, check, tokens.text, tokens.at[at], state[tokens.lang[at]], stops, SHIFT), minlength=n)
-        seen = np.flatnonzero(counts)
-        for some in np.array_split(seen, len(seen) // 50_000 + 1):
-            at = pa.array(some)
+                base, check, tokens.text, tokens.at[at], state[tokens.lang[at]], stops, SHIFT), minlength=len(counts))
+        for chunk, some in enumerate(counts.reshape(-1, CHUNK)):
+            if some.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int32()), pa.array([some.tobytes()], pa.binary())], names=["chunk", "counts"])
+
+    return run
+
+
+def _adder(trie: Broadcast) -> Callable:
+    """Adds up the counts of all tasks, chunk by chunk, and names the phrases."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = trie.value
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                some = np.frombuffer(counts.as_buffer(), np.int64)
+                total[chunk] = total[chunk] + some if chunk in total else some.copy()
+        for chunk, some in total.items():
+            seen = np.flatnonzero(some)
+            at = pa.array(seen + chunk * CHUNK)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(t["lang"]).take(at).cast(pa.string()), t["phrase"].take(at), pa.array(counts[some])],
+                [t["lang"].take(at).cast(pa.string()), t["phrase"].take(at), pa.array(some[seen])],
                 names=["lang", "phrase", "n"])
 
     return run
 
 
-def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of 2 ** bits bits with the bit of every ``key`` set; its size is fixed."""
-    cells = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("place")).groupBy(
-        F.expr("place >> 6").alias("cell")
-    ).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("word"))
-    rows = cells.toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[rows["cell"].to_numpy()] = rows["word"].to_numpy().view(np.uint64)
-    return out
+def _named_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(total_keys(batch.column(0).to_pylist()))], names=["lang", "key"])
 
 
 def trie_of(rows: pa.Table) -> dict:
@@ -231,23 +274,30 @@ def trie_of(rows: pa.Table) -> dict:
 
 
 def candidates(work: Work, texts: DataFrame, p: Params) -> tuple[DataFrame, DataFrame, list[np.ndarray]]:
-    """(words with counts, candidate phrases, bitmaps by length) of rows (lang, text)."""
-    words = work.keep(
-        texts.mapInArrow(_word_counter(), "key bigint, lang string, phrase string, n bigint")
-        .groupBy("key", "lang", "phrase").agg(F.sum("n").alias("n")), "words")
-    maps = [bitmap(words.filter(F.col("n") >= p.least), p.word_bits)]
-    spark = work.spark
-    for width in range(2, p.words + 1):
-        sent = spark.sparkContext.broadcast(maps)
-        often = texts.mapInArrow(_support_counter(sent, width), "key bigint, n bigint").groupBy(
-            "key").agg(F.sum("n").alias("n")).filter(F.col("n") >= p.least)
-        maps.append(bitmap(often, p.phrase_bits))
-        sent.destroy()
-    sent = spark.sparkContext.broadcast(maps)
+    """(candidates (key, lang, phrase) of one word and more, words (lang, n), bitmaps by length)."""
+    spark: SparkSession = work.spark
+    maps, lists = [], []
+    for width in range(1, p.words + 1):
+        sent = spark.sparkContext.broadcast(maps[-1]) if maps else None
+        often = work.keep(
+            texts.mapInArrow(_support_counter(sent, width), "key bigint, shard int, n int")
+            .groupBy("key").agg(F.sum("n").alias("n"), F.min("shard").alias("shard"))
+            .filter(F.col("n") >= p.least), f"often{width}")
+        if width == 1:
+            names = texts.select("lang").distinct().mapInArrow(_named_totals, "lang string, key bigint")
+            totals = work.keep(often.join(names, "key").select("lang", "n"), "totals")
+            often = often.filter("key >= 0")
+        bits = p.word_bits if width == 1 else p.phrase_bits
+        maps.append(bitmap(often, bits, False))
+        lists.append(bitmap(often, bits, True))
+        work.drop(f"often{width}")
+        if sent is not None:
+            sent.destroy()
+    sent = spark.sparkContext.broadcast(lists)
     listed = work.keep(
         texts.mapInArrow(_lister(sent, p), "key bigint, lang string, phrase string").distinct(), "candidates")
     sent.destroy()
-    return words, listed, maps
+    return listed, totals, maps
 
 
 def counted(work: Work, texts: DataFrame, listed: DataFrame, maps: list[np.ndarray], p: Params) -> DataFrame:
@@ -257,26 +307,27 @@ def counted(work: Work, texts: DataFrame, listed: DataFrame, maps: list[np.ndarr
         F.sum(F.octet_length("phrase") + F.octet_length("lang")), F.lit(0)).alias("bytes")).first()
     parts = max(size.n // p.trie_keys, size.bytes // (24 * p.trie_keys)) + 1
     sent = spark.sparkContext.broadcast(maps)
-    group = F.pmod(F.shiftrightunsigned("key", 32), F.lit(parts))
     total = None
     for part in range(parts):
-        rows = listed.filter(group == part).select("lang", "phrase").toArrow()
+        rows = listed.filter(F.pmod("key", F.lit(parts)) == part).select("lang", "phrase").distinct().toArrow()
         trie = spark.sparkContext.broadcast(trie_of(rows))
+        shards = texts.mapInArrow(_trie_counter(sent, trie, part, parts, p), "chunk int, counts binary")
         found = work.keep(
-            texts.mapInArrow(_trie_counter(sent, trie, part, parts, p), "lang string, phrase string, n bigint")
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")), f"counts{part}")
+            shards.repartition(max(min(shuffle_partitions(spark), rows.num_rows // CHUNK), 1), "chunk")
+            .mapInArrow(_adder(trie), "lang string, phrase string, n bigint")
+            .filter(F.col("n") >= p.least), f"counts{part}")
         trie.destroy()
         total = found if total is None else total.unionByName(found)
     sent.destroy()
     return total
 
 
-def scored(words: DataFrame, phrases: DataFrame, p: Params) -> DataFrame:
-    """(lang, phrase, a, l, r, score) of phrases of two words and more, from exact counts.
+def scored(often: DataFrame) -> DataFrame:
+    """(lang, phrase, a, l, r, score) of the phrases of two words and more among exact counts.
 
-    ``words``, ``phrases``: (lang, phrase, n) with every contiguous part of every phrase.
+    ``often``: (lang, phrase, n) with every contiguous part of every phrase.
     """
-    often = words.select("lang", "phrase", "n").unionByName(phrases.select("lang", "phrase", "n"))
+    phrases = often.filter("contains(phrase, ' ')")
     left = often.select(F.concat_ws("\x01", "lang", "phrase").alias("_first"), F.col("n").alias("l"))
     right = often.select(F.concat_ws("\x01", "lang", "phrase").alias("_rest"), F.col("n").alias("r"))
     parts = F.split("phrase", " ")
@@ -297,7 +348,7 @@ def scored(words: DataFrame, phrases: DataFrame, p: Params) -> DataFrame:
     ).select("lang", "phrase", "a", "_cut.l", "_cut.r", "_cut.score")
 
 
-def _subsumed(phrases: DataFrame, p: Params) -> DataFrame:
+def _subsumed(phrases: DataFrame) -> DataFrame:
     """(lang, phrase, longest) of parts: the largest count of a longer phrase that holds them."""
     words = F.split("phrase", " ")
     held = phrases.withColumn("_words", words).filter(F.size("_words") > 2).withColumn(
@@ -317,12 +368,11 @@ def collocations(docs: DataFrame, p: Params | None = None) -> DataFrame:
     p = p or Params()
     work = Work(docs.sparkSession, "phrases")
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text").filter("text IS NOT NULL")
-    words, listed, maps = candidates(work, texts, p)
-    phrases = work.keep(counted(work, texts, listed, maps, p).filter(F.col("n") >= p.least), "phrases")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    listed, totals, maps = candidates(work, texts, p)
+    often = work.keep(counted(work, texts, listed, maps, p), "often")
 
-    rated = scored(words.filter(F.col("n") >= p.least), phrases, p)
-    rated = rated.join(_subsumed(phrases, p), ["lang", "phrase"], "left").filter(
+    rated = scored(often)
+    rated = rated.join(_subsumed(often), ["lang", "phrase"], "left").filter(
         f"longest IS NULL OR 100 * longest < {p.share} * a").drop("longest")
     best = (F.desc("score"), F.desc("a"), F.asc("phrase"))
     part = F.pmod(F.xxhash64("phrase"), F.lit(p.buckets))

@@ -54,10 +54,9 @@ def test_equals_counting(spark):
     rows = texts(1, 300) + [("en", None), ("en", ""), (None, " \n"), ("en", "of the " * 40_000)]
     rows += [("de", "ein haus am see. " * 4)] * 40
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "lang string, text string, n int, phrase string")
-    for p in (phrases.Params(word_bits=16, phrase_bits=18),
-              phrases.Params(words=4, least=3, share=80, top=40, trie_keys=1500, buckets=3, phrase_bits=16),
+    for p in (phrases.Params(words=4, least=3, share=80, top=40, trie_keys=4000, buckets=3, phrase_bits=16),
               # Bitmaps that are full tell nothing; the counts stay the same.
-              phrases.Params(least=5, word_bits=7, phrase_bits=7, trie_keys=400)):
+              phrases.Params(least=5, word_bits=7, phrase_bits=7)):
         got = sorted(tuple(r) for r in phrases.collocations(docs, p).collect())
         assert got == brute(rows, p)
 
