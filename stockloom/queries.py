@@ -21,8 +21,9 @@ from stockloom.operators import (
 from stockloom.schema import ENUMS, SCHEMAS
 from stockloom.session import scratch_path, tune
 from stockloom.sources import sinks, tables
+from stockloom.sources.stock_store import StockStore
 from stockloom.sources.warehouse import DRIVER_SCHEMAS, Warehouse
-from stockloom.streaming import occupancy as occupancy_stream
+from stockloom.streaming import exact_occupancy
 
 # The end of the order dates in the driver's tables; "recent" is counted back from here.
 AS_OF = datetime(2001, 8, 1)
@@ -179,17 +180,12 @@ def change_rows(events: DataFrame) -> DataFrame:
 def stream_occupancy(spark: SparkSession, sf_dir: str, files: int = 1000) -> DataFrame:
     """The event rows read as a stream, ``files`` at a time, folded into totals per location.
 
-    Files are read in any order of time, so the lateness is the time that the table spans and
-    no change is left out.
+    Files are read in any order of time, so no change is ever too late.
     """
-    path, schema = f"{sf_dir}/events.parquet", DRIVER_SCHEMAS["events"]
-    at = F.col("changed_at").cast("timestamp").cast("bigint")
-    span = change_rows(spark.read.schema(schema).parquet(path)).agg(
-        (F.max(at) - F.min(at)).alias("seconds")).first().seconds
     # As a pattern, the path may be one file or a folder of part files; a plain one is a folder.
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    reader = spark.readStream.schema(DRIVER_SCHEMAS["events"]).option("maxFilesPerTrigger", files)
     events = reader.parquet(f"{sf_dir}/events.parque[t]")
-    return occupancy_stream.run_to_end(change_rows(events), f"{(span or 0) + 2} seconds")
+    return exact_occupancy.run_to_end(change_rows(events))
 
 
 # ---- sinks: write below the shared folder, read back, report what arrived ---------------
@@ -241,14 +237,46 @@ def sink_append_ledger(spark: SparkSession, w: Warehouse) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("units"))
 
 
-def sink_upsert_inventory(spark: SparkSession, w: Warehouse) -> DataFrame:
-    """Every ledgered line put into the bin of its supplier, written as a new snapshot."""
-    delta = w.driver("lineitem").select(
+def supplied(w: Warehouse) -> DataFrame:
+    """Every ledgered line put into the bin of its supplier."""
+    return w.driver("lineitem").select(
         F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("location_id"),
-        F.col("l_quantity").cast("int").alias("quantity_on_hand"),
+        F.col("l_quantity").cast("int").alias("quantity_on_hand"), F.col("l_orderkey"),
     )
-    merged = sinks.upsert_inventory(w.inventory, delta)
-    return sinks.write_snapshot(merged, scratch_path(spark, "inventory"))
+
+
+def sink_upsert_inventory(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """The lines merged into the versioned stock as one change, read back at its version."""
+    store = StockStore(spark, scratch_path(spark, "inventory"))
+    store.create(w.inventory)
+    made = store.merge(supplied(w), "lines")
+    return store.stock(made.version)
+
+
+def sink_stock_versions(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """Three changes with their ledger rows, the second one sent twice; what each version holds.
+
+    First the lines of every fifth order come in, then those of the others, then all shipments
+    of the stock rules go out.
+    """
+    store = StockStore(spark, scratch_path(spark, "versions"))
+    store.create(w.inventory)
+    lines, fifth = supplied(w), F.col("l_orderkey") % 5 == 0
+    shipped = _ship(w)
+    for batch, delta in (("a", lines.filter(fifth)), ("b", lines.filter(~fifth)), ("b", lines.filter(~fifth)),
+                         ("c", shipped.changes["inventory_delta"])):
+        ledger = delta.select(F.lit("RECEIVING").alias("transaction_type"), "product_id", "location_id",
+                              F.col("quantity_on_hand").cast("bigint").alias("quantity"))
+        store.merge(delta, batch, ledger)
+    held = None
+    for version in store.versions():
+        rows = store.stock(version).agg(
+            F.lit(version).cast("bigint").alias("version"), F.count(F.lit(1)).alias("n_bins"),
+            F.sum("quantity_on_hand").alias("on_hand"), F.sum("quantity_reserved").alias("reserved"))
+        held = rows if held is None else held.unionByName(rows)
+    entries = store.ledger().groupBy("version").agg(
+        F.count(F.lit(1)).alias("ledger_rows"), F.sum("quantity").alias("ledger_units"))
+    return held.join(entries, "version", "left")
 
 
 def src_table(spark: SparkSession, w: Warehouse) -> DataFrame:
@@ -563,6 +591,7 @@ def registry() -> dict[str, Query]:
         "sink_kpi_csv": sink_kpi_csv,
         "sink_append_ledger": sink_append_ledger,
         "sink_upsert_inventory": sink_upsert_inventory,
+        "sink_stock_versions": sink_stock_versions,
         "op_occupancy_stream": lambda spark, w: stream_occupancy(spark, w.sf_dir),
     }
     return {
