@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +35,9 @@ BLANK = "▁"
 LONG = 48
 NEVER = 1 << 40
 _BASE = 0x9E3779B97F4A7C15 | 5
-CACHE_BITS = 21
-MEMORY_WORDS = 150_000  # words kept by one task, about 25 MB
+CACHE_BITS = 20
+# Words and letters of words that a task keeps.
+MEMORY_WORDS, MEMORY_LETTERS = 60_000, 1_000_000
 
 
 @dataclass
@@ -48,10 +50,13 @@ class Vocabulary:
     unknown: int
     bytes_at: dict[int, int]  # byte -> id
     ids: dict[str, int] = field(default_factory=dict)  # pieces that text may become
-    rank: dict[int, int] = field(default_factory=dict)  # id -> order of the merge
-    merge: dict[tuple[int, int], tuple[int, int]] = field(default_factory=dict)
-    left_spine: dict[int, list] = field(default_factory=dict)
-    right_spine: dict[int, list] = field(default_factory=dict)
+    #: Merges as sorted keys (left id, right id) with their order, and for every piece the pieces
+    #: down its left and right edge, each with the order of the merge that takes it in.
+    merge_key: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    merge_rank: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    left: tuple = ()
+    right: tuple = ()
+    blanks: dict[tuple[int, int], int] = field(default_factory=dict)  # merges of runs of blanks
 
 
 def load(path: str = DEFAULT_MODEL, kind: str = "bpe") -> Vocabulary:
@@ -74,36 +79,51 @@ def load(path: str = DEFAULT_MODEL, kind: str = "bpe") -> Vocabulary:
 
 
 def _merges(v: Vocabulary) -> None:
-    """Ranks, merges, and how every piece is put together."""
+    """Merges in order, and how every piece is put together; pieces that merging never makes go."""
     order = sorted(v.ids.values(), key=lambda i: (-v.scores[i], i))
-    v.rank = {i: r for r, i in enumerate(order)}
+    rank = {i: r for r, i in enumerate(order)}
+    merge: dict[tuple[int, int], int] = {}
     for text, whole in v.ids.items():
         for cut in range(1, len(text)):
             a, b = v.ids.get(text[:cut]), v.ids.get(text[cut:])
             if a is not None and b is not None:
-                v.merge[a, b] = (v.rank[whole], whole)
+                merge[a, b] = whole
     parts: dict[int, tuple[int, int]] = {}
-    for text, whole in list(v.ids.items()):
+    letters = dict(v.ids)
+    for text, whole in letters.items():
         if len(text) > 1:
-            built, last = merged(v, text)
+            built, last = merged(text, letters, merge, v.scores)
             if built != [whole]:
                 del v.ids[text]  # merging never ends here
             else:
                 parts[whole] = last
-    for text, whole in v.ids.items():
-        for spine, side in ((v.left_spine, 0), (v.right_spine, 1)):
-            at, limit, chain = whole, NEVER, []
-            while True:
-                chain.append((at, limit))
-                if at not in parts:
-                    break
-                limit, at = v.rank[at], parts[at][side]
-            spine[whole] = chain
-
-
-def merged(v: Vocabulary, text: str) -> tuple[list[int], tuple[int, int] | None]:
+    v.blanks = {pair: whole for pair, whole in merge.items() if not v.pieces[whole].strip(BLANK)}
+    found = sorted((a << 24 | b, rank[whole]) for (a, b), whole in merge.items())
+    v.merge_key = np.array([k for k, _ in found], np.int64)
+    v.merge_rank = np.array([r for _, r in found], np.int64)
+    v.left, v.right = (_edges(v, parts, rank, side) for side in (0, 1))
+
+
+def _edges(v: Vocabulary, parts: dict, rank: dict, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first entry of each id, piece, order of the merge above it) down one side of all pieces."""
+    size = np.zeros(len(v.pieces) + 1, np.int64)
+    ids, ends = [], []
+    for whole in sorted(v.ids.values()):
+        at, limit = whole, NEVER
+        while True:
+            ids.append(at)
+            ends.append(limit)
+            size[whole + 1] += 1
+            if at not in parts:
+                break
+            limit, at = rank[at], parts[at][side]
+    return np.cumsum(size), np.array(ids, np.int64), np.array(ends, np.int64)
+
+
+def merged(text: str, letters: dict[str, int], merge: dict[tuple[int, int], int], scores: np.ndarray
+           ) -> tuple[list[int], tuple[int, int] | None]:
     """Ids of a run of known letters by merging, best score first, then leftmost; and the last merge."""
-    ids = [v.ids[c] for c in text]
+    ids = [letters[c] for c in text]
     after = list(range(1, len(ids) + 1))
     before = list(range(-1, len(ids) - 1))
     alive = [True] * len(ids)
@@ -111,9 +131,8 @@ def merged(v: Vocabulary, text: str) -> tuple[list[int], tuple[int, int] | None]
 
     def offer(a: int) -> None:
         b = after[a]
-        if b < len(ids) and (ids[a], ids[b]) in v.merge:
-            _, whole = v.merge[ids[a], ids[b]]
-            heapq.heappush(queue, (-v.scores[whole], a, b, ids[a], ids[b]))
+        if b < len(ids) and (ids[a], ids[b]) in merge:
+            heapq.heappush(queue, (-scores[merge[ids[a], ids[b]]], a, b, ids[a], ids[b]))
 
     for a in range(len(ids) - 1):
         offer(a)
@@ -123,7 +142,7 @@ def merged(v: Vocabulary, text: str) -> tuple[list[int], tuple[int, int] | None]
         if not (alive[a] and b < len(ids) and alive[b] and after[a] == b and ids[a] == left and ids[b] == right):
             continue
         last = (left, right)
-        ids[a] = v.merge[left, right][1]
+        ids[a] = merge[left, right]
         alive[b] = False
         after[a] = after[b]
         if after[a] < len(ids):
@@ -134,16 +153,6 @@ def merged(v: Vocabulary, text: str) -> tuple[list[int], tuple[int, int] | None]
     return [i for i, x in zip(ids, alive, strict=True) if x], last
 
 
-def fits(v: Vocabulary, a: int, b: int) -> bool:
-    """Whether merging would leave the border between two pieces alone."""
-    for left, left_end in v.right_spine[a]:
-        for right, right_end in v.left_spine[b]:
-            found = v.merge.get((left, right))
-            if found and found[0] < left_end and found[0] <= right_end:
-                return False
-    return True
-
-
 def _codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -169,6 +178,14 @@ class Encoder:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.memory: dict[str, int] = {}
         self.memory_ids, self.memory_first = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.memory_letters = 0
+        self.merges = np.zeros(1 << 20, bool)
+        self.merges[self._spot(v.merge_key, 20)] = True
+        byte_of = {i: b for b, i in v.bytes_at.items()}
+        texts = [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode()
+                 for i, p in enumerate(v.pieces)]
+        self.out_first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        self.out_data = np.frombuffer(b"".join(texts), np.uint8)
         # A direct-mapped table of judged pairs; a pair may push another out.
         self.seen = np.full(1 << CACHE_BITS, -1, np.int64)
         self.good = np.zeros(1 << CACHE_BITS, bool)
@@ -181,20 +198,46 @@ class Encoder:
         """Ids of n blanks in a row."""
         if n not in self.runs:
             if self.v.kind == "bpe":
-                self.runs[n] = merged(self.v, BLANK * n)[0]
+                self.runs[n] = merged(BLANK * n, {BLANK: self.v.ids[BLANK]}, self.v.blanks, self.v.scores)[0]
             else:
                 self.runs[n] = self._one(BLANK * n)
         return self.runs[n]
 
+    def judged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging would leave the border between each two pieces alone.
+
+        It would not if a piece at the right edge of ``a`` and one at the left edge of ``b`` merge
+        before both have been taken in by others.
+        """
+        v = self.v
+        (first_a, id_a, end_a), (first_b, id_b, end_b) = v.right, v.left
+        high, wide = first_a[a + 1] - first_a[a], first_b[b + 1] - first_b[b]
+        size = high * wide
+        pair = np.repeat(np.arange(len(a)), size)
+        step = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
+        i, j = first_a[a][pair] + step // wide[pair], first_b[b][pair] + step % wide[pair]
+        key = id_a[i] << 24 | id_b[j]
+        row = np.flatnonzero(self.merges[self._spot(key, 20)])
+        at = np.searchsorted(v.merge_key, key[row]).clip(max=len(v.merge_key) - 1)
+        hit = v.merge_key[at] == key[row]
+        row, rank = row[hit], v.merge_rank[at[hit]]
+        broken = (rank < end_a[i[row]]) & (rank <= end_b[j[row]])
+        out = np.ones(len(a), bool)
+        out[pair[row[broken]]] = False
+        return out
+
+    @staticmethod
+    def _spot(key: np.ndarray, bits: int) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(_BASE)) >> np.uint64(64 - bits)).astype(np.int64)
+
     def _fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = (a.astype(np.int64) << 24) | b
-        spot = ((key.astype(np.uint64) * np.uint64(_BASE)) >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
+        spot = self._spot(key, CACHE_BITS)
         out = self.good[spot]
         new = np.flatnonzero(self.seen[spot] != key)
         if len(new):
             distinct, back = np.unique(key[new], return_inverse=True)
-            judged = np.array([fits(self.v, int(k >> 24), int(k & 0xFFFFFF)) for k in distinct])
-            out[new] = judged[back]
+            out[new] = self.judged(distinct >> 24, distinct & 0xFFFFFF)[back]
             self.seen[spot[new]] = key[new]
             self.good[spot[new]] = out[new]
         return out
@@ -211,20 +254,16 @@ class Encoder:
         best = np.full((n, size + 1), -np.inf)
         best[:, 0] = 0
         unigram = self.v.kind != "bpe"
+        factor = self.down[:size] * np.uint64(0xD6E8FEB86659FD93)
         for end in range(1, size + 1):
-            rows, pieces, starts = [], [], []
-            for start in range(max(0, end - self.longest), end):
-                key = (sums[:, end] - sums[:, start]) * self.down[start] * np.uint64(0xD6E8FEB86659FD93)
-                row = np.flatnonzero(self.maybe[key >> np.uint64(44)])
-                if not len(row):
-                    continue
-                key = key[row]
-                at = np.searchsorted(self.keys, key).clip(max=len(self.keys) - 1)
-                hit = self.keys[at] == key
-                rows.append(row[hit])
-                pieces.append(self.key_ids[at[hit]])
-                starts.append(np.full(hit.sum(), start))
-            row, piece, start = (np.concatenate(x) for x in (rows, pieces, starts))
+            # All substrings that end here, of all words at once.
+            low = max(0, end - self.longest)
+            key = (sums[:, end : end + 1] - sums[:, low:end]) * factor[low:end]
+            row, start = np.nonzero(self.maybe[key >> np.uint64(44)])
+            key = key[row, start]
+            at = np.searchsorted(self.keys, key).clip(max=len(self.keys) - 1)
+            hit = self.keys[at] == key
+            row, start, piece = row[hit], start[hit] + low, self.key_ids[at[hit]]
             if unigram:
                 value = best[row, start] + self.v.scores[piece]
             else:
@@ -278,10 +317,10 @@ class Encoder:
         return out[::-1]
 
     def _pair(self, a: int, b: int) -> bool:
-        if len(self.pairs) > 1 << 18:
+        if len(self.pairs) > 1 << 16:
             self.pairs.clear()
         if (a, b) not in self.pairs:
-            self.pairs[a, b] = fits(self.v, a, b)
+            self.pairs[a, b] = bool(self.judged(np.array([a]), np.array([b]))[0])
         return self.pairs[a, b]
 
     def segments(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -353,12 +392,14 @@ class Encoder:
 
     def remembered(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same as ``words``, with those of earlier calls looked up."""
-        if len(self.memory) > MEMORY_WORDS:
+        if len(self.memory) > MEMORY_WORDS or self.memory_letters > MEMORY_LETTERS:
+            self.memory_letters = 0
             self.memory, self.memory_ids, self.memory_first = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
         get = self.memory.get
         new = [w for w in words if w not in self.memory]
         if new:
             ids, first = self.words(new)
+            self.memory_letters += sum(map(len, new))
             self.memory.update(zip(new, range(len(self.memory), len(self.memory) + len(new)), strict=True))
             self.memory_first = np.concatenate([self.memory_first, self.memory_first[-1] + first[1:]])
             self.memory_ids = np.concatenate([self.memory_ids, ids.astype(np.int32)])
@@ -404,28 +445,22 @@ class Encoder:
             out.append(np.array(tokens + (self.run(blanks) if blanks else []), np.int64))
         return out
 
+    def decode_all(self, ids: np.ndarray, first: np.ndarray) -> list[str]:
+        """Texts of ids that stand one text after the other, all bytes of a batch at once.
+
+        Bytes that are not UTF-8 become replacement characters.
+        """
+        size = self.out_first[ids + 1] - self.out_first[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        data = self.out_data[np.arange(int(ends[-1])) + np.repeat(self.out_first[ids] - ends[:-1], size)].tobytes()
+        at = ends[first]
+        texts = [data[a:b].decode("utf-8", "replace").replace(BLANK, " ")
+                 for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        return [t[1:] if t.startswith(" ") else t for t in texts]
+
     def decode(self, ids) -> str:
-        """The text of a list of ids; bytes that are not UTF-8 become replacement characters."""
-        out, raw = [], bytearray()
-        byte_of = self._byte_of
-        for i in ids:
-            if i in byte_of:
-                raw.append(byte_of[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            out.append(self.v.pieces[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(BLANK, " ")
-        return text[1:] if text.startswith(" ") else text
-
-    @property
-    def _byte_of(self) -> dict[int, int]:
-        if not hasattr(self, "_bytes"):
-            self._bytes = {i: b for b, i in self.v.bytes_at.items()}
-        return self._bytes
+        ids = np.asarray(ids, np.int64)
+        return self.decode_all(ids, np.array([0, len(ids)]))[0]
 
 
 def _encoding(sent, check: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -444,8 +479,8 @@ def _encoding(sent, check: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterato
             cols += [pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(null))]
             names += ["n_pieces", "pieces"]
             if check:
-                same = [t is None or encoder.decode(x.tolist()) == t.replace(BLANK, " ")
-                        for t, x in zip(texts, found, strict=True)]
+                back = encoder.decode_all(flat.astype(np.int64), offsets.astype(np.int64))
+                same = [t is None or b == t.replace(BLANK, " ") for t, b in zip(texts, back, strict=True)]
                 cols.append(pa.array(same))
                 names.append("round_trip")
             yield pa.RecordBatch.from_arrays(cols, names=names)
@@ -458,7 +493,10 @@ def _decoding(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
         encoder = Encoder(Vocabulary(**sent.value))
         for batch in batches:
             at = batch.schema.get_field_index("pieces")
-            texts = [None if x is None else encoder.decode(x) for x in batch.column(at).to_pylist()]
+            coded = batch.column(at)
+            first = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(coded), 0).to_numpy())])
+            texts = encoder.decode_all(pc.list_flatten(coded).to_numpy(zero_copy_only=False).astype(np.int64), first)
+            texts = [None if gone else t for gone, t in zip(coded.is_null().to_pylist(), texts, strict=True)]
             cols = [batch.column(i) for i in range(batch.num_columns) if i != at]
             names = [n for i, n in enumerate(batch.schema.names) if i != at]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string())], names=[*names, "text"])
