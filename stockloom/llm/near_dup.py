@@ -275,17 +275,29 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     ).filter("_last > pivot").select("key", "pivot")
     members = work.keep(keyed.join(buckets, "key").select("key", "pivot", "doc_id"), "members")
 
-    # A repeated doc_id may have several sketches; any of them may link.
-    stars = members.filter("doc_id > pivot").select(
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        # A repeated doc_id may have several sketches; any of them may link.
+        near = pairs.join(_sketched(reps, "a").drop("ka"), "a").join(
+            _sketched(reps, "b").drop("kb"), "b").filter(_alike(p))
+        return _confirmed(work, name, near.select("a", "b").distinct(), docs, p)
+
+    def in_components(found: DataFrame) -> DataFrame:
+        return members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+            "key", "pivot", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+
+    # Each document is compared with one pivot, the smallest of its buckets, and then with the
+    # pivots of other components: members of a large group meet each other's pivots no more.
+    once = members.filter("doc_id > pivot").groupBy("doc_id").agg(F.min("pivot").alias("a"))
+    links = linked(once.select("a", F.col("doc_id").alias("b")), "once")
+    placed = work.keep(in_components(work.keep(components(links), "found_once")), "placed_once")
+    pivots = placed.filter("doc_id = pivot").select("key", F.col("component").alias("own")).distinct()
+    stars = placed.filter("doc_id > pivot").join(pivots, "key").filter("component <> own").select(
         F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    near = stars.join(_sketched(reps, "a").drop("ka"), "a").join(
-        _sketched(reps, "b").drop("kb"), "b").filter(_alike(p))
-    links = _confirmed(work, "stars", near.select("a", "b").distinct(), docs, p)
+    links = work.keep(links.unionByName(linked(stars, "stars")), "links")
+    work.drop("placed_once", "once_pairs", "stars_pairs")
     found = work.keep(components(links), "found")
 
-    placed = members.select("key", "doc_id").join(
-        found.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ).select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = in_components(found).drop("pivot")
     placed = work.keep(placed, "placed")
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(
