@@ -2,27 +2,41 @@
 
 In sequence, a request is accepted when every resource it touches still has the level it
 needs; an accepted request changes the levels for later ones, a rejected one does not.
-Done here in rounds over all open requests at once. For every row two levels are known:
-the worst and the best that open earlier requests can leave. A request whose needs hold at
-the worst levels is accepted, one with a need that fails at the best level is rejected, the
-others wait for the next round. The first open request has no open request before it, so
-every round decides at least one and the result equals the sequential one.
-
-There is no limit on rounds and no other way to decide: a long chain of requests that each hang
-on the one before costs a round per few requests, whatever the number of rows.
+
+Done in rounds over all open requests at once. For every row two levels are known: the worst and
+the best that open earlier requests can leave. A request whose needs hold at the worst levels is
+accepted, one with a need that fails at the best level is rejected, the others wait. The first open
+request has no open request before it, so every round decides at least one and the result equals
+the sequential one.
+
+A few rounds decide most requests; what is left are chains of requests that hang on each other.
+These are told apart: requests belong together where they share a resource on which one of them
+waits for another. Such components do not touch each other's decisions, so each is gone through
+in sequence by itself, many at a time. A component of more than COMPONENT_ROWS rows is left to
+further rounds, which make it smaller or break it up; no task gets more than that of one component.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockloom.plans.components import components
 from stockloom.plans.scan import BLOCK, running, saved, with_blocks
 from stockloom.plans.scratch import Scratch
 
+# Executors get the function below by value and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BEFORE_ALL = -(2**63)  # sequence number of the starting levels
+ROUNDS = 2  # before components are looked for, and at least between two attempts
+COMPONENT_ROWS = 500_000
 
 
 def resolve(lines: DataFrame, levels: DataFrame) -> DataFrame:
@@ -45,20 +59,95 @@ def resolve(lines: DataFrame, levels: DataFrame) -> DataFrame:
     state = with_blocks(state, ["resource", "seq"])
 
     rounds = Scratch(lines.sparkSession, "rounds")
+    verdicts = Scratch(lines.sparkSession, "verdicts")
     decided: list[DataFrame] = []
+    waiting, tried = None, 0  # open requests, rounds since the components were last asked for
     while True:
         judged = rounds.keep(_round(state))
-        decided.append(judged.filter("accepted IS NOT NULL").select("seq", "accepted"))
-        if judged.filter("accepted IS NULL").isEmpty():
+        decided.append(verdicts.keep(
+            judged.filter("accepted IS NOT NULL").groupBy("seq").agg(F.bool_and("accepted").alias("accepted"))))
+        left = judged.filter("accepted IS NULL").count()
+        rounds.remove_older()
+        tried += 1
+        if not left:
             break
         state = judged.filter("accepted IS NULL OR accepted").select(
             "seq", "resource", "need", "delta", "level", BLOCK,
             F.col("accepted").isNotNull().alias("taken"),
         )
-    verdicts = reduce(DataFrame.unionByName, decided)
-    verdicts = saved(verdicts.groupBy("seq").agg(F.bool_and("accepted").alias("accepted")))
+        if tried >= ROUNDS and (waiting is None or 2 * left <= waiting):
+            waiting, tried = left, 0
+            state, some = _by_component(state, verdicts, rounds)
+            decided.append(some)
+            if state.isEmpty():
+                break
+    verdict = saved(reduce(DataFrame.unionByName, decided))
     rounds.remove()
-    return verdicts
+    verdicts.remove()
+    return verdict
+
+
+def _by_component(state: DataFrame, verdicts: Scratch, rounds: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(rows of components that are too large, decisions of all others) for the open requests."""
+    opened = rounds.keep(_moved(state))
+    unsure = F.col("need").isNotNull() & (F.col("level") + F.col("fall") < F.col("need"))
+    # Requests up to the last one that waits on a resource hang together through it.
+    ties = opened.groupBy("resource").agg(
+        F.min("seq").alias("first"), F.max(F.when(unsure, F.col("seq"))).alias("last")
+    ).filter("last > first")
+    tied = opened.select("seq", "resource").join(ties, "resource").filter("seq <= last AND seq > first")
+    found = components(tied.select(F.col("seq").alias("a"), F.col("first").alias("b")))
+    named = opened.join(found.withColumnRenamed("node", "seq"), "seq", "left").withColumn(
+        "component", F.coalesce("component", "seq"))
+    named = rounds.keep(named)
+    large = named.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > COMPONENT_ROWS).select("component")
+    # Few: each has more than COMPONENT_ROWS rows.
+    rest = named.join(F.broadcast(large), "component", "left_anti")
+    some = verdicts.keep(
+        rest.select("component", "seq", F.col("resource").cast("string").alias("resource"), "need", "delta", "level")
+        .repartition("component").sortWithinPartitions("component", "seq")
+        .mapInArrow(_in_sequence, "seq bigint, accepted boolean"))
+    kept = named.join(F.broadcast(large), "component", "left_semi").select(
+        "seq", "resource", "need", "delta", "level", BLOCK, F.lit(False).alias("taken"))
+    kept = rounds.keep(kept)
+    rounds.remove_older()
+    return kept, some
+
+
+def _in_sequence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Decide requests one by one; rows come sorted by component and request."""
+    component = request = None
+    changed: dict[str, int] = {}  # by accepted requests of the component
+    lines: list[tuple[str, int, bool]] = []
+
+    def decide() -> bool:
+        good = all(holds for _, _, holds in lines)
+        if good:
+            for resource, delta, _ in lines:
+                changed[resource] = changed.get(resource, 0) + delta
+        lines.clear()
+        return good
+
+    for batch in batches:
+        seqs, verdicts = [], []
+        for of, seq, resource, need, delta, level in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (of, seq) != (component, request):
+                if request is not None:
+                    seqs.append(request)
+                    verdicts.append(decide())
+                if of != component:
+                    changed.clear()
+                component, request = of, seq
+            lines.append((resource, delta, need is None or level + changed.get(resource, 0) >= need))
+        yield _decisions(seqs, verdicts)
+    if request is not None:
+        yield _decisions([request], [decide()])
+
+
+def _decisions(seqs: list[int], verdicts: list[bool]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(seqs, pa.int64()), pa.array(verdicts, pa.bool_())], names=["seq", "accepted"])
 
 
 def _moved(state: DataFrame) -> DataFrame:

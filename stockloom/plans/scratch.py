@@ -15,7 +15,8 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.base, self.number = spark, scratch_path(spark, name), 0
+        self.spark, self.base = spark, scratch_path(spark, name)
+        self.number = self.oldest = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = f"{self.base}/{self.number}"
@@ -23,6 +24,15 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove_older(self) -> None:
+        """Remove all tables but the newest."""
+        for number in range(self.oldest, self.number - 1):
+            self._delete(f"{self.base}/{number}")
+        self.oldest = max(self.number - 1, 0)
+
     def remove(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        self._delete(self.base)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from stockloom.operators import lookups
 from stockloom.plans import lookup, resolve
+from stockloom.plans.components import components
 from stockloom.plans.allocate import allocate, laid_out
 from stockloom.plans.combine import one_row
 from stockloom.plans.scan import BLOCK, running, with_blocks
@@ -159,8 +160,11 @@ def sequential(lines, levels):
     return decisions
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_decisions_equal_sequential(frame, seed):
+@pytest.mark.parametrize("seed, rounds, rows", [(0, 2, 500_000), (1, 1, 500_000), (2, 1, 12), (3, 100, 1)])
+def test_decisions_equal_sequential(frame, monkeypatch, seed, rounds, rows):
+    """Also where components are asked for at once, are too large, or are never asked for."""
+    monkeypatch.setattr(resolve, "ROUNDS", rounds)
+    monkeypatch.setattr(resolve, "COMPONENT_ROWS", rows)
     rng = random.Random(seed)
     resources = ["hot"] + [f"r{i}" for i in range(5)]
     lines = []
@@ -181,6 +185,44 @@ def test_decisions_equal_sequential(frame, seed):
     assert {r.seq: r.accepted for r in got.collect()} == sequential(lines, levels)
 
 
+def test_a_long_chain_takes_few_rounds(frame, monkeypatch):
+    """Each request waits for the one before; the end of the chain hangs on its beginning."""
+    calls = []
+    plain = resolve._round
+    monkeypatch.setattr(resolve, "_round", lambda state: calls.append(1) or plain(state))
+    lines = [(0, "r0", 5, -5)]
+    for seq in range(1, 200):
+        lines += [(seq, f"r{seq - 1}", 1, -1), (seq, f"r{seq}", None, 1)]
+    levels = [(f"r{i}", 0 if i else 5) for i in range(200)]
+    got = resolve.resolve(frame("seq bigint, resource string, need int, delta int", *lines),
+                          frame("resource string, level int", *levels))
+    assert {r.seq: r.accepted for r in got.collect()} == sequential(lines, levels)
+    assert len(calls) <= 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_equal_walking(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
+    edges += [(None, 3), (7, 7), edges[0]]
+    near = {}
+    for a, b in edges:
+        if a is not None and a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for start in sorted(near):
+        queue = [start] if start not in want else []
+        while queue:
+            node = queue.pop()
+            if node not in want:
+                want[node] = start
+                queue += near[node]
+    got = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {r.node: r.component for r in got} == want and len(got) == len(want)
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
 def test_one_row_keeps_columns_of_empty_frames(frame):
     a = frame("x int", (1,))
     b = frame("y string")
