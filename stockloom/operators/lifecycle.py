@@ -136,7 +136,7 @@ def op_ship(
             taken, "SHIPPING", location=F.col("location_id"), reference=order_reference(),
             notes=note,
         )
-        out = F.sum(-F.col("quantity")).cast("int")
+        out = F.sum(-F.col("quantity")).cast("bigint")
         return ledger, {
             "shipments": accepted.select(
                 "order_id", "tracking_number", "carrier", "shipping_cost", "ship_date",

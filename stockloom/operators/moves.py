@@ -90,7 +90,7 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
         out = moved.select("product_id", source.alias("location_id"), (-qty).alias("q"))
         into = moved.select("product_id", target.alias("location_id"), qty.alias("q"))
         delta = out.unionByName(into).groupBy("product_id", "location_id").agg(
-            F.sum("q").cast("int").alias("quantity_on_hand")
+            F.sum("q").cast("bigint").alias("quantity_on_hand")
         )
         ledger = ledger_rows(
             moved, "STOCK_ADJUSTMENT", "qty", location=target, employee=F.col("employee_id"),

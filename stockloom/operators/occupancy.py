@@ -43,7 +43,7 @@ def apply_occupancy(locations: DataFrame, delta: DataFrame) -> DataFrame:
     return (
         locations.join(delta.select("location_id", "delta"), "location_id", "left")
         .withColumn(
-            "current_capacity", (F.col("current_capacity") + or_zero("delta")).cast("int")
+            "current_capacity", (F.col("current_capacity") + or_zero("delta")).cast("bigint")
         )
         .select(*locations.columns)
     )

@@ -67,7 +67,7 @@ def ledger_events(rows: DataFrame, events: list[Event], quantity: str = "quantit
             F.lit(event.kind).alias("transaction_type"),
             F.col("product_id").cast("bigint").alias("product_id"),
             number(event.location).alias("location_id"),
-            F.col(quantity).cast("int").alias("quantity"),
+            F.col(quantity).cast("bigint").alias("quantity"),
             number(event.employee).alias("employee_id"),
             text(event.reference).alias("reference_id"),
             text(event.notes).alias("notes"),

@@ -61,7 +61,7 @@ def op_put_away(receipts: DataFrame, locations: DataFrame) -> Outcome:
         return ledger, {
             "placements": placements,
             "inventory_delta": placements.groupBy("product_id", "location_id").agg(
-                F.sum("quantity").cast("int").alias("quantity_on_hand")
+                F.sum("quantity").cast("bigint").alias("quantity_on_hand")
             ),
         }
 

@@ -71,7 +71,7 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
         return ledger, {
             "allocations": allocations,
             "inventory_delta": allocations.groupBy("product_id", "location_id").agg(
-                F.sum("quantity").cast("int").alias("quantity_reserved")
+                F.sum("quantity").cast("bigint").alias("quantity_reserved")
             ),
             "orders": started,
             "order_items": passed.withColumn("item_status", F.lit("Reserved")),

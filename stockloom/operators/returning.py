@@ -91,7 +91,7 @@ def op_return(
             ),
             "inventory_delta": accepted.filter(goes_back)
             .groupBy("product_id", "location_id")
-            .agg(F.sum("qty").cast("int").alias("quantity_on_hand")),
+            .agg(F.sum("qty").cast("bigint").alias("quantity_on_hand")),
             "orders": accepted.select("order_id", F.lit("Returned").alias("status")),
         }
 

@@ -53,6 +53,6 @@ def allocate(
             *key,
             *[F.col(f"supply.{c}").alias(c) for c in supply_columns],
             *[F.col(f"demand.{c}").alias(c) for c in demand_columns],
-            F.col("quantity").cast("int").alias("quantity"),
+            F.col("quantity").cast("bigint").alias("quantity"),
         )
     )

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.operators import (
-    constraints, kpis, lifecycle, lookups, measures, moves, occupancy, orders, putaway, reports,
-    reserve, returning, views,
+    constraints, increments, kpis, lifecycle, lookups, measures, moves, occupancy, orders, putaway,
+    reports, reserve, returning, search, views,
 )
 from stockloom.schema import ENUMS, SCHEMAS
 from stockloom.session import scratch_path, tune
@@ -177,6 +177,50 @@ def change_rows(events: DataFrame) -> DataFrame:
     )
 
 
+# Search terms with and without wildcards, one too short for a trigram.
+SEARCH_TERMS = ["RED", "b%lt", "_ld r", "od", "prod-1_9", "Brand#2", "g__mo", "no such thing"]
+
+
+def search_products_indexed(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """Every term through a stored index."""
+    index = search.ProductIndex(spark, scratch_path(spark, "search")).build(w.products, w.categories)
+    out = None
+    for term in SEARCH_TERMS:
+        found = index.search(term, w.inventory).withColumn("term", F.lit(term))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def order_changes(w: Warehouse) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """(lines, orders) before and after a change: of ten orders one is cancelled, one deleted and one
+    ordered again under a new, negative number."""
+    last, again = F.col("order_id") % 10, (-1 - F.col("order_id")).alias("order_id")
+
+    def touched(rows: DataFrame, *digits: int) -> DataFrame:
+        return rows.filter(last.isin(*digits))
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        rows = touched(rows, 1)
+        return rows.select(*[again if c == "order_id" else F.col(c) for c in rows.columns])
+
+    before = touched(w.order_items, 3, 7), touched(w.wh_orders, 3, 7)
+    cancelled = touched(w.wh_orders, 3).withColumn("status", F.lit("Cancelled"))
+    after = (touched(w.order_items, 3).unionByName(repeated(w.order_items)),
+             cancelled.unionByName(repeated(w.wh_orders)))
+    return before, after
+
+
+def _days_refreshed(w: Warehouse) -> DataFrame:
+    before, after = order_changes(w)
+    return increments.refreshed_days(increments.day_cells(w.wh_orders), before[1], after[1])
+
+
+def _categories_refreshed(w: Warehouse) -> DataFrame:
+    cells = increments.category_cells(w.products, w.order_items, w.wh_orders)
+    cells = increments.refreshed_categories(cells, w.products, *order_changes(w))
+    return increments.category_sales(cells, w.categories)
+
+
 def stream_occupancy(spark: SparkSession, sf_dir: str, files: int = 1000) -> DataFrame:
     """The event rows read as a stream, ``files`` at a time, folded into totals per location.
 
@@ -499,6 +543,13 @@ def registry() -> dict[str, Query]:
         "m_shipping_status": lambda w: measures.m_shipping_status(w.shipments),
         "m_staff_cards": lambda w: measures.m_staff_cards(w.employees, w.wh_orders),
         "m_staff_leaderboard": lambda w: measures.m_staff_leaderboard(w.employees, w.wh_orders),
+        # refreshed from changed orders
+        "r04_daily_orders_refreshed": lambda w: increments.daily_orders(_days_refreshed(w)),
+        "r05_monthly_orders_refreshed": lambda w: increments.monthly_orders(_days_refreshed(w)),
+        "r17_revenue_by_month_refreshed": lambda w: increments.revenue_by_month(
+            _days_refreshed(w)
+        ),
+        "v_category_sales_refreshed": _categories_refreshed,
         # lookups
         "stock_summary": lambda w: lookups.stock_summary(w.inventory, _stock_ids(w)),
         "inventory_valuation": lambda w: lookups.inventory_valuation(w.inventory, w.products),
@@ -587,6 +638,7 @@ def registry() -> dict[str, Query]:
     }
     with_spark: dict[str, Callable[[SparkSession, Warehouse], DataFrame]] = {
         "src_table": src_table,
+        "search_products_indexed": search_products_indexed,
         "sink_base_csv": sink_base_csv,
         "sink_kpi_csv": sink_kpi_csv,
         "sink_append_ledger": sink_append_ledger,

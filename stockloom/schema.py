@@ -23,59 +23,59 @@ def _schema(*fields: tuple[str, str]) -> T.StructType:
 # Column names and types of the data model.
 SCHEMAS: dict[str, T.StructType] = {
     "categories": _schema(
-        ("category_id", "INT"), ("category_name", "STRING"), ("description", "STRING")
+        ("category_id", "BIGINT"), ("category_name", "STRING"), ("description", "STRING")
     ),
     "suppliers": _schema(
-        ("supplier_id", "INT"), ("supplier_name", "STRING"), ("contact_name", "STRING"),
+        ("supplier_id", "BIGINT"), ("supplier_name", "STRING"), ("contact_name", "STRING"),
         ("email", "STRING"), ("phone", "STRING"), ("address", "STRING"),
         ("performance_rating", "DECIMAL(3,2)"),
     ),
     "products": _schema(
-        ("product_id", "INT"), ("sku", "STRING"), ("product_name", "STRING"),
-        ("category_id", "INT"), ("supplier_id", "INT"), ("cost_price", "DECIMAL(10,2)"),
+        ("product_id", "BIGINT"), ("sku", "STRING"), ("product_name", "STRING"),
+        ("category_id", "BIGINT"), ("supplier_id", "BIGINT"), ("cost_price", "DECIMAL(10,2)"),
         ("sale_price", "DECIMAL(10,2)"), ("reorder_level", "INT"), ("created_at", "TIMESTAMP_NTZ"),
     ),
     "customers": _schema(
-        ("customer_id", "INT"), ("first_name", "STRING"), ("last_name", "STRING"),
+        ("customer_id", "BIGINT"), ("first_name", "STRING"), ("last_name", "STRING"),
         ("email", "STRING"), ("phone", "STRING"), ("address", "STRING"),
         ("membership_tier", "STRING"), ("created_at", "TIMESTAMP_NTZ"),
     ),
     "employees": _schema(
-        ("employee_id", "INT"), ("first_name", "STRING"), ("last_name", "STRING"),
+        ("employee_id", "BIGINT"), ("first_name", "STRING"), ("last_name", "STRING"),
         ("email", "STRING"), ("role", "STRING"), ("status", "STRING"), ("hire_date", "DATE"),
     ),
     "warehouse_locations": _schema(
-        ("location_id", "INT"), ("zone", "STRING"), ("aisle", "INT"), ("shelf", "INT"),
-        ("bin", "INT"), ("max_capacity", "INT"), ("current_capacity", "INT"),
+        ("location_id", "BIGINT"), ("zone", "STRING"), ("aisle", "INT"), ("shelf", "INT"),
+        ("bin", "INT"), ("max_capacity", "BIGINT"), ("current_capacity", "BIGINT"),
     ),
     "inventory": _schema(
-        ("inventory_id", "INT"), ("product_id", "INT"), ("location_id", "INT"),
-        ("quantity_on_hand", "INT"), ("quantity_reserved", "INT"),
-        ("quantity_allocated", "INT"), ("last_updated", "TIMESTAMP_NTZ"),
+        ("inventory_id", "BIGINT"), ("product_id", "BIGINT"), ("location_id", "BIGINT"),
+        ("quantity_on_hand", "BIGINT"), ("quantity_reserved", "BIGINT"),
+        ("quantity_allocated", "BIGINT"), ("last_updated", "TIMESTAMP_NTZ"),
     ),
     "orders": _schema(
-        ("order_id", "INT"), ("customer_id", "INT"), ("status", "STRING"),
+        ("order_id", "BIGINT"), ("customer_id", "BIGINT"), ("status", "STRING"),
         ("order_date", "TIMESTAMP_NTZ"), ("total_amount", "DECIMAL(10,2)"),
-        ("picking_employee_id", "INT"), ("packing_employee_id", "INT"),
+        ("picking_employee_id", "BIGINT"), ("packing_employee_id", "BIGINT"),
         ("updated_at", "TIMESTAMP_NTZ"),
     ),
     "order_items": _schema(
-        ("order_item_id", "INT"), ("order_id", "INT"), ("product_id", "INT"),
-        ("quantity", "INT"), ("unit_price", "DECIMAL(10,2)"), ("item_status", "STRING"),
+        ("order_item_id", "BIGINT"), ("order_id", "BIGINT"), ("product_id", "BIGINT"),
+        ("quantity", "BIGINT"), ("unit_price", "DECIMAL(10,2)"), ("item_status", "STRING"),
     ),
     "shipments": _schema(
-        ("shipment_id", "INT"), ("order_id", "INT"), ("tracking_number", "STRING"),
+        ("shipment_id", "BIGINT"), ("order_id", "BIGINT"), ("tracking_number", "STRING"),
         ("carrier", "STRING"), ("shipping_cost", "DECIMAL(10,2)"),
         ("ship_date", "TIMESTAMP_NTZ"), ("delivery_date", "TIMESTAMP_NTZ"), ("status", "STRING"),
     ),
     "returns": _schema(
-        ("return_id", "INT"), ("order_id", "INT"), ("product_id", "INT"), ("quantity", "INT"),
+        ("return_id", "BIGINT"), ("order_id", "BIGINT"), ("product_id", "BIGINT"), ("quantity", "BIGINT"),
         ("return_reason", "STRING"), ("return_date", "TIMESTAMP_NTZ"),
         ("refund_amount", "DECIMAL(10,2)"), ("status", "STRING"),
     ),
     "transactions": _schema(
-        ("transaction_id", "BIGINT"), ("transaction_type", "STRING"), ("product_id", "INT"),
-        ("location_id", "INT"), ("quantity", "INT"), ("employee_id", "INT"),
+        ("transaction_id", "BIGINT"), ("transaction_type", "STRING"), ("product_id", "BIGINT"),
+        ("location_id", "BIGINT"), ("quantity", "BIGINT"), ("employee_id", "BIGINT"),
         ("reference_id", "STRING"), ("transaction_date", "TIMESTAMP_NTZ"), ("notes", "STRING"),
     ),
 }

@@ -55,7 +55,7 @@ def upsert_inventory(inventory: DataFrame, delta: DataFrame) -> DataFrame:
         inventory.select(*keys, *amounts)
         .unionByName(changes)
         .groupBy(*keys)
-        .agg(*[F.sum(c).cast("int").alias(c) for c in amounts])
+        .agg(*[F.sum(c).cast("bigint").alias(c) for c in amounts])
     )
 
 
