@@ -50,6 +50,38 @@ def op_complete_pick(
     return Outcome(decisions, effects)
 
 
+def op_pick_reserved(order_ids: DataFrame, allocations: DataFrame, orders: DataFrame) -> Outcome:
+    """Mark the lines that a reservation took stock for as picked, one PICKING row per bin taken from.
+
+    ``allocations``: order_id, product_id, location_id, quantity, as ``op_reserve`` returns them.
+    Work and ledger grow with what was reserved, not with lines times bins. An order without
+    any allocation is refused.
+    """
+    rows = allocations.join(order_ids.select("order_id").distinct(), "order_id", "left_semi")
+    started = rows.select("order_id").distinct()
+    decisions = (
+        order_ids.join(started.withColumn("has_rows", F.lit(True)), "order_id", "left")
+        .withColumn("accepted", F.coalesce("has_rows", F.lit(False)))
+        .withColumn("reason", F.when(~F.col("accepted"), F.lit("empty pick list")))
+        .drop("has_rows")
+    )
+
+    def effects():
+        pickers = orders.select("order_id", "picking_employee_id")
+        ledger = ledger_rows(
+            rows.join(pickers, "order_id", "left"), "PICKING", location=F.col("location_id"),
+            employee=F.col("picking_employee_id"), reference=order_reference(),
+            notes=NOTES["pick"],
+        )
+        lines = rows.select("order_id", "product_id").distinct()
+        return ledger, {
+            "orders": started.withColumn("status", F.lit("Picking")),
+            "order_items": lines.withColumn("item_status", F.lit("Picked")),
+        }
+
+    return Outcome(decisions, effects)
+
+
 def _decide(requests: DataFrame, state: DataFrame, required: str) -> DataFrame:
     """Accept the first request of every order whose status is the required one."""
     first = first_per_order(requests).withColumn("is_first", F.lit(True))

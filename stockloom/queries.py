@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.operators import (
-    constraints, increments, kpis, lifecycle, lookups, measures, moves, occupancy, orders, putaway,
+    chain, constraints, increments, kpis, lifecycle, lookups, measures, moves, occupancy, orders, putaway,
     reports, reserve, returning, search, views,
 )
 from stockloom.schema import ENUMS, SCHEMAS
@@ -418,6 +418,18 @@ def _move(w: Warehouse):
     return moves.op_move_stock(move_requests(w), w.inventory, w.warehouse_locations)
 
 
+def _chain(w: Warehouse) -> chain.Fulfilled:
+    """Pending orders reserved and picked; all that can be are packed, shipped and delivered."""
+    key = F.col("order_id")
+    asked = w.wh_orders.filter("status = 'Pending'").select(
+        "order_id", key.alias("seq"), (key % 25).alias("employee_id"))
+    sent = ship_requests(w).select(
+        "*", (key % 25).alias("employee_id"),
+        F.lit("2001-08-05 00:00:00").cast("timestamp_ntz").alias("delivery_date"))
+    w.store("inventory", "order_items")
+    return chain.fulfil(chain.Tables(w.wh_orders, w.order_items, w.inventory, w.shipments), asked, sent)
+
+
 _DECISION = ["seq", "accepted"]
 
 
@@ -630,6 +642,13 @@ def registry() -> dict[str, Query]:
         "op_return_orders": lambda w: sinks.apply_updates(
             w.wh_orders, _return(w).changes["orders"], ["order_id"]
         ).select("order_id", "status"),
+        # the whole way of an order: the tables and the ledger at its end
+        "op_chain_orders": lambda w: _chain(w).tables.orders.select("order_id", "status"),
+        "op_chain_items": lambda w: _chain(w).tables.order_items.select(
+            "order_id", "product_id", "quantity", "item_status"
+        ),
+        "op_chain_stock": lambda w: _chain(w).tables.inventory,
+        "op_chain_ledger": lambda w: chain.ledger_totals(_chain(w).ledger),
         "pick_list_reserved": lambda w: lookups.pick_list_reserved(
             _ledger_reserve(w).changes["allocations"], w.products, w.warehouse_locations
         ),
