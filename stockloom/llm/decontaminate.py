@@ -385,14 +385,21 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, p: Params | None = None) -> D
     """The rows of ``docs`` in which no benchmark item was found.
 
     Rows are told apart by doc_id and text, so a clean row stays also when it shares its id,
-    or the lack of one, with a contaminated row.
+    or the lack of one, with a contaminated row. Null, empty and very short texts hold no item and
+    stay; a text of any length is read whole; rows that repeat an id and a text stay or go
+    together; other columns may have any name. An empty table gives no rows, an empty benchmark
+    all of them.
     """
     work = Work(docs.sparkSession, "cleaned")
     found = contaminated(docs, benchmark, p).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key")).distinct()
+        F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct()
     found = work.keep(found, "found")
     if found.count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_found_id")) & (
-        F.xxhash64(docs["text"]) == F.col("_found_key"))
-    return docs.join(found, same, "left_anti")
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # no name can clash with the keys
+    rows = docs.select(
+        docs["doc_id"].cast("bigint").alias("own_id"), F.xxhash64(docs["text"]).alias("own_key"),
+        *[docs[f"`{c}`"].alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    same = F.col("own_id").eqNullSafe(F.col("found_id")) & (F.col("own_key") == F.col("found_key"))
+    return rows.join(found, same, "left_anti").select(
+        *[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

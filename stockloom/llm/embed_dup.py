@@ -16,7 +16,7 @@ it, and links leave a task as counts and a spanning forest, never as pairs.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations
 from math import ceil, log2
 
@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockloom.llm.common import Work
 from stockloom.llm.components import components
@@ -33,6 +34,7 @@ from stockloom.plans.lookup import shuffle_partitions
 @dataclass(frozen=True)
 class Params:
     cosine: float = 0.95
+    wide: bool = False  # components need double precision; set from the column's type
     block: int = 8  # coordinates of a block
     cell_rows: int = 4096  # aim for the vectors of a cell, which sets the number of cuts
     chunk_rows: int = 8192  # most vectors of a cell that are read as one array
@@ -57,13 +59,19 @@ def block_starts(dim: int, block: int) -> np.ndarray:
 SLACK = 1e-6
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """A binary column of float32 vectors of one length as rows."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, dim)
+def _kind(p: Params) -> type:
+    return np.float64 if p.wide else np.float32
+
+
+def _matrix(column: pa.Array, dim: int, p: Params) -> np.ndarray:
+    """A binary column of vectors of one length as rows."""
+    return np.frombuffer(b"".join(column.to_pylist()), _kind(p)).reshape(-1, dim)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
+    # By a power of two, which is exact: squares of very large or small numbers stay in range.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -78,7 +86,7 @@ def _placer(p: Params, cuts: int, ask: bool) -> Callable:
         for batch in batches:
             lists = batch.column(2)
             sizes = np.diff(np.asarray(lists.offsets))
-            flat = np.asarray(lists.flatten()).astype(np.float32)
+            flat = np.asarray(lists.flatten()).astype(_kind(p))
             at = np.concatenate([[0], np.cumsum(sizes)])
             for dim in np.unique(sizes):
                 dim = int(dim)
@@ -229,7 +237,7 @@ def _finder(p: Params) -> Callable:
                     key, rows, store = tuple(keys[lo, :4]), [], None
                 for s in range(lo, hi, p.ask_rows):
                     e = min(s + p.ask_rows, hi)
-                    vecs = _matrix(batch.column(batch.schema.get_field_index("vec")).slice(s, e - s), dim)
+                    vecs = _matrix(batch.column(batch.schema.get_field_index("vec")).slice(s, e - s), dim, p)
                     if not asks:
                         rows.append((cols["id"][s:e], cols["weight"][s:e], vecs))
                         continue
@@ -259,11 +267,12 @@ def near_duplicate_vectors(vectors: DataFrame, p: Params | None = None) -> DataF
     nothing, have a null component and are kept. Rows that repeat a vec_id with equal numbers
     are linked rows of one component. An empty table gives no rows.
     """
-    p = p or Params()
+    number = vectors.schema["embedding"].dataType.elementType
+    p = replace(p or Params(), wide=not isinstance(number, (T.FloatType, T.ByteType, T.ShortType)))
     work = Work(vectors.sparkSession, "embed_dup")
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.col("embedding").cast("array<float>").alias("embedding"))
+        F.col("embedding").cast("array<double>" if p.wide else "array<float>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = (F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
               & F.coalesce(finite, F.lit(False)) & F.exists("embedding", lambda x: x != 0))

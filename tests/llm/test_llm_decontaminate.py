@@ -51,6 +51,14 @@ def test_edges_and_clashing_columns(spark):
     assert found(spark, docs, bench=[], schema=schema).collect() == []
 
 
+def test_cleaned_keeps_columns_of_any_name(spark):
+    names = "doc_id bigint, text string, _found_id int, found_id int, found_key int, own_id int, own_key int, _c0 int"
+    docs = spark.createDataFrame([(1, ITEM, 1, 2, 3, 4, 5, 6), (2, OTHER, 1, 2, 3, 4, 5, 6), (3, None, *[None] * 6)], names)
+    clean = decontaminate.cleaned(docs, spark.createDataFrame(BENCH, "item_id bigint, text string"))
+    assert clean.columns == docs.columns
+    assert sorted(tuple(r) for r in clean.collect()) == [(2, OTHER, 1, 2, 3, 4, 5, 6), (3, None, *[None] * 6)]
+
+
 def test_without_the_hashes_in_the_tasks(spark):
     docs = spark.createDataFrame([(1, f"{OTHER} {ITEM}"), (2, OTHER)], "doc_id bigint, text string")
     bench = spark.createDataFrame(BENCH, "item_id bigint, text string")

@@ -76,3 +76,12 @@ def test_local_forest_joins_all():
     got = dict(zip(node.tolist(), root.tolist(), strict=True))
     want = linked([p for p in zip(a.tolist(), b.tolist(), strict=True) if p[0] != p[1]], {*a.tolist(), *b.tolist()})
     assert {n: got.get(n, n) for n in want} == want
+
+
+def test_doubles_beyond_single_precision(spark):
+    rows = [(1, [1e39, 1e39]), (2, [1e39, 1e39]), (3, [1e-50, 0.0]), (4, [3e-50, 0.0]), (5, [1e300, 1e-300]),
+            (6, [1e300, 0.0]), (7, [0.0, 1e-320]), (8, [0.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = embed_dup.near_duplicate_vectors(df).select("vec_id", "component_id", "n_links").collect()
+    assert sorted(tuple(r) for r in got) == [
+        (1, 1, 1), (2, 1, 1), (3, 3, 3), (4, 3, 3), (5, 3, 3), (6, 3, 3), (7, 7, 1), (8, 7, 1)]
