@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.operators import (
-    chain, constraints, increments, kpis, lifecycle, lookups, measures, moves, occupancy, orders, putaway,
-    reports, reserve, returning, search, views,
+    chain, constraints, divergence, increments, kpis, lifecycle, lookups, measures, moves, occupancy, orders, putaway,
+    reports, reserve, returning, search, sessions, views,
 )
 from stockloom.schema import ENUMS, SCHEMAS
 from stockloom.session import scratch_path, tune
-from stockloom.sources import sinks, tables
+from stockloom.sources import quarantine, sinks, tables
 from stockloom.sources.stock_store import StockStore
 from stockloom.sources.warehouse import DRIVER_SCHEMAS, Warehouse
 from stockloom.streaming import exact_occupancy
@@ -221,6 +221,54 @@ def _categories_refreshed(w: Warehouse) -> DataFrame:
     return increments.category_sales(cells, w.categories)
 
 
+def bin_entries(w: Warehouse) -> DataFrame:
+    """A ledger with times: odd lines come into the bin of their supplier, even ones go out."""
+    signed = F.when(F.col("l_linenumber") % 2 == 1, F.col("l_quantity")).otherwise(-F.col("l_quantity"))
+    return w.driver("lineitem").select(
+        F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("location_id"),
+        F.col("l_shipdate").alias("at"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("entry_id"),
+        signed.cast("bigint").alias("amount"))
+
+
+def bin_counts(w: Warehouse) -> DataFrame:
+    """Every bin counted three times; of seven bins one is off by a unit from the second count on."""
+    times = [f"{year}-07-01 00:00:00" for year in (1996, 1998, 2000)]
+    upto = [F.sum(F.when(F.col("at") <= F.lit(t).cast("timestamp_ntz"), F.col("amount")).otherwise(0)) for t in times]
+    off = F.when((F.col("product_id") + F.col("location_id")) % 7 == 0, 1).otherwise(0)
+    per_bin = bin_entries(w).groupBy("product_id", "location_id").agg(
+        *[x.alias(f"q{i}") for i, x in enumerate(upto)])
+    rows = F.array(*[F.struct(F.lit(t).cast("timestamp_ntz").alias("at"),
+                              (F.col(f"q{i}") + (off if i else F.lit(0))).alias("quantity_on_hand"))
+                     for i, t in enumerate(times)])
+    return per_bin.select("product_id", "location_id", F.explode(rows).alias("c")).select(
+        "product_id", "location_id", "c.*")
+
+
+def src_quarantine(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """Orders written as text with rows that do not fit, read back from CSV and Parquet."""
+    key, last = F.col("order_id"), F.col("order_id") % 50
+    rows = w.wh_orders.select(
+        F.when(last == 0, F.concat(F.lit("no. "), key)).otherwise(key.cast("string")).alias("order_id"),
+        F.when(last == 1, "Pending,again").otherwise(F.col("status")).alias("status"),
+        F.when(last.isin(0, 2), "soon").otherwise(F.col("order_date").cast("string")).alias("order_date"),
+        F.when(last == 3, F.lit(None)).otherwise(F.col("total_amount").cast("string")).alias("total_amount"),
+        F.lit("x").alias("note"))
+    out = None
+    for fmt in ("csv", "parquet"):
+        path = scratch_path(spark, f"orders-{fmt}")
+        writer = rows.write.option("header", "true").option("quote", "") if fmt == "csv" else rows.write
+        writer.format(fmt).save(path)
+        read = quarantine.load_checked(spark, path, "orders", fmt)
+        good = read.good.agg(F.lit("orders").alias("table_name"), F.lit("good").alias("reason"),
+                             F.count(F.lit(1)).alias("n_rows"))
+        drift = read.drift.filter("problem <> 'type'").select(
+            F.lit("orders").alias("table_name"), F.concat_ws(" ", "problem", "column").alias("reason"),
+            F.lit(0).cast("bigint").alias("n_rows"))
+        found = read.report().unionByName(good).unionByName(drift).withColumn("fmt", F.lit(fmt))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def stream_occupancy(spark: SparkSession, sf_dir: str, files: int = 1000) -> DataFrame:
     """The event rows read as a stream, ``files`` at a time, folded into totals per location.
 
@@ -554,6 +602,8 @@ def registry() -> dict[str, Query]:
         "m_shipping_carriers": lambda w: measures.m_shipping_carriers(w.shipments),
         "m_shipping_status": lambda w: measures.m_shipping_status(w.shipments),
         "m_staff_cards": lambda w: measures.m_staff_cards(w.employees, w.wh_orders),
+        "m_staff_sessions": lambda w: sessions.work_sessions(w.wh_orders, "picking_employee_id"),
+        "k_ledger_divergence": lambda w: divergence.first_divergence(bin_entries(w), bin_counts(w)),
         "m_staff_leaderboard": lambda w: measures.m_staff_leaderboard(w.employees, w.wh_orders),
         # refreshed from changed orders
         "r04_daily_orders_refreshed": lambda w: increments.daily_orders(_days_refreshed(w)),
@@ -658,6 +708,7 @@ def registry() -> dict[str, Query]:
     with_spark: dict[str, Callable[[SparkSession, Warehouse], DataFrame]] = {
         "src_table": src_table,
         "search_products_indexed": search_products_indexed,
+        "src_quarantine": src_quarantine,
         "sink_base_csv": sink_base_csv,
         "sink_kpi_csv": sink_kpi_csv,
         "sink_append_ledger": sink_append_ledger,
