@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from stockloom.operators import (
     chain, constraints, divergence, increments, kpis, lifecycle, lookups, measures, moves, occupancy, orders, putaway,
-    reports, reserve, returning, search, sessions, views,
+    reports, reserve, returning, search, sessions, sketches, views,
 )
 from stockloom.schema import ENUMS, SCHEMAS
 from stockloom.session import scratch_path, tune
@@ -244,6 +244,37 @@ def bin_counts(w: Warehouse) -> DataFrame:
         "product_id", "location_id", "c.*")
 
 
+def sink_ledger_months(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """The timed ledger written by month, 1997 written again with all quantities doubled; what the
+    first quarters of the years hold, read through a table of months."""
+    path = scratch_path(spark, "months")
+    rows = bin_entries(w).withColumn(
+        "transaction_type", F.when(F.col("amount") > 0, "RECEIVING").otherwise("SHIPPING"))
+    sinks.replace_ledger_months(rows, path)
+    again = rows.filter(F.year("at") == 1997).withColumn("amount", F.col("amount") * 2)
+    for _ in range(2):
+        sinks.replace_ledger_months(again, path)
+    stored = spark.read.schema(
+        "product_id bigint, location_id bigint, at timestamp_ntz, entry_id bigint, amount bigint, "
+        "transaction_type string, month string").parquet(path)
+    months = spark.range(1990 * 12, 2003 * 12).select(
+        F.format_string("%04d-%02d", F.floor(F.col("id") / 12), F.col("id") % 12 + 1).alias("month"),
+        (F.col("id") % 12).alias("place")).filter("place < 3")
+    return sinks.ledger_of_months(stored, months).groupBy("transaction_type", "month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("units"))
+
+
+def v_category_orders_sketched(w: Warehouse) -> DataFrame:
+    """Distinct orders per category, and whether the merged sketches of its days are near them."""
+    found = sketches.distinct_orders(
+        sketches.order_sketches(w.products, w.order_items, w.wh_orders), "category_id"
+    ).withColumnRenamed("orders", "estimate")
+    exact = views.v_category_sales(w.categories, w.products, w.order_items, w.wh_orders)
+    off = F.abs(F.col("estimate") - F.col("total_orders")) / F.col("total_orders")
+    return exact.join(found, "category_id").select(
+        "category_id", "total_orders", (off <= sketches.BOUND).alias("within_bound"))
+
+
 def src_quarantine(spark: SparkSession, w: Warehouse) -> DataFrame:
     """Orders written as text with rows that do not fit, read back from CSV and Parquet."""
     key, last = F.col("order_id"), F.col("order_id") % 50
@@ -612,6 +643,7 @@ def registry() -> dict[str, Query]:
             _days_refreshed(w)
         ),
         "v_category_sales_refreshed": _categories_refreshed,
+        "v_category_orders_sketched": v_category_orders_sketched,
         # lookups
         "stock_summary": lambda w: lookups.stock_summary(w.inventory, _stock_ids(w)),
         "inventory_valuation": lambda w: lookups.inventory_valuation(w.inventory, w.products),
@@ -714,6 +746,7 @@ def registry() -> dict[str, Query]:
         "sink_append_ledger": sink_append_ledger,
         "sink_upsert_inventory": sink_upsert_inventory,
         "sink_stock_versions": sink_stock_versions,
+        "sink_ledger_months": sink_ledger_months,
         "op_occupancy_stream": lambda spark, w: stream_occupancy(spark, w.sf_dir),
     }
     return {

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockloom.plans.lookup import shuffle_partitions
+
 # Names of the exported extracts.
 BASE_EXTRACTS = [
     "products", "orders", "customers", "warehouse_locations", "employees", "suppliers",
@@ -39,6 +41,32 @@ def append_ledger(rows: DataFrame, path: str, batch_id: str) -> None:
     )
 
 
+def replace_ledger_months(rows: DataFrame, path: str) -> None:
+    """Write ledger rows (transaction_type, at, ...) in the place of their types and months.
+
+    A (type, month) that occurs in ``rows`` is replaced as a whole, all others stay, so a corrected
+    or repeated batch of whole months is exact. Rows are dealt by type, month and a spread of
+    their columns: a month with a third of the rows is written by several tasks.
+    """
+    spark = rows.sparkSession
+    month = F.date_format("at", "yyyy-MM")
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(max(shuffle_partitions(spark) // 8, 1)))
+    (
+        rows.withColumn("month", month).repartition("transaction_type", "month", spread)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("transaction_type", "month").parquet(path)
+    )
+
+
+def ledger_of_months(ledger: DataFrame, months: DataFrame) -> DataFrame:
+    """Ledger rows of the months in a table (month, ...), which may itself be filtered.
+
+    The join is on the partition column, so the months that are left of the table when the query
+    runs decide which folders of the ledger are opened.
+    """
+    return ledger.join(F.broadcast(months.select("month").distinct()), "month", "left_semi")
+
+
 def upsert_inventory(inventory: DataFrame, delta: DataFrame) -> DataFrame:
     """Stock after adding changes, new (product, location) pairs included.
 
