@@ -87,12 +87,13 @@ def op_receive(
         known, products.select("product_id", F.lit(True).alias("has_product")),
         "product_id", "left"
     )
-    checked = known.withColumn(
+    # Read by the put-away, the decisions and the ledger: looked up once.
+    checked = saved(known.withColumn(
         "refusal",
         F.when(F.col("has_supplier").isNull(), F.lit("unknown supplier"))
         .when(F.col("has_product").isNull(), F.lit("unknown product"))
         .when(~F.col("qa_passed"), F.lit("failed inspection")),
-    ).drop("has_supplier", "has_product")
+    ).drop("has_supplier", "has_product"))
     passed = checked.filter("refusal IS NULL")
     stored = op_put_away(
         passed.select(

@@ -608,7 +608,9 @@ def registry() -> dict[str, Query]:
         ),
         "k_location_usage": lambda w: kpis.k_location_usage(w.warehouse_locations),
         "k_monthly_sales": lambda w: kpis.k_monthly_sales(w.wh_orders),
-        "k_summary": lambda w: kpis.k_summary(base_tables(w, KPI_TABLES)),
+        "k_summary": lambda w: kpis.k_summary(
+            base_tables(w.store("inventory", "order_items", "transactions"), KPI_TABLES)
+        ),
         # dashboard
         "m_fulfillment_rate": lambda w: measures.m_fulfillment_rate(w.wh_orders),
         "m_return_rate_ledger": lambda w: measures.m_return_rate_ledger(w.transactions),
