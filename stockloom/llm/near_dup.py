@@ -286,15 +286,19 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
             "key", "pivot", "doc_id", F.coalesce("component", "doc_id").alias("component"))
 
     # Each document is compared with one pivot, the smallest of its buckets, and then with the
-    # pivots of other components: members of a large group meet each other's pivots no more.
+    # smallest and the largest of those of its buckets that lie in other components: members of a
+    # large group meet each other's pivots no more, and few of its buckets stay mixed.
     once = members.filter("doc_id > pivot").groupBy("doc_id").agg(F.min("pivot").alias("a"))
     links = linked(once.select("a", F.col("doc_id").alias("b")), "once")
-    placed = work.keep(in_components(work.keep(components(links), "found_once")), "placed_once")
-    pivots = placed.filter("doc_id = pivot").select("key", F.col("component").alias("own")).distinct()
-    stars = placed.filter("doc_id > pivot").join(pivots, "key").filter("component <> own").select(
-        F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = work.keep(links.unionByName(linked(stars, "stars")), "links")
-    work.drop("placed_once", "once_pairs", "stars_pairs")
+    for name, pick in (("stars", F.min), ("ends", F.max)):
+        placed = work.keep(in_components(work.keep(components(links), f"found_{name}")), f"placed_{name}")
+        pivots = placed.groupBy("key").agg(pick(F.struct("doc_id", "component")).alias("p")).select(
+            "key", F.col("p.doc_id").alias("a"), F.col("p.component").alias("own"))
+        stars = placed.join(pivots, "key").filter("component <> own AND doc_id <> a").select(
+            "a", F.col("doc_id").alias("b")).distinct()
+        links = work.keep(links.unionByName(linked(stars, name)), f"links_{name}")
+        work.drop(f"placed_{name}", f"{name}_pairs")
+    work.drop("once_pairs")
     found = work.keep(components(links), "found")
 
     placed = in_components(found).drop("pivot")
