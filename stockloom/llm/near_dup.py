@@ -62,6 +62,10 @@ def most_bits(shingles: Column, used: Column, p: Params) -> Column:
     union spreads over the bins; a bin's least hash is shared with the chance of the
     similarity, and what is not shared differs. The bound is ``sigmas`` standard errors wider:
     of the samples, which vanish when the bins hold the whole sets, and of folding them.
+
+    A second bound holds for certain, and is the lesser for small sets: a bit differs by a sample
+    that only one set has, which is a shingle of one set alone or one that its bin hides in the
+    other, and shingles that meet in one bit only make less of them.
     """
     j, n = p.percent / 100, p.sketch_bits
     union = shingles / (1 + j)
@@ -71,7 +75,10 @@ def most_bits(shingles: Column, used: Column, p: Params) -> Column:
     differ = F.greatest(used - 2 * j * filled, F.lit(0.0))
     fade = F.exp(-4 * differ / n)
     folding = F.greatest(n / 4 * (1 - fade) - differ * fade, F.lit(0.0))
-    return n / 2 * (1 - F.exp(-2 * differ / n)) + p.sigmas * F.sqrt(4 * sampling + folding) + 4
+    likely = n / 2 * (1 - F.exp(-2 * differ / n)) + p.sigmas * F.sqrt(4 * sampling + folding) + 4
+    # Whole numbers, so that a pair of exactly the threshold is not lost by rounding.
+    certain = F.floor(shingles * (100 - p.percent) / (100 + p.percent) + 1e-6) + shingles - used
+    return F.least(likely, certain.cast("double"))
 
 
 def shingle_sets(words: WordHasher, column: pa.Array, width: int):
@@ -309,10 +316,17 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
         F.max(F.struct("n", "component")).alias("top"),
     ).filter("parts > 1").select("key", F.col("top.component").alias("main"))
     still = work.keep(placed.join(mixed, "key"), "still")
-    minor = still.filter("component <> main").select(
-        "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    minor = minor.join(_sketched(reps, "a"), "a")
-    other = still.withColumnRenamed("doc_id", "b").join(_sketched(reps, "b"), "b")
+    # A document meets its sketch once, whatever number of buckets it brings along.
+    homes = work.keep(still.groupBy("doc_id", "component").agg(
+        F.collect_list(F.struct("key", "main")).alias("homes")), "homes")
+
+    def placed_with_sketch(side: str, component: str) -> DataFrame:
+        rows = homes.select(F.col("doc_id").alias(side), F.col("component").alias(component), "homes").join(
+            _sketched(reps, side), side)
+        return rows.withColumn("home", F.explode("homes")).select("*", "home.*").drop("home", "homes")
+
+    minor = placed_with_sketch("a", "ca").filter("ca <> main").drop("main")
+    other = placed_with_sketch("b", "component")
     # A pair of two outside members is taken once, by the smaller component, and a pair that
     # meets in several buckets only in the first of them.
     first = F.array_min(F.array_intersect("ka", "kb")) == F.col("key")

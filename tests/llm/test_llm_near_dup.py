@@ -166,3 +166,22 @@ def test_texts_that_share_an_id_are_documents_of_their_own(spark):
         if part == 1:
             first = got
     assert got == first
+
+
+def test_pairs_short_of_the_threshold_are_sifted_and_links_are_not(spark):
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(104)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 60):  # similarities on both sides of the threshold
+        docs.append((i, varied(rnd, base, rnd.randrange(1, 6))))
+    p = near_dup.Params()
+    signed = near_dup.signatures(spark.createDataFrame(docs, "doc_id bigint, text string"), p)
+    signed = spark.createDataFrame(signed.collect(), signed.schema)
+    both = near_dup._sketched(signed, "a").join(near_dup._sketched(signed, "b")).filter("a < b")
+    kept = {(r.a, r.b) for r in both.filter(near_dup._alike(p)).select("a", "b").collect()}
+    sets = [shingles(t) for _, t in docs]
+    near = {(a, b) for b in range(60) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    below = {(a, b) for b in range(60) for a in range(b)
+             if 70 * len(sets[a] | sets[b]) <= 100 * len(sets[a] & sets[b]) < 74 * len(sets[a] | sets[b])}
+    assert near and near <= kept
+    assert len(below) > 20 and len(below & kept) * 4 < len(below)
