@@ -59,11 +59,6 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
         allocations = saved(
             allocate(supply, wanted, ["product_id"], ["location_id"], ["seq", "order_id"])
         )
-        passed = decisions.filter("accepted").select("order_id")
-        started = decisions.filter("accepted").select(
-            "order_id", F.lit("Picking").alias("status"),
-            *[F.col(c).alias("picking_employee_id") for c in picker],
-        )
         ledger = ledger_rows(
             allocations, "RESERVATION", location=F.col("location_id"),
             reference=order_reference(), notes=NOTES["reserve"],
@@ -73,8 +68,12 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
             "inventory_delta": allocations.groupBy("product_id", "location_id").agg(
                 F.sum("quantity").cast("bigint").alias("quantity_reserved")
             ),
-            "orders": started,
-            "order_items": passed.withColumn("item_status", F.lit("Reserved")),
         }
 
-    return Outcome(decisions, effects)
+    passed = decisions.filter("accepted").select("order_id")
+    started = decisions.filter("accepted").select(
+        "order_id", F.lit("Picking").alias("status"),
+        *[F.col(c).alias("picking_employee_id") for c in picker],
+    )
+    return Outcome(decisions, effects, {
+        "orders": started, "order_items": passed.withColumn("item_status", F.lit("Reserved"))})

@@ -348,3 +348,18 @@ def test_default_price_and_total(frame):
     state = frame("order_id int, total_amount decimal(10,2)", (1, None), (2, None), (3, None))
     totals = {r.order_id: r.total_amount for r in orders.op_order_total(state, priced).collect()}
     assert totals == {1: Decimal("29.97"), 2: Decimal("12.60"), 3: Decimal("0.00")}
+
+
+def test_status_of_reserved_orders_needs_no_allocation(frame, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("stock was allocated")
+
+    monkeypatch.setattr(reserve, "laid_out", refuse)
+    done = reserve.op_reserve(
+        frame("order_id int, seq int, employee_id int", (1, 1, 7), (2, 2, 8)),
+        frame("order_id int, product_id int, quantity int", (1, 1, 5), (2, 1, 6)),
+        frame("product_id int, location_id int, quantity_on_hand int, quantity_reserved int, quantity_allocated int",
+              (1, 1, 10, 0, 0)))
+    assert "orders" in done.changes
+    assert [tuple(r) for r in done.changes["orders"].collect()] == [(1, "Picking", 7)]
+    assert [r.order_id for r in done.changes["order_items"].collect()] == [1]
