@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.functions.scalars import available
 from stockloom.operators.outcome import Outcome, ledger_rows
 from stockloom.plans.lookup import lookup_join
-from stockloom.plans.resolve import resolve
+from stockloom.plans.resolve import refused
 from stockloom.plans.scan import saved
 from stockloom.schema import MOVE_REFERENCE, NOTES
 
@@ -61,29 +61,27 @@ def op_move_stock(requests: DataFrame, inventory: DataFrame, locations: DataFram
         effect(space(target), qty, -qty),
         effect(space(source), nothing, qty),
     )
-    lines = (
-        valid.filter("known AND qty > 0")
-        .select("seq", F.explode(effects).alias("e"))
-        .select("seq", "e.*")
-        .groupBy("seq", "resource")
-        .agg(F.max("need").alias("need"), F.sum("delta").alias("delta"))
-    )
-    verdicts = resolve(
+    fits = F.coalesce(F.col("known") & (qty > 0) & F.col("seq").isNotNull(), F.lit(False))
+    lines = valid.filter("known AND qty > 0").select("seq", F.explode(effects).alias("e")).select("seq", "e.*")
+    no = refused(
         lines,
         stock_levels.select("resource", "level").unionByName(
             space_levels.select("resource", "level")
         ),
+        merge=True,
     )
+    # A sequence number is decided as a whole, should several requests have the same.
+    fitting = F.max(fits).over(Window.partitionBy("seq"))
     decisions = saved(
-        valid.join(verdicts, "seq", "left")
-        .withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+        valid.join(no.withColumn("_refused", F.lit(True)), "seq", "left")
+        .withColumn("accepted", F.col("_refused").isNull() & F.col("seq").isNotNull() & fitting)
         .withColumn(
             "reason",
             F.when(F.col("known").isNull(), F.lit("unknown destination"))
             .when(qty <= 0, F.lit("quantity not positive"))
             .when(~F.col("accepted"), F.lit("no stock or no space")),
         )
-        .drop("known")
+        .drop("known", "_refused")
     )
     def effects():
         moved = decisions.filter("accepted")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockloom.functions.scalars import available, order_reference
 from stockloom.operators.outcome import Outcome, ledger_rows
 from stockloom.plans.allocate import allocate, laid_out
-from stockloom.plans.resolve import resolve
+from stockloom.plans.resolve import refused
 from stockloom.plans.scan import saved
 from stockloom.schema import NOTES
 
@@ -31,7 +31,7 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
         .agg(F.sum("quantity").alias("quantity"))
     )
     free = inventory.groupBy("product_id").agg(F.sum(available()).alias("level"))
-    verdicts = resolve(
+    no = refused(
         demand.select(
             "seq", F.col("product_id").alias("resource"), F.col("quantity").alias("need"),
             (-F.col("quantity")).alias("delta"),
@@ -39,7 +39,7 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
         free.withColumnRenamed("product_id", "resource"),
     )
     decisions = (
-        asked.join(verdicts, "seq", "left")
+        asked.join(no.withColumn("accepted", F.lit(False)), "seq", "left")
         .withColumn("accepted", F.coalesce("accepted", F.lit(True)))
         .withColumn("reason", F.when(~F.col("accepted"), F.lit("insufficient stock")))
     )
@@ -52,10 +52,8 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
             ),
             ["product_id"], ["rank", "location_id"], "free",
         )
-        accepted = verdicts.filter("accepted").select("seq")
-        wanted = laid_out(
-            demand.join(accepted, "seq", "left_semi"), ["product_id"], ["seq"], "quantity"
-        )
+        accepted = demand.filter("seq IS NOT NULL").join(no, "seq", "left_anti")
+        wanted = laid_out(accepted, ["product_id"], ["seq"], "quantity")
         allocations = saved(
             allocate(supply, wanted, ["product_id"], ["location_id"], ["seq", "order_id"])
         )

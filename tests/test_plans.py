@@ -227,3 +227,59 @@ def test_one_row_keeps_columns_of_empty_frames(frame):
     a = frame("x int", (1,))
     b = frame("y string")
     assert [tuple(r) for r in one_row(a, b).collect()] == [(1, None)]
+
+
+@pytest.mark.parametrize("hot_rows", [500_000, 20])
+def test_resources_that_never_run_short_are_not_ordered(frame, monkeypatch, hot_rows):
+    """Blocks are made for hot resources only, and rounds for none; repeated rows of a request count once."""
+    monkeypatch.setattr(resolve, "HOT_ROWS", hot_rows)
+    blocks = []
+    monkeypatch.setattr(resolve, "with_blocks", lambda *a: blocks.append(1) or with_blocks(*a))
+    lines = [(seq, r, 2, -2) for seq in range(30) for r in ("hot", f"r{seq % 7}")]
+    lines += [(40, "r1", 5, -5), (40, "r1", None, 5), (41, "r9", 1, -1), (None, "r2", 90, -90)]
+    levels = [("hot", 60), *[(f"r{i}", 15) for i in range(7)]]
+    got = resolve.refused(frame("seq bigint, resource string, need int, delta int", *lines),
+                          frame("resource string, level int", *levels), merge=True)
+    assert [r.seq for r in got.collect()] == [41]
+    assert len(blocks) == (hot_rows == 20)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_decisions_with_hot_resources_equal_sequential(frame, monkeypatch, seed):
+    monkeypatch.setattr(resolve, "HOT_ROWS", 25)
+    rng = random.Random(seed)
+    lines = []
+    for seq in range(80):
+        for r in rng.sample(["hot", "r1", "r2", "r3"], 2):
+            amount = rng.randint(1, 9)
+            lines.append((seq, r, None, amount) if rng.random() < 0.4 else (seq, r, amount, -amount))
+    levels = [("hot", 20), ("r1", 15)]
+    got = resolve.resolve(frame("seq bigint, resource string, need int, delta int", *lines),
+                          frame("resource string, level int", *levels))
+    assert {r.seq: r.accepted for r in got.collect()} == sequential(lines, levels)
+
+
+def test_pick_list_orders_rows_in_blocks_for_large_orders_only(frame, monkeypatch):
+    items = [(o, p, 1 + p % 3) for o in (1, 2) for p in range(1, 13) if o == 1 or p < 4]
+    bins = [(p, loc, 9, 1 + loc % 2, 0) for p in range(1, 13) for loc in range(1, 2 + p)]
+    args = (
+        frame("order_id int", (1,), (2,)), frame("order_id int, product_id int, quantity int", *items),
+        frame("product_id int, sku string, product_name string", *[(p, f"s{p}", f"n{p}") for p in range(1, 13)]),
+        frame("product_id int, location_id int, quantity_on_hand int, quantity_reserved int, quantity_allocated int",
+              *bins),
+        frame("location_id int, zone string, aisle int, shelf int, bin int",
+              *[(loc, "AB"[loc % 2], loc % 3, 1, loc) for loc in range(1, 15)]),
+    )
+    blocks = []
+    monkeypatch.setattr(lookups, "with_blocks", lambda *a: blocks.append(1) or with_blocks(*a))
+    plain = rows_of(lookups.pick_list(*args))
+    assert not blocks
+    expected = rows_of(lookups.pick_rows(*args).withColumn(
+        "pick_sequence", F.row_number().over(Window.partitionBy("order_id").orderBy(
+            "zone", "aisle", "shelf", "bin", "location_id", "product_id", "quantity")))
+        .select("order_id", "product_id", "location_id", "quantity", F.col("pick_sequence").cast("bigint")))
+    short = lookups.pick_list(*args).select("order_id", "product_id", "location_id", "quantity", "pick_sequence")
+    assert rows_of(short) == expected
+    monkeypatch.setattr(lookups, "ORDER_PARTS", 15)
+    assert rows_of(lookups.pick_list(*args)) == plain
+    assert len(blocks) == 1
