@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.functions.scalars import (
     available, customer_name, full_name, location_label, or_zero,
 )
 from stockloom.operators.views import stock_by_product
-from stockloom.plans.lookup import lookup_join
-from stockloom.plans.scan import running, with_blocks
+from stockloom.plans.lookup import heavy_hashes, lookup_join
+from stockloom.plans.scan import BLOCK, running, with_blocks
+from stockloom.plans.scratch import Scratch
+
+BINS_TOGETHER = 8
+ORDER_PARTS = 100_000  # beyond which an order is numbered in blocks
 
 
 def stock_summary(inventory: DataFrame, product_ids: DataFrame) -> DataFrame:
@@ -132,19 +136,26 @@ def pick_rows(
 
     Each bin repeats the whole line quantity, and the reservation need not be this order's.
     """
+    return lookup_join(
+        _named_lines(order_ids, order_items, products), _reserved_bins(inventory, locations), "product_id")
+
+
+def _named_lines(order_ids: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
     extra = ["order_item_id"] if "order_item_id" in order_items.columns else []
     lines = order_items.select(*extra, "order_id", "product_id", "quantity").join(
         order_ids.select("order_id").distinct(), "order_id", "left_semi"
     )
-    named = lookup_join(
+    return lookup_join(
         lines, products.select("product_id", "sku", "product_name"), "product_id"
     )
-    bins = lookup_join(
+
+
+def _reserved_bins(inventory: DataFrame, locations: DataFrame) -> DataFrame:
+    return lookup_join(
         inventory.filter("quantity_reserved > 0").select("product_id", "location_id"),
         locations.select("location_id", "zone", "aisle", "shelf", "bin"),
         "location_id"
     )
-    return lookup_join(named, bins, "product_id")
 
 
 def pick_list(
@@ -153,16 +164,37 @@ def pick_list(
 ) -> DataFrame:
     """Pick rows numbered along the path (zone, aisle, shelf, bin) of their order.
 
-    The numbers are running counts over sorted blocks, so an order of any size is spread
-    over many tasks.
+    A line travels with up to BINS_TOGETHER of its bins and becomes one row per bin where its
+    order is numbered. Orders of more than ORDER_PARTS such parts are numbered by running counts
+    over sorted blocks, so an order of any size is spread over many tasks.
     """
-    rows = pick_rows(order_ids, order_items, products, inventory, locations)
+    bins = _reserved_bins(inventory, locations)
+    number = F.row_number().over(Window.partitionBy("product_id").orderBy("location_id"))
+    columns = [c for c in bins.columns if c != "product_id"]
+    together = bins.withColumn("_part", F.floor((number - 1) / BINS_TOGETHER)).groupBy("product_id", "_part").agg(
+        F.collect_list(F.struct(*columns)).alias("_bins")).drop("_part")
+    # Counted, sketched and numbered: joined once.
+    scratch = Scratch(order_ids.sparkSession, "pick_list")
+    parts = scratch.keep(lookup_join(_named_lines(order_ids, order_items, products), together, "product_id"))
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        line = [c for c in some.columns if c != "_bins"]
+        return some.select(*line, F.explode("_bins").alias("_bin")).select(
+            *line, *[F.col(f"_bin.{c}").alias(c) for c in columns])
+
     path = ["zone", "aisle", "shelf", "bin", "location_id", "product_id", "quantity"]
-    path += ["order_item_id"] if "order_item_id" in rows.columns else []
-    blocks = with_blocks(rows, ["order_id", *path])
-    counted = running(blocks, ["order_id"], path, sums={"rows_before": F.lit(1)})
+    path += ["order_item_id"] if "order_item_id" in parts.columns else []
+    before = Window.partitionBy("order_id").orderBy(*path).rowsBetween(Window.unboundedPreceding, -1)
+    hot = heavy_hashes(parts, "order_id", ORDER_PARTS)
+    place = F.xxhash64("order_id") == F.col("_hot") if hot is not None else None
+    plain = parts if hot is None else parts.join(F.broadcast(hot), place, "left_anti")
+    counted = rows_of(plain.repartition("order_id")).withColumn("rows_before", F.count(F.lit(1)).over(before))
+    if hot is not None:
+        large = with_blocks(rows_of(parts.join(F.broadcast(hot), place, "left_semi")), ["order_id", *path])
+        counted = counted.unionByName(
+            running(large, ["order_id"], path, sums={"rows_before": F.lit(1)}).drop(BLOCK))
     return counted.select(
-        *rows.columns, location_label().alias("label"),
+        *[c for c in counted.columns if c != "rows_before"], location_label().alias("label"),
         (F.col("rows_before") + 1).alias("pick_sequence"),
     )
 
