@@ -213,15 +213,17 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
 
 def _alike(p: Params) -> Column:
     """Whether the odd sketches of rows with columns sa, na, ua and sb, nb, ub allow a link."""
-    differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i]))
-                  for i in range(p.sketch_bits // 64)), F.lit(0))
-    return differ <= most_bits(F.col("na") + F.col("nb"), F.col("ua") + F.col("ub"), p)
+    # Word by word inside the expression: written out, the generated method is too long to be compiled.
+    differ = F.aggregate(
+        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+    # Sets of sizes too far apart share too little, whatever they share.
+    sizes = 100 * F.least("na", "nb") >= p.percent * F.greatest("na", "nb")
+    return sizes & (differ <= most_bits(F.col("na") + F.col("nb"), F.col("ua") + F.col("ub"), p))
 
 
 def _sketched(reps: DataFrame, side: str) -> DataFrame:
     return reps.select(F.col("doc_id").alias(side), F.col("sketch").alias(f"s{side}"),
-                       F.col("n_shingles").alias(f"n{side}"), F.col("used").alias(f"u{side}"),
-                       F.col("bands").alias(f"k{side}"))
+                       F.col("n_shingles").alias(f"n{side}"), F.col("used").alias(f"u{side}"))
 
 
 def _confirmed(work: Work, name: str, pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
@@ -284,8 +286,8 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         # A repeated doc_id may have several sketches; any of them may link.
-        near = pairs.join(_sketched(reps, "a").drop("ka"), "a").join(
-            _sketched(reps, "b").drop("kb"), "b").filter(_alike(p))
+        near = pairs.join(_sketched(reps, "a"), "a").join(
+            _sketched(reps, "b"), "b").filter(_alike(p))
         return _confirmed(work, name, near.select("a", "b").distinct(), docs, p)
 
     def in_components(found: DataFrame) -> DataFrame:
@@ -323,7 +325,10 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     def placed_with_sketch(side: str, component: str) -> DataFrame:
         rows = homes.select(F.col("doc_id").alias(side), F.col("component").alias(component), "homes").join(
             _sketched(reps, side), side)
-        return rows.withColumn("home", F.explode("homes")).select("*", "home.*").drop("home", "homes")
+        # The documents of a pair lie in different components, so all buckets they share are mixed: the
+        # keys of those tell the first one as well as all bands would, in fewer bytes.
+        return rows.withColumn(f"k{side}", F.col("homes.key")).withColumn("home", F.explode("homes")).select(
+            "*", "home.*").drop("home", "homes")
 
     minor = placed_with_sketch("a", "ca").filter("ca <> main").drop("main")
     other = placed_with_sketch("b", "component")

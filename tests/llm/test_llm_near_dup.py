@@ -185,3 +185,13 @@ def test_pairs_short_of_the_threshold_are_sifted_and_links_are_not(spark):
              if 70 * len(sets[a] | sets[b]) <= 100 * len(sets[a] & sets[b]) < 74 * len(sets[a] | sets[b])}
     assert near and near <= kept
     assert len(below) > 20 and len(below & kept) * 4 < len(below)
+
+
+def test_sets_of_sizes_too_far_apart_are_no_candidates(spark):
+    """Their sketches need not be looked at: 74 of 100 shingles cannot reach 75 %."""
+    same = [1] * 64
+    rows = spark.createDataFrame(
+        [(1, same, 100, 100, same, 74, 74), (2, same, 100, 100, same, 75, 75), (3, same, 100, 100, [-2] * 64, 100, 100)],
+        "i int, sa array<bigint>, na bigint, ua bigint, sb array<bigint>, nb bigint, ub bigint")
+    kept = rows.filter(near_dup._alike(near_dup.Params()))
+    assert [r.i for r in kept.collect()] == [2]
