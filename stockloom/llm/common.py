@@ -15,6 +15,8 @@ from stockloom.session import ensure_checkpoints, scratch_path, tune
 BATCH_ROWS = 2000
 # Text bytes that a task turns into arrays at once; a longer text is a step of its own.
 STEP_BYTES = 512 << 10
+# Narrow rows that a task takes where ``few`` joins partitions.
+TASK_ROWS = 100_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -25,6 +27,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def few(df: DataFrame, rows: int, per: int = TASK_ROWS) -> DataFrame:
+    """A frame of about ``rows`` rows in no more partitions than these need, ``per`` rows in each.
+
+    The shuffle partitions are meant for the largest tables. Each of them costs a task and, where the
+    rows are kept, a file, for which Hadoop starts a process that sets its mode.
+    """
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, rows // per + 1))
+
+
 class Work:
     """Tables of one run below the shared folder; ``drop`` removes those no longer read."""
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockloom.llm.common import Work, steps, text_buffer
+from stockloom.llm.common import Work, few, steps, text_buffer
 from stockloom.llm.components import components
 from stockloom.llm.textwords import MIX, WordHasher, mix, windows
 
@@ -36,6 +36,11 @@ from stockloom.llm.textwords import MIX, WordHasher, mix, windows
 # they are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
+# Rows with a sketch and bands, about 1 KB each, that a task takes.
+WIDE_ROWS = 10_000
+# Pairs that a task confirms on their texts, which it sorts and holds in part.
+TEXT_PAIRS = 5_000
+
 
 @dataclass(frozen=True)
 class Params:
@@ -231,13 +236,15 @@ def _confirmed(work: Work, name: str, pairs: DataFrame, docs: DataFrame, p: Para
     pairs = work.keep(pairs, f"{name}_pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(
         pairs.select(F.col("b").alias("doc_id")).distinct())
-    if pairs.count() * 2 <= BROADCAST_IDS:
+    n = pairs.count()
+    if n * 2 <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
         ids, "doc_id", "left_semi")
     left = texts.select(F.col("doc_id").alias("a"), "text")
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text", "other")
+    both = few(both, n, TEXT_PAIRS)
     return work.keep(both.mapInArrow(_confirmer(p), "a bigint, b bigint"), name)
 
 
@@ -267,9 +274,10 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     work = Work(docs.sparkSession, "near_dup")
     signed = work.keep(signatures(docs, p), "signed")
     known = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = work.keep(
+    n_docs = signed.count()
+    classes = work.keep(few(
         known.groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_class")),
+        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_class")), n_docs),
         "classes")
 
     # One row per class, the one of its smallest id.
@@ -277,22 +285,24 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
         classes.select("set_a", "set_b", "n_shingles", F.col("rep").alias("doc_id")),
         ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi",
     ).dropDuplicates(["set_a", "set_b", "n_shingles"]).select("doc_id", "n_shingles", "bands", "sketch", "used")
-    reps = work.keep(reps, "reps")
+    reps = work.keep(few(reps, n_docs, WIDE_ROWS), "reps")
     keyed = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(
         F.min("doc_id").alias("pivot"), F.max("doc_id").alias("_last")
     ).filter("_last > pivot").select("key", "pivot")
-    members = work.keep(keyed.join(buckets, "key").select("key", "pivot", "doc_id"), "members")
+    members = work.keep(few(
+        keyed.join(buckets, "key").select("key", "pivot", "doc_id"), n_docs * p.bands), "members")
+    n_members = members.count()
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         # A repeated doc_id may have several sketches; any of them may link.
         near = pairs.join(_sketched(reps, "a"), "a").join(
             _sketched(reps, "b"), "b").filter(_alike(p))
-        return _confirmed(work, name, near.select("a", "b").distinct(), docs, p)
+        return _confirmed(work, name, few(near.select("a", "b").distinct(), n_members), docs, p)
 
     def in_components(found: DataFrame) -> DataFrame:
-        return members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "key", "pivot", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        return few(members.join(_small(found.withColumnRenamed("node", "doc_id")), "doc_id", "left").select(
+            "key", "pivot", "doc_id", F.coalesce("component", "doc_id").alias("component")), n_members)
 
     # Each document is compared with one pivot, the smallest of its buckets, and then with the
     # smallest and the largest of those of its buckets that lie in other components: members of a
@@ -300,7 +310,7 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     once = members.filter("doc_id > pivot").groupBy("doc_id").agg(F.min("pivot").alias("a"))
     links = linked(once.select("a", F.col("doc_id").alias("b")), "once")
     for name, pick in (("stars", F.min), ("ends", F.max)):
-        placed = work.keep(in_components(work.keep(components(links), f"found_{name}")), f"placed_{name}")
+        placed = work.keep(in_components(work.keep(few(components(links, links.count()), n_docs), f"found_{name}")), f"placed_{name}")
         pivots = placed.groupBy("key").agg(pick(F.struct("doc_id", "component")).alias("p")).select(
             "key", F.col("p.doc_id").alias("a"), F.col("p.component").alias("own"))
         stars = placed.join(pivots, "key").filter("component <> own AND doc_id <> a").select(
@@ -308,7 +318,7 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
         links = work.keep(links.unionByName(linked(stars, name)), f"links_{name}")
         work.drop(f"placed_{name}", f"{name}_pairs")
     work.drop("once_pairs")
-    found = work.keep(components(links), "found")
+    found = work.keep(few(components(links, links.count()), n_docs), "found")
 
     placed = in_components(found).drop("pivot")
     placed = work.keep(placed, "placed")
@@ -317,10 +327,10 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("parts"),
         F.max(F.struct("n", "component")).alias("top"),
     ).filter("parts > 1").select("key", F.col("top.component").alias("main"))
-    still = work.keep(placed.join(mixed, "key"), "still")
+    still = work.keep(few(placed.join(mixed, "key"), n_members), "still")
     # A document meets its sketch once, whatever number of buckets it brings along.
-    homes = work.keep(still.groupBy("doc_id", "component").agg(
-        F.collect_list(F.struct("key", "main")).alias("homes")), "homes")
+    homes = work.keep(few(still.groupBy("doc_id", "component").agg(
+        F.collect_list(F.struct("key", "main")).alias("homes")), n_docs, WIDE_ROWS), "homes")
 
     def placed_with_sketch(side: str, component: str) -> DataFrame:
         rows = homes.select(F.col("doc_id").alias(side), F.col("component").alias(component), "homes").join(
@@ -340,7 +350,8 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
         & (F.col("ca") != F.col("component")) & _alike(p) & first
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = _confirmed(work, "rest", rest, docs, p)
-    final = components(links.unionByName(more).unionByName(_same_document(known, classes)))
+    final = components(
+        links.unionByName(more).unionByName(_same_document(known, classes)), links.count() + more.count())
 
     named = classes.join(final, classes.rep == final.node, "left")
     named = named.select("set_a", "set_b", "n_shingles", "n_class",

@@ -53,3 +53,26 @@ def frame(spark):
 def rows_of(df):
     """Rows as sorted tuples in the frame's column order."""
     return sorted((tuple(r) for r in df.collect()), key=lambda t: [(v is None, str(v)) for v in t])
+
+
+@pytest.fixture
+def files_kept(spark):
+    """Files in each folder that a call leaves below the shared folder, with 64 partitions in each shuffle."""
+
+    def count():
+        top = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+        return {d: n for d, _, names in os.walk(top) if (n := sum(x.startswith("part-") for x in names))}
+
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+
+    def run(call):
+        old = count()
+        call()
+        return [n for d, n in count().items() if d not in old]
+
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield run
+    for k, v in before.items():
+        spark.conf.set(k, v)

@@ -195,3 +195,22 @@ def test_sets_of_sizes_too_far_apart_are_no_candidates(spark):
         "i int, sa array<bigint>, na bigint, ua bigint, sb array<bigint>, nb bigint, ub bigint")
     kept = rows.filter(near_dup._alike(near_dup.Params()))
     assert [r.i for r in kept.collect()] == [2]
+
+
+def test_few_rows_are_kept_in_few_files(spark, files_kept):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(0, 120, 4):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(60)]
+        rows += [(i + k, varied(rnd, words, k)) for k in range(4)]
+    kept = files_kept(lambda: check(spark, rows))
+    assert len(kept) > 15 and max(kept) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_components_of_few_edges_are_kept_in_few_files(spark, frame, files_kept):
+    edges = frame("a bigint, b bigint", *[(i, i + 1) for i in range(40)], (99, 98), (98, 99), (7, 7), (None, 3))
+    found = []
+    kept = files_kept(lambda: found.extend(components(edges, 44).collect()))
+    assert max(kept) <= 2 * spark.sparkContext.defaultParallelism
+    assert {r.node: r.component for r in found} == {**dict.fromkeys(range(41), 0), 98: 98, 99: 98}
+    assert len(found) == 43 and components(edges.filter("a = b"), 1).collect() == []
