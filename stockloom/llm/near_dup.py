@@ -378,21 +378,23 @@ def deduplicated(docs: DataFrame, p: Params | None = None) -> DataFrame:
     work = Work(docs.sparkSession, "deduplicated")
     key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
     found = near_duplicates(docs.select(key.alias("doc_id"), "text"), p)
+    n_docs = docs.count()
     linked = work.keep(
-        found.filter(~F.col("kept")).select(F.col("doc_id").alias("_key"), "component_id").distinct(),
+        few(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_key"), "component_id").distinct(), n_docs),
         "linked")
     first = linked.select(F.col("component_id").alias("_key"), "component_id").distinct()
     members = linked.unionByName(first)
     ids = docs.select("doc_id", key.alias("_key")).join(_small(members), "_key")
     stays = ids.groupBy("component_id").agg(
         F.min(F.struct("doc_id", "_key")).alias("_first")).select(F.col("_first._key").alias("_key"))
-    gone = work.keep(members.select("_key").join(_small(work.keep(stays, "stays")), "_key", "left_anti"), "gone")
+    stays = work.keep(few(stays, n_docs), "stays")
+    gone = work.keep(few(members.select("_key").join(_small(stays), "_key", "left_anti"), n_docs), "gone")
     names = [f"_c{i}" for i in range(len(docs.columns))]  # no name can clash with the key
     rows = docs.select(key.alias("_key"), *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
     rest = rows.join(_small(gone), "_key", "left_anti")
-    repeated = work.keep(
+    repeated = work.keep(few(
         rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1 AND _key IS NOT NULL").select("_key"), "repeated")
+        .filter("_n > 1 AND _key IS NOT NULL").select("_key"), n_docs), "repeated")
     if not repeated.isEmpty():
         plain = [n for n in names if "map<" not in rows.schema[n].dataType.simpleString()]
         one = rest.join(_small(repeated), "_key", "left_semi").groupBy("_key").agg(

@@ -205,6 +205,9 @@ def test_few_rows_are_kept_in_few_files(spark, files_kept):
         rows += [(i + k, varied(rnd, words, k)) for k in range(4)]
     kept = files_kept(lambda: check(spark, rows))
     assert len(kept) > 15 and max(kept) <= 2 * spark.sparkContext.defaultParallelism
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = files_kept(lambda: near_dup.deduplicated(docs).collect())
+    assert len(kept) > 15 and max(kept) <= 2 * spark.sparkContext.defaultParallelism
 
 
 def test_components_of_few_edges_are_kept_in_few_files(spark, frame, files_kept):
