@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.llm import edit_automata
-from stockloom.llm.common import Work, steps, text_buffer
+from stockloom.llm.common import Work, few, steps, text_buffer
 from stockloom.llm.textwords import LOWER, WordHasher, mix
 from stockloom.plans.lookup import shuffle_partitions
 
@@ -292,19 +292,19 @@ def variants(words: DataFrame, p: Params | None = None) -> DataFrame:
     ).select("word", "n_near", (-F.col("_best.m")).alias("best_n"), F.col("_best.best").alias("best"))
 
 
-def roots(work: Work, forms: DataFrame) -> DataFrame:
-    """(word, root) of every word in ``forms`` (word, form): the end of its chain of forms.
+def roots(work: Work, forms: DataFrame, n: int) -> DataFrame:
+    """(word, root) of every word in ``forms`` (word, form), at most ``n``: the end of its chain of forms.
 
     A form is at least twice as frequent as its word, so there are no cycles; each round doubles
     the steps taken.
     """
-    now = work.keep(forms.select("word", F.col("form").alias("root")), "roots0")
+    now = work.keep(few(forms.select("word", F.col("form").alias("root")), n), "roots0")
     number = 0
     while True:
         onward = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
         number += 1
-        after = work.keep(now.join(onward, "root", "left").select(
-            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
+        after = work.keep(few(now.join(onward, "root", "left").select(
+            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), n),
             f"roots{number}")
         work.drop(f"roots{number - 1}")
         moved = after.filter("moved").limit(1).count()
@@ -323,12 +323,13 @@ def groups(docs: DataFrame, p: Params | None = None) -> DataFrame:
     p = p or Params()
     work = Work(docs.sparkSession, "spelling")
     words = work.keep(vocabulary(docs, p), "words")
-    near = work.keep(variants(words, p), "near")
+    n = words.count()
+    near = work.keep(few(variants(words, p), n), "near")
     formed = F.col("best_n") >= p.ratio * F.col("n")
-    seen = work.keep(words.join(near, "word", "left").select(
+    seen = work.keep(few(words.join(near, "word", "left").select(
         "word", F.when(formed, F.col("best")).alias("form"), "n",
-        F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(formed, F.col("best_n")).alias("form_n")), "seen")
+        F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(formed, F.col("best_n")).alias("form_n")), n), "seen")
     work.drop("near", "words")
-    ends = roots(work, seen.filter("form IS NOT NULL"))
+    ends = roots(work, seen.filter("form IS NOT NULL"), n)
     return seen.join(ends, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

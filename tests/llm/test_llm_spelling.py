@@ -113,3 +113,16 @@ def test_letters_are_the_latin_ones():
     found = spelling.letters_only(data).tobytes().decode().split()
     assert found == re.findall("[A-Za-zÀ-ÿ]+", text.translate(ASCII))
     assert pa.array(found).to_pylist() == found
+
+
+def test_few_words_are_kept_in_few_files(spark, files_kept, setting, monkeypatch):
+    monkeypatch.setattr(spelling.Work, "drop", lambda *_: None)
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    rows = noisy(3, 60)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    p = spelling.Params(least=1, modulus=3)
+    got = []
+    kept = files_kept(lambda: got.extend(tuple(r) for r in spelling.groups(docs, p).collect()))
+    assert sorted(got) == brute(rows, p)
+    # Only the words themselves, of which nothing is known before, stand in a file for each partition.
+    assert len(kept) > 3 and sorted(kept)[-2] <= 2 * spark.sparkContext.defaultParallelism
