@@ -9,7 +9,7 @@ from stockloom.functions.scalars import (
     available, customer_name, full_name, location_label, or_zero,
 )
 from stockloom.operators.views import stock_by_product
-from stockloom.plans.lookup import heavy_hashes, lookup_join
+from stockloom.plans.lookup import fits_broadcast, heavy_hashes, lookup_join
 from stockloom.plans.scan import BLOCK, running, with_blocks
 from stockloom.plans.scratch import Scratch
 
@@ -141,13 +141,16 @@ def pick_rows(
 
 
 def _named_lines(order_ids: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
+    return lookup_join(
+        _asked_lines(order_ids, order_items), products.select("product_id", "sku", "product_name"), "product_id"
+    )
+
+
+def _asked_lines(order_ids: DataFrame, order_items: DataFrame) -> DataFrame:
     extra = ["order_item_id"] if "order_item_id" in order_items.columns else []
-    lines = order_items.select(*extra, "order_id", "product_id", "quantity").join(
+    return order_items.select(*extra, "order_id", "product_id", "quantity").join(
         order_ids.select("order_id").distinct(), "order_id", "left_semi"
     )
-    return lookup_join(
-        lines, products.select("product_id", "sku", "product_name"), "product_id"
-    )
 
 
 def _reserved_bins(inventory: DataFrame, locations: DataFrame) -> DataFrame:
@@ -168,17 +171,30 @@ def pick_list(
     order is numbered. Orders of more than ORDER_PARTS such parts are numbered by running counts
     over sorted blocks, so an order of any size is spread over many tasks.
     """
-    bins = _reserved_bins(inventory, locations)
+    spark = order_ids.sparkSession
+    places = locations.select("location_id", "zone", "aisle", "shelf", "bin")
+    # Places that can be broadcast are looked up where the order is numbered: bins travel as ids.
+    late = fits_broadcast(places)
+    bins = (inventory.filter("quantity_reserved > 0").select("location_id", "product_id") if late
+            else _reserved_bins(inventory, locations)).filter("product_id IS NOT NULL")
     number = F.row_number().over(Window.partitionBy("product_id").orderBy("location_id"))
     columns = [c for c in bins.columns if c != "product_id"]
     together = bins.withColumn("_part", F.floor((number - 1) / BINS_TOGETHER)).groupBy("product_id", "_part").agg(
-        F.collect_list(F.struct(*columns)).alias("_bins")).drop("_part")
-    # Counted, sketched and numbered: joined once.
-    scratch = Scratch(order_ids.sparkSession, "pick_list")
-    parts = scratch.keep(lookup_join(_named_lines(order_ids, order_items, products), together, "product_id"))
+        F.collect_list(F.struct(*columns) if len(columns) > 1 else F.col(*columns)).alias("_bins")).drop("_part")
+    # Read several times each: sketched, joined and numbered.
+    scratch, tables = Scratch(spark, "pick_list"), Scratch(spark, "pick_list_sides")
+    together = tables.keep(together)
+    named = tables.keep(lookup_join(together, products.select("product_id", "sku", "product_name"), "product_id").select(
+        "product_id", "sku", "product_name", "_bins"))
+    lines = tables.keep(_asked_lines(order_ids, order_items))
+    parts = scratch.keep(lookup_join(lines, named, "product_id"))
+    tables.remove()
 
     def rows_of(some: DataFrame) -> DataFrame:
         line = [c for c in some.columns if c != "_bins"]
+        if late:
+            rows = some.select(*line, F.explode("_bins").alias("location_id")).join(F.broadcast(places), "location_id")
+            return rows.select(*line, *places.columns)
         return some.select(*line, F.explode("_bins").alias("_bin")).select(
             *line, *[F.col(f"_bin.{c}").alias(c) for c in columns])
 

@@ -14,6 +14,7 @@ from stockloom.plans.components import components
 from stockloom.plans.allocate import allocate, laid_out
 from stockloom.plans.combine import one_row
 from stockloom.plans.scan import BLOCK, running, with_blocks
+from stockloom.plans.scratch import Scratch
 
 
 def hot_lines(spark, n=6000):
@@ -283,3 +284,30 @@ def test_pick_list_orders_rows_in_blocks_for_large_orders_only(frame, monkeypatc
     monkeypatch.setattr(lookups, "ORDER_PARTS", 15)
     assert rows_of(lookups.pick_list(*args)) == plain
     assert len(blocks) == 1
+
+
+def test_pick_list_carries_bins_as_ids_where_places_fit_a_broadcast(frame, setting, monkeypatch):
+    args = (
+        frame("order_id int", (1,), (2,), (2,), (None,)),
+        frame("order_id int, product_id int, quantity int", (1, 1, 5), (1, 2, 1), (2, 1, 3), (2, 1, 3), (2, None, 1),
+              (None, 1, 1), (1, 9, 1)),
+        frame("product_id int, sku string, product_name string", (1, "s1", None), (2, None, "n2"), (2, "t2", "n2"),
+              (None, "x", "x")),
+        frame("product_id int, location_id int, quantity_on_hand int, quantity_reserved int, quantity_allocated int",
+              *[(p, loc, 9, 1, 0) for p in (1, 2, None) for loc in (1, 2, 2, 3, None, 77)], (1, 4, 9, 0, 0)),
+        frame("location_id int, zone string, aisle int, shelf int, bin int", (1, "B", 1, 1, 1), (2, "A", 2, 1, 2),
+              (3, None, 1, 1, 3), (3, "A", None, 1, 3), (None, "A", 1, 1, 1), (4, "A", 1, 1, 4)),
+    )
+    columns = ["order_id", "product_id", "location_id", "zone", "aisle", "quantity", "sku", "product_name"]
+    kept, plain = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df: kept.append(df.schema.simpleString()) or plain(self, df))
+    got = lookups.pick_list(*args)
+    assert kept and not any("zone" in schema for schema in kept)
+    numbers = [(r[0], r[1]) for r in sorted(rows_of(got.select("order_id", "pick_sequence")))]
+    assert numbers == [(1, n) for n in range(1, 16)] + [(2, n) for n in range(1, 11)]
+    assert Counter(rows_of(got.select(*columns))) == Counter(rows_of(lookups.pick_rows(*args).select(*columns)))
+    setting(lookup.MAX_ROWS_KEY, 0)
+    early = lookups.pick_list(*args)
+    assert early.columns == got.columns
+    assert Counter(rows_of(early.select(*columns))) == Counter(rows_of(got.select(*columns)))
+    assert any("zone" in schema for schema in kept)
