@@ -49,6 +49,27 @@ def test_divergence_equals_walking(frame, seed):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want) and want
 
 
+def test_divergence_deals_rows_by_bin_and_cuts_only_hot_bins(frame, monkeypatch):
+    rng = random.Random(3)
+    entries = [((1, 1) if n % 2 else (rng.randint(1, 3), rng.randint(1, 3)))
+               + (day(rng.randint(0, 30)), n, rng.choice([None, 1, 3])) for n in range(300)]
+    entries += [(None, 1, day(1), 900, 5), (1, None, day(1), 901, 5), (2, 2, None, 902, 5), (2, 2, day(1), None, 5)]
+    counts = [(p, q, day(n), rng.choice([0, 3, None])) for p in range(1, 5) for q in range(1, 4) for n in (0, 9, 9, 20)]
+    args = (frame(ENTRIES, *entries), frame(COUNTS, *counts))
+    blocks, plain = [], divergence.with_blocks
+    monkeypatch.setattr(divergence, "with_blocks", lambda *a: blocks.append(1) or plain(*a))
+    got = divergence.first_divergence(*args)
+    # Entries and counts are shuffled once each, and not again for their sums.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "rangepartitioning" not in plan
+    assert rows_of(got) and not blocks
+    monkeypatch.setattr(divergence, "HOT_ROWS", 100)
+    assert rows_of(divergence.first_divergence(*args)) == rows_of(got)
+    assert len(blocks) == 1
+    monkeypatch.setattr(divergence, "HOT_ROWS", 0)
+    assert rows_of(divergence.first_divergence(*args)) == rows_of(got)
+
+
 def test_divergence_of_nothing(frame):
     assert divergence.first_divergence(frame(ENTRIES), frame(COUNTS)).collect() == []
     got = divergence.first_divergence(frame(ENTRIES), frame(COUNTS, (1, 1, START, 4), (2, 2, START, 0)))
