@@ -10,6 +10,7 @@ from stockloom.operators.outcome import Outcome, ledger_rows
 from stockloom.plans.allocate import allocate, laid_out
 from stockloom.plans.resolve import refused
 from stockloom.plans.scan import saved
+from stockloom.plans.scratch import Scratch
 from stockloom.schema import NOTES
 
 
@@ -25,7 +26,7 @@ def op_reserve(requests: DataFrame, order_items: DataFrame, inventory: DataFrame
     picker = ["employee_id"] if "employee_id" in requests.columns else []
     asked = requests.select("order_id", F.col("seq").cast("bigint").alias("seq"), *picker)
     # Read by the decisions and by the allocation: joined and added up once.
-    demand = saved(
+    demand = Scratch(requests.sparkSession, "demand").keep(
         asked.join(order_items.select("order_id", "product_id", "quantity"), "order_id")
         .groupBy("seq", "order_id", "product_id")
         .agg(F.sum("quantity").alias("quantity"))

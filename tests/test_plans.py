@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from stockloom.operators import lookups
+from stockloom.plans import allocate as allocation
 from stockloom.plans import lookup, resolve
 from stockloom.plans.components import components
 from stockloom.plans.allocate import allocate, laid_out
@@ -148,6 +149,23 @@ def test_allocation_equals_sequential(spark, frame, seed):
     assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("hot_rows", [500_000, 25, 1])
+def test_allocation_cuts_only_hot_keys_into_blocks(frame, monkeypatch, hot_rows):
+    monkeypatch.setattr(allocation, "HOT_ROWS", hot_rows)
+    blocks = []
+    monkeypatch.setattr(allocation, "with_blocks", lambda *a: blocks.append(1) or with_blocks(*a))
+    rng = random.Random(5)
+    sides = [[(k, i, rng.choice([0, 1, 4, 9, None])) for k in (1, 2, 3, None) for i in range(30 if k == 1 else 5)]
+             for _ in "sd"]
+    expected = []
+    for k in (1, 2, 3, None):
+        expected += [(k, *x) for x in first_come(*[[(i, q or 0) for key, i, q in side if key == k] for side in sides])]
+    got = allocate(laid_out(frame("k int, s int, q int", *sides[0]), ["k"], ["s"], "q"),
+                   laid_out(frame("k int, d int, q int", *sides[1]), ["k"], ["d"], "q"), ["k"], ["s"], ["d"])
+    assert rows_of(got) == sorted(expected, key=lambda t: [(v is None, str(v)) for v in t])
+    assert len(blocks) == (0 if hot_rows > 25 else 3)
+
+
 def sequential(lines, levels):
     """Decisions request by request; lines: (seq, resource, need, delta)."""
     level = dict(levels)
@@ -186,6 +204,18 @@ def test_decisions_equal_sequential(frame, monkeypatch, seed, rounds, rows):
     assert {r.seq: r.accepted for r in got.collect()} == sequential(lines, levels)
 
 
+def test_rounds_need_no_blocks_without_hot_resources(frame, monkeypatch):
+    """Every round deals what is in doubt by resource."""
+    monkeypatch.setattr(resolve, "ROUNDS", 100)
+    monkeypatch.setattr(resolve, "with_blocks", lambda *_: pytest.fail("rows were cut into blocks"))
+    rng = random.Random(8)
+    lines = [(seq, r, n, -n) for seq in range(60) for r in rng.sample("abcd", 2) for n in [rng.randint(1, 9)]]
+    levels = [(r, 40) for r in "abc"]
+    got = resolve.resolve(frame("seq bigint, resource string, need int, delta int", *lines),
+                          frame("resource string, level int", *levels))
+    assert {r.seq: r.accepted for r in got.collect()} == sequential(lines, levels)
+
+
 def test_a_long_chain_takes_few_rounds(frame, monkeypatch):
     """Each request waits for the one before; the end of the chain hangs on its beginning."""
     calls = []
