@@ -106,26 +106,34 @@ def start(base: np.ndarray, check: np.ndarray, labels: list[int]) -> int:
 
 
 def walk(base: np.ndarray, check: np.ndarray, text: np.ndarray, at: np.ndarray, state: np.ndarray,
-         stops: np.ndarray, shift: int) -> np.ndarray:
-    """Numbers of all keys met from the positions ``at`` of ``text``, in no order.
+         stops: np.ndarray, shift: int, weight: np.ndarray | None = None) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """Numbers of all keys met from the positions ``at`` of ``text``, in no order; with ``weight``
+    also the weight of the position from which each was met.
 
     All positions advance together, one byte at a level; a byte b has label b + shift. A key is
     met where its end falls before a byte marked in ``stops``. The text must end in such a byte
     that no key holds.
     """
-    met = []
+    met, weights = [], []
     alive = state >= 0
     at, state = at[alive], state[alive]
+    weight = weight[alive] if weight is not None else None
     while len(at):
         byte = text[at]
         stop = stops[byte]
         if stop.any():
             here = state[stop]
             end = base[here] + END
-            end = end[check[end] == here]
-            if len(end):
-                met.append(base[end])
+            ends = check[end] == here
+            if ends.any():
+                met.append(base[end[ends]])
+                if weight is not None:
+                    weights.append(weight[stop][ends])
         after = base[state] + byte + shift
         good = check[after] == state
         at, state = at[good] + 1, after[good]
-    return np.concatenate(met) if met else np.zeros(0, np.int32)
+        weight = weight[good] if weight is not None else None
+    numbers = np.concatenate(met) if met else np.zeros(0, np.int32)
+    if weight is None:
+        return numbers
+    return numbers, np.concatenate(weights) if weights else np.zeros(0, weight.dtype)

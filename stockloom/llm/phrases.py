@@ -5,9 +5,9 @@ parts of one word less are frequent, and is a candidate if its hash is met often
 tasks know of frequent parts is a bitmap of fixed size over hashes; hashes that meet only add
 candidates, they never lose one. Each candidate's text is listed once, from the documents of one
 shard in which it stands. The candidates, single words among them, are dealt into tries of a bounded
-number of keys. Every trie is broadcast for one pass over the text: all positions advance
-together through its states, the states that accept a phrase are counted, and the counts of all
-tasks are added up. These counts are exact, whatever the hashes did.
+number of keys. One pass over the text sends every phrase that can be a candidate to the task of its
+trie, equal ones of a step once with their number: there all of them advance together through
+its states, and the states that accept a phrase are counted. These counts are exact, whatever the hashes did.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from stockloom.llm import double_array
 from stockloom.llm.common import Work, steps, text_buffer
 from stockloom.llm.textwords import BASE, LOWER, WordHasher, mix, powers
 from stockloom.plans.lookup import lookup_join, shuffle_partitions
+from stockloom.plans.scratch import run_once
 
 UNKNOWN = "und"
 #: A piece ends at one of .,;:!? or a line end; words are parted by blanks and tabs.
@@ -35,7 +36,7 @@ SEPARATOR = PIECE_END.copy()
 SEPARATOR[[9, 32]] = True
 KEY_BITS, SHARD_BITS = 48, 8
 TURNS = (0x9E3779B1, 0x85EBCA77)  # how a shard moves the bits of a key
-CHUNK = 4096  # counts of a trie that are added up as one row
+PART_BYTES, HELD_BYTES = 32 << 10, 4 << 20  # of phrases that a task gathers, for each part and at most
 LANG_END, SHIFT = 1, 2  # labels of the tries: key end 0, language end 1, bytes from 2
 
 
@@ -201,49 +202,138 @@ def _lister(sent: Broadcast, p: Params) -> Callable:
     return run
 
 
-def _trie_counter(sent: Broadcast, trie: Broadcast, part: int, parts: int, p: Params) -> Callable:
+def _dealer(sent: Broadcast, parts: int, p: Params) -> Callable:
+    """Phrases that can be candidates, as rows (part, kind 1, lang, phrases by lines, their numbers).
+
+    Phrases are gathered over steps until there are PART_BYTES for each part, or HELD_BYTES, so rows
+    follow the bytes and not steps times parts.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = trie.value
-        base, check, n = t["base"], t["check"], len(t["phrase"])
-        counts = np.zeros(n + -n % CHUNK, np.int64)
-        stops = np.zeros(256, bool)
-        stops[[10, 32]] = True
+        langs: dict[str, int] = {}
+        held: list[tuple[np.ndarray, ...]] = []
+        waiting = 0
         for tokens in _texts(batches):
-            begin = np.zeros(len(tokens.hashes), bool)
+            code = np.array([langs.setdefault(x, len(langs)) for x in tokens.langs], np.int64)
             for width in range(1, p.words + 1):
                 key = tokens.keys(width)
-                at = np.flatnonzero(tokens.whole(width) & (key % np.uint64(parts) == part))
-                begin[at[met(sent.value[width - 1], key[at])]] = True
-            state = np.array([double_array.start(base, check, [b + SHIFT for b in x.encode()] + [LANG_END])
-                              for x in tokens.langs], np.int64)
-            at = np.flatnonzero(begin)
-            counts += np.bincount(double_array.walk(
-                base, check, tokens.text, tokens.at[at], state[tokens.lang[at]], stops, SHIFT), minlength=len(counts))
-        for chunk, some in enumerate(counts.reshape(-1, CHUNK)):
-            if some.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int32()), pa.array([some.tobytes()], pa.binary())], names=["chunk", "counts"])
+                at = np.flatnonzero(tokens.whole(width) & met(sent.value[width - 1], key))
+                if len(at):
+                    held.append(_distinct(tokens, key[at], at, width, parts, code))
+                    waiting += len(held[-1][3])
+            if waiting > min(parts * PART_BYTES, HELD_BYTES):
+                yield _dealt(held, langs)
+                held, waiting = [], 0
+        if held:
+            yield _dealt(held, langs)
 
     return run
 
 
-def _adder(trie: Broadcast) -> Callable:
-    """Adds up the counts of all tasks, chunk by chunk, and names the phrases."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = trie.value
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                some = np.frombuffer(counts.as_buffer(), np.int64)
-                total[chunk] = total[chunk] + some if chunk in total else some.copy()
-        for chunk, some in total.items():
-            seen = np.flatnonzero(some)
-            at = pa.array(seen + chunk * CHUNK)
+def _distinct(tokens: Tokens, key: np.ndarray, at: np.ndarray, width: int, parts: int,
+              code: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(part, language, bytes, text by lines, number) of the different phrases that start at the words ``at``."""
+    order = np.argsort(key, kind="stable")
+    at, key = at[order], key[order]
+    lang = tokens.lang[at]
+    begin, size = tokens.at[at], tokens.ends[at + width - 1] - tokens.at[at]
+    # Neighbours are one phrase where all their bytes are equal; an equal hash is not enough.
+    same = np.zeros(len(at), bool)
+    same[1:] = (key[1:] == key[:-1]) & (lang[1:] == lang[:-1]) & (size[1:] == size[:-1])
+    twice = np.flatnonzero(same)
+    if len(twice):
+        wide = size[twice]
+        first = np.concatenate([[0], np.cumsum(wide)])
+        step = np.arange(int(first[-1])) - np.repeat(first[:-1], wide)
+        equal = (tokens.text[np.repeat(begin[twice], wide) + step]
+                 == tokens.text[np.repeat(begin[twice - 1], wide) + step])
+        same[twice] = np.logical_and.reduceat(equal, first[:-1])
+    one = np.flatnonzero(~same)
+    number = np.diff(np.append(one, len(at))).astype(np.int32)
+    size = size[one] + 1
+    text = _gathered(tokens.text, begin[one], size)
+    text[np.cumsum(size) - 1] = 10
+    return (key[one] % np.uint64(parts)).astype(np.int64), code[lang[one]], size, text, number
+
+
+def _gathered(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of the given stretches, one behind the other."""
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    return data[np.arange(int(bounds[-1])) + np.repeat(begin - bounds[:-1], size)]
+
+
+def _dealt(held: list[tuple[np.ndarray, ...]], langs: dict[str, int]) -> pa.RecordBatch:
+    """One row per part and language."""
+    part, lang, size, text, number = (np.concatenate(x) for x in zip(*held, strict=True))
+    begin = np.cumsum(size) - size
+    order = np.lexsort((lang, part))
+    part, lang, number = part[order], lang[order], number[order]
+    text, size = _gathered(text, begin[order], size[order]), size[order]
+    row = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (lang[1:] != lang[:-1])]))
+    bounds = np.concatenate([[0], np.cumsum(size)])
+
+    def blobs(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.large_binary(), len(row), [
+            None, pa.py_buffer(cuts.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.binary())
+
+    return pa.RecordBatch.from_arrays([
+        pa.array(part[row].astype(np.int32)), pa.array(np.ones(len(row), np.int32)),
+        pa.array(list(langs), pa.string()).take(pa.array(lang[row])),
+        blobs(text, np.append(bounds[row], bounds[-1])), blobs(number, 4 * np.append(row, len(part)))],
+        names=["part", "kind", "lang", "text", "numbers"])
+
+
+class PartCounter:
+    """The trie of one part and the counts of its phrases."""
+
+    def __init__(self) -> None:
+        self.rows: list[pa.RecordBatch] = []
+        self.trie: dict | None = None
+
+    def add(self, lang: pa.Array, text: pa.Array, numbers: pa.Array) -> None:
+        if self.trie is None:
+            self.trie = trie_of(pa.Table.from_batches(self.rows))
+            self.counts = np.zeros(len(self.trie["phrase"]), np.int64)
+            self.states: dict[str, int] = {}
+        base, check = self.trie["base"], self.trie["check"]
+        langs = lang.to_pylist()
+        for x in set(langs) - self.states.keys():
+            self.states[x] = double_array.start(base, check, [b + SHIFT for b in x.encode()] + [LANG_END])
+        flat = np.frombuffer(b"".join(text.to_pylist()), np.uint8)
+        weight = [np.frombuffer(x, np.int32) for x in numbers.to_pylist()]
+        state = np.repeat([self.states[x] for x in langs], [len(w) for w in weight])
+        at = np.concatenate([[0], np.flatnonzero(flat == 10)[:-1] + 1])
+        stops = np.zeros(256, bool)
+        stops[10] = True
+        found, weight = double_array.walk(
+            base, check, flat, at, state, stops, SHIFT, np.concatenate(weight).astype(np.int64))
+        np.add.at(self.counts, found, weight)
+
+    def counted(self) -> Iterator[pa.RecordBatch]:
+        if self.trie is not None:
+            seen = pa.array(np.flatnonzero(self.counts))
             yield pa.RecordBatch.from_arrays(
-                [t["lang"].take(at).cast(pa.string()), t["phrase"].take(at), pa.array(some[seen])],
-                names=["lang", "phrase", "n"])
+                [self.trie["lang"].take(seen).cast(pa.string()), self.trie["phrase"].take(seen),
+                 pa.array(self.counts).take(seen)], names=["lang", "phrase", "n"])
 
-    return run
+
+def _part_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the candidates; rows come sorted by part and kind, candidates (kind 0) first."""
+    now, counter = None, PartCounter()
+    for batch in batches:
+        part, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cuts = np.flatnonzero((part[1:] != part[:-1]) | (kind[1:] != kind[:-1])) + 1
+        for start, stop in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            if start == stop:
+                continue
+            if part[start] != now:
+                yield from counter.counted()
+                now, counter = part[start], PartCounter()
+            lang, text, numbers = (batch.column(i).slice(start, stop - start) for i in (2, 3, 4))
+            if kind[start] == 0:
+                counter.rows.append(pa.RecordBatch.from_arrays([lang, text.cast(pa.string())], names=["lang", "phrase"]))
+            elif counter.rows:  # without candidates there is nothing to count
+                counter.add(lang, text, numbers)
+    yield from counter.counted()
 
 
 def _named_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,10 +369,11 @@ def candidates(work: Work, texts: DataFrame, p: Params) -> tuple[DataFrame, Data
     maps, lists = [], []
     for width in range(1, p.words + 1):
         sent = spark.sparkContext.broadcast(maps[-1]) if maps else None
-        often = work.keep(
-            texts.mapInArrow(_support_counter(sent, width), "key bigint, shard int, n int")
-            .groupBy("key").agg(F.sum("n").alias("n"), F.min("shard").alias("shard"))
-            .filter(F.col("n") >= p.least), f"often{width}")
+        with run_once(spark):
+            often = work.keep(
+                texts.mapInArrow(_support_counter(sent, width), "key bigint, shard int, n int")
+                .groupBy("key").agg(F.sum("n").alias("n"), F.min("shard").alias("shard"))
+                .filter(F.col("n") >= p.least), f"often{width}")
         if width == 1:
             names = texts.select("lang").distinct().mapInArrow(_named_totals, "lang string, key bigint")
             totals = work.keep(often.join(names, "key").select("lang", "n"), "totals")
@@ -294,32 +385,31 @@ def candidates(work: Work, texts: DataFrame, p: Params) -> tuple[DataFrame, Data
         if sent is not None:
             sent.destroy()
     sent = spark.sparkContext.broadcast(lists)
-    listed = work.keep(
-        texts.mapInArrow(_lister(sent, p), "key bigint, lang string, phrase string").distinct(), "candidates")
+    with run_once(spark):
+        listed = work.keep(
+            texts.mapInArrow(_lister(sent, p), "key bigint, lang string, phrase string").distinct(), "candidates")
     sent.destroy()
     return listed, totals, maps
 
 
 def counted(work: Work, texts: DataFrame, listed: DataFrame, maps: list[np.ndarray], p: Params) -> DataFrame:
-    """(lang, phrase, n) of all candidates, one pass over the texts per bounded trie."""
+    """(lang, phrase, n) of all candidates; one pass over the texts for all tries, one task for each of them."""
     spark: SparkSession = work.spark
     size = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(
         F.sum(F.octet_length("phrase") + F.octet_length("lang")), F.lit(0)).alias("bytes")).first()
-    parts = max(size.n // p.trie_keys, size.bytes // (24 * p.trie_keys)) + 1
+    parts = max(size.n // p.trie_keys, size.bytes // (24 * p.trie_keys), shuffle_partitions(spark)) + 1
     sent = spark.sparkContext.broadcast(maps)
-    total = None
-    for part in range(parts):
-        rows = listed.filter(F.pmod("key", F.lit(parts)) == part).select("lang", "phrase").distinct().toArrow()
-        trie = spark.sparkContext.broadcast(trie_of(rows))
-        shards = texts.mapInArrow(_trie_counter(sent, trie, part, parts, p), "chunk int, counts binary")
+    schema = "part int, kind int, lang string, text binary, numbers binary"
+    keys = listed.select(
+        F.pmod("key", F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("kind"), "lang",
+        F.col("phrase").cast("binary").alias("text"), F.lit(None).cast("binary").alias("numbers"))
+    met_there = texts.mapInArrow(_dealer(sent, parts, p), schema)
+    with run_once(spark):
         found = work.keep(
-            shards.repartition(max(min(shuffle_partitions(spark), rows.num_rows // CHUNK), 1), "chunk")
-            .mapInArrow(_adder(trie), "lang string, phrase string, n bigint")
-            .filter(F.col("n") >= p.least), f"counts{part}")
-        trie.destroy()
-        total = found if total is None else total.unionByName(found)
+            keys.unionByName(met_there).repartition(parts, "part").sortWithinPartitions("part", "kind")
+            .mapInArrow(_part_counts, "lang string, phrase string, n bigint").filter(F.col("n") >= p.least), "counts")
     sent.destroy()
-    return total
+    return found
 
 
 def scored(often: DataFrame) -> DataFrame:
@@ -369,7 +459,7 @@ def collocations(docs: DataFrame, p: Params | None = None) -> DataFrame:
     work = Work(docs.sparkSession, "phrases")
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text").filter("text IS NOT NULL")
     listed, totals, maps = candidates(work, texts, p)
-    often = work.keep(counted(work, texts, listed, maps, p), "often")
+    often = counted(work, texts, listed, maps, p)
 
     rated = scored(often)
     rated = rated.join(_subsumed(often), ["lang", "phrase"], "left").filter(

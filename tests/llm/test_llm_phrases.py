@@ -90,3 +90,43 @@ def test_double_array_holds_its_keys():
 def test_a_trie_of_nothing():
     trie = phrases.trie_of(pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.string())}))
     assert double_array.start(trie["base"], trie["check"], [1]) == -1
+
+
+def test_one_pass_over_the_texts_whatever_the_number_of_tries(spark, monkeypatch):
+    rows = texts(2, 120)
+    kept, plain = [], phrases.Work.keep
+    monkeypatch.setattr(phrases.Work, "keep", lambda self, df, name: kept.append(name) or plain(self, df, name))
+    p = phrases.Params(least=2, trie_keys=15)
+    got = phrases.collocations(spark.createDataFrame(rows, "lang string, text string"), p).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, p)
+    assert sum(name.startswith("counts") for name in kept) == 1
+
+
+class Sent:
+    value = [np.full(4, np.uint64(2**64 - 1))] * 3  # all bits set: every phrase can be a candidate
+
+
+def test_phrases_with_one_hash_are_told_apart_and_rows_follow_the_bytes(monkeypatch):
+    plain = phrases.Tokens.keys
+    monkeypatch.setattr(phrases.Tokens, "keys", lambda self, width: plain(self, width) % np.uint64(7))
+    rows = [("und" if a is None else a, b) for a, b in texts(3, 400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["lang", "text"])
+
+    def dealt(parts, batches):
+        return list(phrases._dealer(Sent, parts, phrases.Params())(iter(batches)))
+
+    counts = Counter()
+    for out in dealt(5, [batch, batch]):
+        for _, _, lang, text, numbers in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            lines = text.decode().split("\n")[:-1]
+            for phrase, n in zip(lines, np.frombuffer(numbers, np.int32), strict=True):
+                counts[lang, phrase] += int(n)
+    want = Counter()
+    for lang, text in rows * 2:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text.translate(ASCII)):
+            words = re.findall("[^\x20\x09]+", piece)
+            for width in (1, 2, 3):
+                want.update((lang, " ".join(words[i : i + width])) for i in range(len(words) - width + 1))
+    assert counts == want
+    few, many = (sum(out.num_rows for out in dealt(parts, [batch] * 40)) for parts in (2, 7))
+    assert many <= 4 * few
